@@ -10,7 +10,11 @@ How it works, all set-based:
 3. a running sum of lengths along ``occ_path`` gives positions, separately for
    each redefining subtree, whose base is the start of its target. A target
    may sit in another redefining subtree; the bases are resolved by pointer
-   doubling, so ``n`` nested redefinitions take ``log2(n)`` small joins.
+   doubling, so ``n`` nested redefinitions take ``log2(n)`` steps.
+
+Rows that need something from another row of their copybook look it up through
+a window, not a join: every window is partitioned by the copybook and more, so
+the whole parse shuffles the lines once.
 """
 
 from __future__ import annotations
@@ -23,7 +27,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fixedrecon.operators.copybook import (
-    copybook_names,
+    NAME_SEARCH_LINES,
+    UNKNOWN_COPYBOOK,
     describe_entries,
     entries_with_storage,
     statements,
@@ -37,10 +42,40 @@ LAYOUT_COLUMNS = [
 ]
 _ATTRIBUTES = [
     "level", "field_name", "pic_clause", "data_type", "decimal_positions", "length", "occurs",
-    "redefines", "record_name", "target_line", "depth_level",
+    "redefines", "record_name", "copybook_name", "target_line", "depth_level",
 ]
 
 
+def lookup(rows: DataFrame, own: Column, wanted: Column, value: Column, out: str) -> DataFrame:
+    """Add column ``out``: the ``value`` of the row of the same record whose
+    ``own`` key equals this row's ``wanted`` key (the smallest value if there
+    are several), NULL where nothing is wanted or found."""
+    asks = F.array_compact(
+        F.array(
+            F.struct(F.lit(False).alias("asking"), own.alias("key")),
+            F.when(wanted.isNotNull(), F.struct(F.lit(True).alias("asking"), wanted.alias("key"))),
+        )
+    )
+    same_key = W.partitionBy(*RECORD, "ask_key")
+    return (
+        rows.withColumn("ask", F.explode(asks))
+        .withColumns({"asking": F.col("ask.asking"), "ask_key": F.col("ask.key"), "wants": wanted.isNotNull()})
+        .withColumn("found", F.min(F.when(~F.col("asking"), value)).over(same_key))
+        .filter(F.col("asking") | ~F.col("wants"))
+        .withColumn(out, F.when(F.col("asking"), F.col("found")))
+        .drop("ask", "asking", "ask_key", "wants", "found")
+    )
+
+
+def name_copybooks(entries: DataFrame) -> DataFrame:
+    """``copybook_name``: the first 01 entry in the first ten lines."""
+    named = (F.col("level") == 1) & (F.col("line_no") <= NAME_SEARCH_LINES)
+    first = F.min(F.when(named, F.struct("line_no", "field_name"))).over(W.partitionBy("copybook_id"))
+    return entries.withColumn("first_01", first).withColumn(
+        "copybook_name", F.coalesce("first_01.field_name", F.lit(UNKNOWN_COPYBOOK))
+    ).drop("first_01")
+
+
 def number_records(fields: DataFrame) -> DataFrame:
     """Each 01 (and each stand-alone 77) starts a record of its own."""
     order = W.partitionBy("copybook_id").orderBy("line_no")
@@ -57,16 +92,10 @@ def number_records(fields: DataFrame) -> DataFrame:
 def add_redefines_line(fields: DataFrame) -> DataFrame:
     """``target_line``: line of the first entry with the redefined name, NULL
     when the name is unknown or comes later."""
-    targets = fields.groupBy(*RECORD, F.col("field_name").alias("redefines")).agg(
-        F.min("line_no").alias("found_line")
-    )
-    return (
-        fields.join(targets, [*RECORD, "redefines"], "left")
-        .withColumn(
-            "target_line", F.when(F.col("found_line") < F.col("line_no"), F.col("found_line"))
-        )
-        .drop("found_line")
-    )
+    found = lookup(fields, F.col("field_name"), F.col("redefines"), F.col("line_no"), "found_line")
+    return found.withColumn(
+        "target_line", F.when(F.col("found_line") < F.col("line_no"), F.col("found_line"))
+    ).drop("found_line")
 
 
 def add_ancestors(fields: DataFrame) -> DataFrame:
@@ -86,7 +115,7 @@ def add_ancestors(fields: DataFrame) -> DataFrame:
         F.col("field_name").alias("name"),
     )
     seen = F.struct(
-        F.col("depth_level"), (F.col("pic_clause") == "").alias("is_group"), node.alias("node")
+        F.col("depth_level"), (F.col("pic_clause") == "").alias("is_group"), F.col("node")
     )
     last_seen = F.last(F.when(F.col("depth_level") <= F.col("slot"), seen), True).over(before)
     encloses = (
@@ -114,37 +143,78 @@ def add_ancestors(fields: DataFrame) -> DataFrame:
     )
 
 
-def _product(occurs: Column) -> Column:
-    return F.aggregate(occurs, F.lit(1), lambda a, b: a * b)
+def add_group_storage(chained: DataFrame) -> DataFrame:
+    """``storage``: positions taken by one occurrence of a group. Every
+    elementary entry adds its width to each group around it, times the
+    repetitions in between; what redefines other storage adds nothing."""
+    depth = F.size("chain")
+    shares = F.transform(
+        F.slice("chain", 1, depth - 1),
+        lambda c, i: F.struct(
+            c["line_no"].alias("line"),
+            F.when(
+                F.exists(
+                    F.slice("chain", i + 2, depth - i - 1), lambda below: below["target_line"].isNotNull()
+                ),
+                0,
+            )
+            .otherwise(
+                F.col("length")
+                * _product(F.slice("chain", i + 2, depth - i - 1))
+            )
+            .alias("width"),
+        ),
+    )
+    own = F.array(F.struct(F.col("line_no").alias("line"), F.lit(None).cast("int").alias("width")))
+    group = W.partitionBy(*RECORD, "share_line")
+    return (
+        chained.withColumn(
+            "share", F.explode(F.when(F.col("pic_clause") != "", F.concat(own, shares)).otherwise(own))
+        )
+        .withColumns({"share_line": F.col("share.line"), "width": F.col("share.width")})
+        .withColumn("storage", F.coalesce(F.sum("width").over(group), F.lit(0)).cast("int"))
+        .filter(F.col("width").isNull())
+        .drop("share", "share_line", "width")
+    )
+
+
+def _product(nodes: Column) -> Column:
+    """Repetitions multiplied over a chain."""
+    return F.aggregate(nodes, F.lit(1), lambda total, node: total * node["occurs"])
 
 
 def expand_occurrences(chained: DataFrame) -> DataFrame:
-    """One row per occurrence with ``indices`` (0-based, one per chain
-    element), ``occ_path``, the linear ``occurrence`` and the name suffix."""
-    counts = F.transform("chain", lambda c: c["occurs"])
-    inner = F.transform(
+    """One row per occurrence: ``own_lines`` and ``indices`` (0-based, one per
+    chain element), ``occ_path``, the linear ``occurrence``, the name suffix."""
+    steps = F.transform(
         "chain",
-        lambda c, i: _product(F.slice(F.col("counts"), i + 2, F.greatest(F.size("chain") - i - 1, F.lit(0)))),
-    )
-    indices = F.transform(
-        "chain",
-        lambda c, i: F.floor(F.col("n") / F.get(F.col("inner"), i)).cast("int") % c["occurs"],
-    )
-    path = F.flatten(
-        F.transform("chain", lambda c, i: F.array(c["line_no"], F.get(F.col("indices"), i)))
+        lambda c, i: F.struct(
+            c["line_no"].alias("line"),
+            c["occurs"].alias("occurs"),
+            _product(F.slice("chain", i + 2, F.size("chain") - i - 1)).alias("inner"),
+        ),
     )
-    numbered = F.filter(
-        F.arrays_zip(F.col("counts"), F.col("indices")), lambda z: z["counts"] > 1
+    placed = F.transform(
+        "steps",
+        lambda p: F.struct(
+            p["line"].alias("line"),
+            p["occurs"].alias("occurs"),
+            (F.floor(F.col("n") / p["inner"]).cast("int") % p["occurs"]).alias("idx"),
+        ),
     )
     suffix = F.array_join(
-        F.transform(numbered, lambda z: F.format_string("_%02d", z["indices"] + 1)), ""
+        F.transform(
+            F.filter("at", lambda p: p["occurs"] > 1), lambda p: F.format_string("_%02d", p["idx"] + 1)
+        ),
+        "",
     )
     return (
-        chained.withColumn("counts", counts)
-        .withColumn("inner", inner)
-        .withColumn("n", F.explode(F.sequence(F.lit(0), _product(F.col("counts")) - 1)))
-        .withColumn("indices", indices)
-        .withColumn("occ_path", path)
+        chained.withColumn("steps", steps)
+        .withColumn("n", F.explode(F.sequence(F.lit(0), _product(F.col("chain")) - 1)))
+        .withColumn("at", placed)
+        .withColumn("own_lines", F.transform("at", lambda p: p["line"]))
+        .withColumn("indices", F.transform("at", lambda p: p["idx"]))
+        .withColumn("occ_path", F.flatten(F.transform("at", lambda p: F.array(p["line"], p["idx"]))))
         .withColumn("occurrence", F.col("n") + 1)
         .withColumn("base_name", F.col("field_name"))
         .withColumn("field_name", F.concat("field_name", suffix))
@@ -154,7 +224,7 @@ def expand_occurrences(chained: DataFrame) -> DataFrame:
             .when(F.col("occurs") > 1, "group_occurrence")
             .otherwise("group"),
         )
-        .drop("counts", "inner", "n")
+        .drop("steps", "n", "at")
     )
 
 
@@ -177,108 +247,91 @@ def add_local_offsets(expanded: DataFrame) -> DataFrame:
     )
 
 
-def region_bases(placed: DataFrame, passes: int) -> DataFrame:
-    """``region -> base``: where each redefining subtree starts (0-based)."""
-    roots = placed.filter(
-        F.col("target_line").isNotNull() & (F.element_at("occ_path", -1) == 0)
-    ).select(
-        *RECORD,
-        "region",
-        "target_line",
-        F.transform("chain", lambda c: c["line_no"]).alias("own_lines"),
-        "indices",
-    )
-    chains = (
-        placed.groupBy(*RECORD, F.col("line_no").alias("target_line"))
-        .agg(F.first("chain").alias("target_chain"))
-    )
+def add_bases(placed: DataFrame, passes: int) -> DataFrame:
+    """``base``: where the region of a row starts (0-based)."""
     # occurrence numbers of shared ancestors carry over, all others are the first
-    shared = F.transform(
-        "target_chain",
-        lambda c: F.array(
-            c["line_no"],
-            F.coalesce(
-                F.get(F.col("indices"), F.array_position("own_lines", c["line_no"]).cast("int") - 1),
-                F.lit(0),
+    target_path = F.flatten(
+        F.transform(
+            "target_lines",
+            lambda line: F.array(
+                line,
+                F.coalesce(
+                    F.get(F.col("indices"), F.array_position("own_lines", line).cast("int") - 1),
+                    F.lit(0),
+                ),
             ),
-        ),
-    )
-    targets = placed.select(
-        *RECORD,
-        F.col("occ_path").alias("target_path"),
-        F.col("region").alias("within"),
-        F.col("offset").alias("base"),
+        )
     )
-    pointers = (
-        roots.join(chains, [*RECORD, "target_line"])
-        .withColumn("target_path", F.flatten(shared))
-        .join(targets, [*RECORD, "target_path"])
-        .select(*RECORD, "region", "within", "base")
+    is_root = F.col("target_lines").isNotNull() & (F.element_at("occ_path", -1) == 0)
+    region = W.partitionBy(*RECORD, "region")
+    place = F.struct(F.col("region").alias("within"), F.col("offset").alias("base"))
+    pointed = (
+        lookup(
+            placed.withColumn("target_path", F.when(is_root, target_path)),
+            F.col("occ_path"),
+            F.col("target_path"),
+            place,
+            "target",
+        )
+        .withColumn("pointer", F.max("target").over(region))
+        .withColumns(
+            {
+                "within": F.coalesce("pointer.within", F.array().cast("array<int>")),
+                "base": F.coalesce("pointer.base", F.lit(0)),
+            }
+        )
+        .drop("own_lines", "target_path", "target", "pointer")
     )
     for _ in range(passes):
-        step = pointers.select(
-            *RECORD,
-            F.col("region").alias("within"),
-            F.col("within").alias("further"),
-            F.col("base").alias("more"),
+        pointed = (
+            lookup(
+                pointed,
+                F.col("region"),
+                F.when(F.size("within") > 0, F.col("within")),
+                F.struct("within", "base"),
+                "further",
+            )
+            .withColumns(
+                {
+                    "within": F.coalesce("further.within", "within"),
+                    "base": F.col("base") + F.coalesce("further.base", F.lit(0)),
+                }
+            )
+            .drop("further")
         )
-        pointers = pointers.join(step, [*RECORD, "within"], "left").select(
-            *RECORD,
-            "region",
-            F.coalesce("further", F.when(F.size("within") == 0, F.col("within"))).alias("within"),
-            (F.col("base") + F.coalesce("more", F.lit(0))).alias("base"),
-        )
-    return pointers.select(*RECORD, "region", "base")
+    return pointed.drop("within")
 
 
-def most_redefinitions(fields: DataFrame) -> int:
-    """Largest number of redefining entries in one record: no chain of
-    redefinitions can be longer. One small aggregate over copybook entries."""
-    counted = fields.groupBy(*RECORD).agg(F.count("target_line").alias("n"))
-    return counted.agg(F.max("n")).first()[0] or 0
+def most_redefinitions(lines: DataFrame) -> int:
+    """Largest number of REDEFINES clauses in one copybook: no chain of
+    redefinitions can be longer. One small aggregate over copybook lines."""
+    counted = lines.filter(F.col("raw").rlike("(?i)REDEFINES")).groupBy("copybook_id").count()
+    return counted.agg(F.max("count")).first()[0] or 0
 
 
-def _group_extents(placed: DataFrame) -> DataFrame:
-    """Storage covered by each repeated group occurrence."""
-    prefixes = F.transform("chain", lambda c, i: F.slice("occ_path", 1, (i + 1) * 2))
-    wanted = F.filter(
-        F.arrays_zip(F.transform("chain", lambda c: c["occurs"]).alias("times"), prefixes.alias("path")),
-        lambda z: z["times"] > 1,
-    )
-    return (
-        placed.filter(F.col("kind") == "elementary")
-        .select(*RECORD, "end_pos", F.explode(wanted).alias("w"))
-        .groupBy(*RECORD, F.col("w.path").alias("occ_path"))
-        .agg(F.max("end_pos").alias("extent_end"))
-    )
-
+def parse_copybooks(lines: DataFrame, overlay_passes: int | None = None) -> DataFrame:
+    """Copybook lines to the layout table (columns ``LAYOUT_COLUMNS``).
 
-def build_layout(fields: DataFrame, names: DataFrame, overlay_passes: int | None = None) -> DataFrame:
-    """Layout table from the field table. ``overlay_passes`` bounds the joins
-    that resolve nested redefinitions; left out, it is measured."""
-    numbered = add_redefines_line(number_records(fields))
+    ``overlay_passes`` is the number of pointer steps for nested redefinitions:
+    -1 when nothing is redefined, 0 when no redefinition refers to storage
+    inside another one. Left out, a sufficient number is measured."""
     if overlay_passes is None:
-        most = most_redefinitions(numbered)
+        most = most_redefinitions(lines)
         overlay_passes = math.ceil(math.log2(most)) if most else -1
-    placed = add_local_offsets(expand_occurrences(add_ancestors(numbered)))
+    fields = entries_with_storage(name_copybooks(describe_entries(statements(lines))))
+    chained = add_group_storage(add_ancestors(add_redefines_line(number_records(fields))))
     if overlay_passes >= 0:
-        bases = region_bases(placed, overlay_passes)
-        placed = placed.join(bases, [*RECORD, "region"], "left")
+        lines_of = F.transform("chain", lambda c: c["line_no"])
+        chained = lookup(chained, F.col("line_no"), F.col("target_line"), lines_of, "target_lines")
+        placed = add_bases(add_local_offsets(expand_occurrences(chained)), overlay_passes)
     else:
-        placed = placed.withColumn("base", F.lit(0))
-    placed = placed.withColumn(
-        "start_pos", (F.lit(1) + F.col("offset") + F.coalesce("base", F.lit(0))).cast("int")
-    ).withColumn("end_pos", (F.col("start_pos") + F.col("length") - 1).cast("int"))
-    repeated = W.partitionBy(*RECORD, "field_name").orderBy("occ_path")
-    again = F.row_number().over(repeated)
+        placed = add_local_offsets(expand_occurrences(chained)).withColumn("base", F.lit(0))
+    again = F.row_number().over(W.partitionBy(*RECORD, "field_name").orderBy("occ_path"))
+    grouped = F.col("kind") == "group_occurrence"
     return (
-        placed.join(_group_extents(placed), [*RECORD, "occ_path"], "left")
-        .withColumn(
-            "end_pos",
-            F.when(F.col("kind") == "group_occurrence", F.coalesce("extent_end", "end_pos"))
-            .otherwise(F.col("end_pos")),
-        )
-        .withColumn("length", F.col("end_pos") - F.col("start_pos") + 1)
+        placed.withColumn("start_pos", (F.lit(1) + F.col("offset") + F.col("base")).cast("int"))
+        .withColumn("length", F.when(grouped, F.col("storage")).otherwise(F.col("length")))
+        .withColumn("end_pos", F.col("start_pos") + F.col("length") - 1)
         .withColumn("again", again)
         .withColumn(
             "field_name",
@@ -286,17 +339,10 @@ def build_layout(fields: DataFrame, names: DataFrame, overlay_passes: int | None
             .otherwise(F.col("field_name")),
         )
         .withColumn("in_redefinition", F.size("region") > 0)
-        .join(names, "copybook_id")
         .select(*LAYOUT_COLUMNS)
     )
 
 
-def parse_copybooks(lines: DataFrame, overlay_passes: int | None = None) -> DataFrame:
-    """Copybook lines to the layout table (columns ``LAYOUT_COLUMNS``)."""
-    fields = entries_with_storage(describe_entries(statements(lines)))
-    return build_layout(fields, copybook_names(lines), overlay_passes)
-
-
 def mark_keys(layout: DataFrame, keys: Iterable[str]) -> DataFrame:
     """``is_pk`` for fields whose own or base name is a key."""
     named = list(keys)
@@ -313,22 +359,21 @@ def record_lengths(layout: DataFrame) -> DataFrame:
 def parsing_summary(lines: DataFrame, layout: DataFrame) -> DataFrame:
     """``total_fields`` (entries as written), ``parsed_lines`` (statements
     kept) and ``record_length``, one row per copybook, zeros included."""
-    zero = F.lit(0)
-    ids = lines.select("copybook_id").distinct()
-    kept = statements(lines).groupBy("copybook_id").agg(F.count("*").alias("parsed_lines"))
-    fields = layout.groupBy("copybook_id").agg(
-        F.count(F.when(F.col("occurrence") == 1, 1)).alias("total_fields"),
-        F.max("end_pos").alias("record_length"),
-    )
-    return (
-        ids.join(kept, "copybook_id", "left")
-        .join(fields, "copybook_id", "left")
-        .select(
-            "copybook_id",
-            F.coalesce("total_fields", zero).alias("total_fields"),
-            F.coalesce("parsed_lines", zero).alias("parsed_lines"),
-            F.coalesce("record_length", zero).alias("record_length"),
+    parts = (
+        lines.select("copybook_id")
+        .unionByName(
+            statements(lines).select("copybook_id", F.lit(1).alias("kept")), allowMissingColumns=True
         )
+        .unionByName(
+            layout.select("copybook_id", "end_pos", (F.col("occurrence") == 1).cast("int").alias("entry")),
+            allowMissingColumns=True,
+        )
+    )
+    zero = F.lit(0)
+    return parts.groupBy("copybook_id").agg(
+        F.coalesce(F.sum("entry"), zero).alias("total_fields"),
+        F.coalesce(F.sum("kept"), zero).alias("parsed_lines"),
+        F.coalesce(F.max("end_pos"), zero).alias("record_length"),
     )
 
 

@@ -13,7 +13,7 @@ from fixedrecon.layout import Layout
 from fixedrecon.operators import hot_keys as H
 from fixedrecon.operators.compare import Rules, bad_records, join_sides_by_condition, simple_result
 from fixedrecon.operators.records import normalise_record_spaces
-from fixedrecon.sinks import flatten_lists, write_results
+from fixedrecon.sinks import flatten_lists, read_csv, write_results
 from fixedrecon.sources.records import scan_tuple_layout
 
 
@@ -42,9 +42,7 @@ def write_simple(result: DataFrame, output: str) -> dict[str, str]:
     paths = {k: f"{output.rstrip('/')}/{k}" for k in ("validation_results", "bad_records")}
     flat = flatten_lists(result)
     write_results(flat, paths["validation_results"], "csv")
-    written = result.sparkSession.read.csv(
-        paths["validation_results"], schema=flat.schema, header=True, escape='"'
-    )
+    written = read_csv(result.sparkSession, paths["validation_results"], flat.schema)
     write_results(bad_records(written), paths["bad_records"], "csv")
     return paths
 

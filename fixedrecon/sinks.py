@@ -30,6 +30,12 @@ def write_results(df: DataFrame, path: str, format_type: str = "parquet") -> Non
         writer.parquet(path)
 
 
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read what ``write_results`` wrote as CSV. NULL is written as nothing
+    and '' as two quotes; a marker no field contains keeps them apart."""
+    return spark.read.csv(path, schema=schema, header=True, escape='"', nullValue="\x00", emptyValue="")
+
+
 def flatten_lists(df: DataFrame) -> DataFrame:
     """Array columns as ``a|b|c`` text, for formats without arrays."""
     arrays = {n for n, t in df.dtypes if t.startswith("array<string")}

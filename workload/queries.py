@@ -610,7 +610,7 @@ def _written(spark, df, kind):
     path = sinks.scratch_folder(spark, kind)
     sinks.write_results(df, path, kind)
     if kind == "csv":
-        return spark.read.csv(path, schema=df.schema, header=True, escape='"')
+        return sinks.read_csv(spark, path, df.schema)
     return spark.read.json(path, schema=df.schema) if kind == "json" else spark.read.parquet(path)
 
 
@@ -637,7 +637,7 @@ def sink_recon_csv(spark, sf):
     paths = write_simple(simple_customers(spark, sf), sinks.scratch_folder(spark, "recon"))
     schema = sinks.flatten_lists(simple_customers(spark, sf)).schema
     parts = [
-        spark.read.csv(p, schema=schema, header=True, escape='"').withColumn("output", F.lit(name))
+        sinks.read_csv(spark, p, schema).withColumn("output", F.lit(name))
         for name, p in paths.items()
     ]
     return longs(parts[0].unionByName(parts[1]), "mismatch_count")
@@ -757,7 +757,7 @@ def job_recon(spark, sf):
     )
     paths = reconcile_simple(spark, spec)
     schema = sinks.flatten_lists(simple_customers(spark, sf)).schema
-    bad = spark.read.csv(paths["bad_records"], schema=schema, header=True, escape='"')
+    bad = sinks.read_csv(spark, paths["bad_records"], schema)
     return longs(bad, "mismatch_count")
 
 

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fixedrecon.functions.text import strip_whitespace
-
 # The clause patterns of a data description entry.
 FIELD_LINE = r"^\s*\d{2}\s+[\w-]+"
 ENTRY = r"^\s*(\d{2})\s+([\w-]+)(.*)$"
@@ -18,7 +16,7 @@ PICTURE = r"(?i)(?:^|\s)PIC(?:TURE)?\s+(?:IS\s+)?([\w().-]+)"
 OCCURS = r"(?i)\bOCCURS\s+(\d+)"
 REDEFINES = r"(?i)\bREDEFINES\s+([\w-]+)"
 REPEAT = r"[XA9]\((\d+)\)"
-BAD_REPEAT = r"\([^)]*[^\d)][^)]*\)|\(\)|\([^)]*$"
+BAD_REPEAT = r"\((?!\d{1,9}\))"
 SIMPLE_FIELD = r"(?i)(\w[\w-]*)\s+PIC\s+([X9])\((\d+)\)"
 
 
@@ -28,20 +26,20 @@ def cobol_name(name: Column) -> Column:
 
 
 def is_field_line(statement: Column) -> Column:
-    return strip_whitespace(statement).rlike(FIELD_LINE)
+    return statement.rlike(FIELD_LINE)
 
 
 def entry_level(statement: Column) -> Column:
-    return F.regexp_extract(strip_whitespace(statement), ENTRY, 1).try_cast("int")
+    return F.regexp_extract(statement, ENTRY, 1).try_cast("int")
 
 
 def entry_name(statement: Column) -> Column:
-    return cobol_name(F.regexp_extract(strip_whitespace(statement), ENTRY, 2))
+    return cobol_name(F.regexp_extract(statement, ENTRY, 2))
 
 
 def entry_clauses(statement: Column) -> Column:
     """What follows the name."""
-    return F.regexp_extract(strip_whitespace(statement), ENTRY, 3)
+    return F.regexp_extract(statement, ENTRY, 3)
 
 
 def picture_clause(clauses: Column) -> Column:
@@ -50,7 +48,7 @@ def picture_clause(clauses: Column) -> Column:
 
 
 def has_bad_repeat(picture: Column) -> Column:
-    """True where a repeat count is not a number, as in ``X(ABC)``."""
+    """True where a repeat count is no number of usual size, as in ``X(ABC)``."""
     return picture.rlike(BAD_REPEAT)
 
 

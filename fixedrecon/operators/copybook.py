@@ -17,6 +17,7 @@ from fixedrecon.functions.text import strip_whitespace
 # Fixed values of the card format and of the entry levels.
 SEQUENCE_AREA = r"^(?:\d{6}| {6})[ *+-]"
 CONTINUED_CARD = r"^(?:\d{6}| {6})[+-]"
+KEPT_LINE = r"^\s*[^\s*C]"  # neither blank nor a remark starting with * or C
 NON_STORAGE_LEVELS = (66, 88)
 UNKNOWN_COPYBOOK = "UNKNOWN_COPYBOOK"
 NAME_SEARCH_LINES = 10
@@ -28,13 +29,12 @@ def normalise_lines(lines: DataFrame) -> DataFrame:
     Adds ``text`` and ``is_continuation``."""
     raw = F.col("raw")
     numbered = raw.rlike(SEQUENCE_AREA)
-    stripped = strip_whitespace(F.col("text"))
     return (
         lines.withColumn("text", F.when(numbered, F.substring(raw, 7, 2147483647)).otherwise(raw))
         .withColumn(
             "is_continuation", raw.rlike(CONTINUED_CARD) | F.col("text").startswith("+")
         )
-        .filter((stripped != "") & ~stripped.startswith("*") & ~stripped.startswith("C"))
+        .filter(F.col("text").rlike(KEPT_LINE))
         .select("copybook_id", "line_no", "text", "is_continuation")
     )
 
@@ -88,7 +88,7 @@ def describe_entries(kept: DataFrame) -> DataFrame:
         .withColumn(
             "reject_reason",
             F.when(~F.col("is_field"), "no level number and name")
-            .when(F.col("bad_repeat") | F.col("length").isNull(), "repeat count is not a number"),
+            .when(F.col("bad_repeat"), "repeat count is not a number"),
         )
         .drop("is_field", "bad_repeat", "clauses")
     )

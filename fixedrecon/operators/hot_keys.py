@@ -5,8 +5,8 @@ key. Keys are meant to be unique, but a blank key can hold a large share of
 both files, and then the pairs of that one key would neither fit a task nor
 any disk. Such keys are found exactly and handled apart:
 
-* a hot key found on one side only needs no join; its records are one-sided
-  and join the ordinary result, spread over all tasks;
+* records of a hot key found on one side only match nothing; a salt spreads
+  them over all tasks of the ordinary join;
 * for a hot key found on both sides the pairs are counted, not built: equal
   records of a side collapse into variants with a count, variants that agree
   on every field are matched by one equi-join on all of them, and the rest of
@@ -18,16 +18,17 @@ any disk. Such keys are found exactly and handled apart:
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fixedrecon.functions.compare import any_of, as_number
-from fixedrecon.operators.compare import IN_LEGACY, IN_MODERN, Rules, join_sides
+from fixedrecon.operators.compare import Rules, join_sides
 
 BROADCAST_KEYS = 100_000  # hot keys are broadcast up to this many rows
+SALT, SALTS = "hot_salt", 4096
 BIG = "decimal(38,0)"  # pair counts outgrow a long
 
 
@@ -79,13 +80,23 @@ def is_hot(max_rows: int, max_pairs: int) -> Column:
     )
 
 
+def hot_measures(hot: Column, keys: Iterable[str]) -> list[Column]:
+    """Hot keys on one side, on both, and the pairs of the latter."""
+    matched = key_matches(keys)
+    return [
+        F.count_if(hot & ~matched).alias("hot_one_sided"),
+        F.count_if(hot & matched).alias("hot_two_sided"),
+        F.coalesce(F.sum(F.when(hot & matched, pairs().cast(BIG))), F.lit(0).cast(BIG)).alias("hot_pairs"),
+    ]
+
+
 @dataclass(frozen=True)
 class Split:
     """Records of each side by what has to be done with them."""
 
-    cold_legacy: DataFrame
-    cold_modern: DataFrame
-    hot_legacy: DataFrame  # with n_legacy, n_modern, matched
+    rest_legacy: DataFrame  # to be joined, with a salt
+    rest_modern: DataFrame
+    hot_legacy: DataFrame  # of keys hot and found on both sides, with row counts
     hot_modern: DataFrame
 
 
@@ -94,8 +105,12 @@ def split_hot(
 ) -> Split:
     """Route records by the table of hot keys. ``hot_count`` is its checked
     number of rows: a small table is broadcast, so that no hot key is ever
-    shuffled; a larger one is left to an ordinary join, whose left side the
-    adaptive optimizer can split."""
+    shuffled as one; a larger one is left to an ordinary join, whose left side
+    the adaptive optimizer can split.
+
+    Records of hot keys without partner get a salt: they match nothing anyway
+    and so spread over all tasks of the join. The salt counts lines within an
+    input split, hence a task that runs again gives the same one."""
     keys = list(keys)
     marks = hot.select(
         *[F.col(k).alias(f"hot__{k}") for k in keys],
@@ -107,34 +122,26 @@ def split_hot(
         marks = F.broadcast(marks)
     same = [F.col(k).eqNullSafe(F.col(f"hot__{k}")) for k in keys]
     names = [f"hot__{k}" for k in keys]
-    return Split(
-        legacy.join(marks, same, "left_anti"),
-        modern.join(marks, same, "left_anti"),
-        legacy.join(marks, same).drop(*names),
-        modern.join(marks, same).drop(*names),
-    )
+    spread = (F.monotonically_increasing_id() % SALTS).cast("int")
 
+    def rest(side):
+        marked = side.withColumn("spread", spread).join(marks, same, "left")
+        return (
+            marked.filter(~F.coalesce("matched", F.lit(False)))
+            .withColumn(SALT, F.when(F.col("matched").isNotNull(), F.col("spread")).otherwise(-1))
+            .select(*side.columns, SALT)
+        )
 
-def one_sided(hot_side: DataFrame, rules: Rules, side: str) -> DataFrame:
-    """Hot records without partner in the shape of the join."""
-    missing = F.lit(None).cast("string")
-    here, other = (("legacy", "modern") if side == "legacy" else ("modern", "legacy"))
-    return hot_side.filter(~F.col("matched")).select(
-        *rules.keys,
-        *[F.col(f).alias(f"{f}_{here}") for f in rules.values],
-        *[missing.alias(f"{f}_{other}") for f in rules.values],
-        F.lit(side == "legacy").alias(IN_LEGACY),
-        F.lit(side == "modern").alias(IN_MODERN),
-    )
+    def both(side):
+        return side.join(marks, same).filter("matched").drop(*names, "matched")
+
+    return Split(rest(legacy), rest(modern), both(legacy), both(modern))
 
 
 def join_with_hot(split: Split, rules: Rules) -> DataFrame:
     """The outer join of all records except those of hot keys on both sides."""
-    return (
-        join_sides(split.cold_legacy, split.cold_modern, rules)
-        .unionByName(one_sided(split.hot_legacy, rules, "legacy"))
-        .unionByName(one_sided(split.hot_modern, rules, "modern"))
-    )
+    salted = replace(rules, keys=(*rules.keys, SALT))
+    return join_sides(split.rest_legacy, split.rest_modern, salted).drop(SALT)
 
 
 def _cell(value: Column, tolerance: float, decimals: int) -> tuple[Column, Column]:
@@ -162,10 +169,8 @@ def variants(hot_side: DataFrame, rules: Rules) -> DataFrame:
     """Distinct records of hot keys found on both sides, with ``copies``.
     Grouping on the whole record spreads one key over all tasks."""
     values = [F.coalesce(F.col(f), F.lit("")).alias(f) for f in rules.values]
-    return (
-        hot_side.filter("matched")
-        .groupBy(*rules.keys, *values, "n_legacy", "n_modern")
-        .agg(F.count("*").alias("copies"))
+    return hot_side.groupBy(*rules.keys, *values, "n_legacy", "n_modern").agg(
+        F.count("*").alias("copies")
     )
 
 
@@ -204,54 +209,27 @@ def equal_variants(legacy: DataFrame, modern: DataFrame, rules: Rules) -> DataFr
     return left.join(right, on).filter(~differs)
 
 
-def hot_pair_counts(split: Split, rules: Rules) -> DataFrame:
-    """One row: ``hot_pairs`` of two-sided hot keys and ``hot_equal_pairs``."""
-    legacy, modern = variants(split.hot_legacy, rules), variants(split.hot_modern, rules)
-    keys_seen = legacy.groupBy(*rules.keys).agg(
-        F.max("n_legacy").alias("n_legacy"), F.max("n_modern").alias("n_modern")
-    )
-    product = F.col("copies_legacy").cast("decimal(19,0)") * F.col("copies_modern").cast("decimal(19,0)")
-    parts = keys_seen.agg(F.sum(pairs().cast(BIG)).alias("hot_pairs")).unionByName(
-        equal_variants(legacy, modern, rules).agg(F.sum(product.cast(BIG)).alias("hot_equal_pairs")),
-        allowMissingColumns=True,
-    )
-    zero = F.lit(0).cast(BIG)
-    return parts.agg(
-        *[F.coalesce(F.sum(c), zero).cast(BIG).alias(c) for c in ("hot_pairs", "hot_equal_pairs")]
-    )
+def _times(a: str, b: str) -> Column:
+    return (F.col(a).cast("decimal(19,0)") * F.col(b).cast("decimal(19,0)")).cast(BIG)
 
 
-def hot_details(split: Split, rules: Rules) -> DataFrame:
-    """Variants of two-sided hot keys that differ from some partner record:
-    ``side, keys, values, copies, partner_records, mismatched_partners,
-    mismatched_pairs``. Its size is that of the data, never of the pairs."""
-    legacy, modern = variants(split.hot_legacy, rules), variants(split.hot_modern, rules)
+def partner_counts(legacy: DataFrame, modern: DataFrame, rules: Rules) -> DataFrame:
+    """Every variant of both sides: ``side, keys, values, copies,
+    partner_records`` (of the same key) and ``equal_partners`` among them.
+    Its size is that of the variants, never of the pairs."""
     equal = equal_variants(legacy, modern, rules)
 
     def side(name, own, partner_count, other):
         matched = equal.groupBy(
             *rules.keys, *[F.col(f"{f}_{name}").alias(f) for f in rules.values]
         ).agg(F.sum(f"copies_{other}").alias("equal_partners"))
-        return (
-            own.join(matched, [*rules.keys, *rules.values], "left")
-            .withColumn("partner_records", F.col(partner_count))
-            .withColumn(
-                "mismatched_partners",
-                F.col("partner_records") - F.coalesce("equal_partners", F.lit(0)),
-            )
-            .filter("mismatched_partners > 0")
-            .select(
-                F.lit(name).alias("side"),
-                *rules.keys,
-                *rules.values,
-                "copies",
-                "partner_records",
-                "mismatched_partners",
-                (
-                    F.col("copies").cast("decimal(19,0)")
-                    * F.col("mismatched_partners").cast("decimal(19,0)")
-                ).cast(BIG).alias("mismatched_pairs"),
-            )
+        return own.join(matched, [*rules.keys, *rules.values], "left").select(
+            F.lit(name).alias("side"),
+            *rules.keys,
+            *rules.values,
+            "copies",
+            F.col(partner_count).alias("partner_records"),
+            F.coalesce("equal_partners", F.lit(0)).alias("equal_partners"),
         )
 
     return side("legacy", legacy, "n_modern", "modern").unionByName(
@@ -259,45 +237,60 @@ def hot_details(split: Split, rules: Rules) -> DataFrame:
     )
 
 
-def hot_field_equals(split: Split, rules: Rules) -> DataFrame:
-    """Pairs of two-sided hot keys that agree, per field: ``field_name,
-    equal_pairs``. Each field is counted by value before the sides meet."""
+def equal_pairs() -> Column:
+    """Sum over ``partner_counts``: pairs without mismatch, each counted once."""
+    legacy = F.when(F.col("side") == "legacy", _times("copies", "equal_partners"))
+    return F.coalesce(F.sum(legacy), F.lit(0).cast(BIG)).cast(BIG).alias("hot_equal_pairs")
+
+
+def hot_details(counted: DataFrame) -> DataFrame:
+    """Variants that differ from some partner record, with
+    ``mismatched_partners`` and ``mismatched_pairs``."""
+    return (
+        counted.withColumn("mismatched_partners", F.col("partner_records") - F.col("equal_partners"))
+        .filter("mismatched_partners > 0")
+        .withColumn("mismatched_pairs", _times("copies", "mismatched_partners"))
+        .drop("equal_partners")
+    )
+
+
+def hot_field_equals(legacy: DataFrame, modern: DataFrame, rules: Rules) -> DataFrame:
+    """Pairs of variants that agree, per field: ``field_name, equal_pairs``.
+    Each field is counted by value before the sides meet."""
 
-    def by_value(hot_side, around):
+    def by_value(side, around):
         entries = []
         for f in rules.values:
-            value = F.coalesce(F.col(f), F.lit(""))
-            own, near = _cell(value, rules.tolerance.get(f, 0), rules.decimals.get(f, 0))
+            own, near = _cell(F.col(f), rules.tolerance.get(f, 0), rules.decimals.get(f, 0))
             entries.append(
                 F.struct(
                     F.lit(f).alias("field_name"),
-                    value.alias("value"),
+                    F.col(f).alias("value"),
                     (near if around else F.array(own)).alias("cells"),
                 )
             )
         return (
-            hot_side.filter("matched")
-            .select(*rules.keys, F.inline(F.array(*entries)))
+            side.select(*rules.keys, "copies", F.inline(F.array(*entries)))
             .groupBy(*rules.keys, "field_name", "value", "cells")
-            .agg(F.count("*").alias("copies"))
+            .agg(F.sum("copies").alias("copies"))
             .withColumn("cell", F.explode("cells"))
             .drop("cells")
         )
 
-    left = by_value(split.hot_legacy, True)
-    right = by_value(split.hot_modern, False).select(
+    left = by_value(legacy, True)
+    right = by_value(modern, False).select(
         *rules.keys, "field_name", "cell",
         F.col("value").alias("other"), F.col("copies").alias("other_copies"),
     )
+    # without a tolerance, equal cells are equal values
     differs = F.lit(False)
     for f in rules.values:
-        differs = F.when(
-            F.col("field_name") == f, rules.mismatch(f, F.col("value"), F.col("other"), F.lit(True))
-        ).otherwise(differs) if rules.tolerance.get(f, 0) > 0 else differs
-    product = F.col("copies").cast("decimal(19,0)") * F.col("other_copies").cast("decimal(19,0)")
+        if rules.tolerance.get(f, 0) > 0:
+            beyond = rules.mismatch(f, F.col("value"), F.col("other"), F.lit(True))
+            differs = F.when(F.col("field_name") == f, beyond).otherwise(differs)
     return (
         left.join(right, [*rules.keys, "field_name", "cell"])
         .filter(~differs)
         .groupBy("field_name")
-        .agg(F.sum(product.cast(BIG)).alias("equal_pairs"))
+        .agg(F.sum(_times("copies", "other_copies")).alias("equal_pairs"))
     )

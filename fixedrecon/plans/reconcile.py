@@ -18,6 +18,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ from fixedrecon.operators.metrics import (
 from fixedrecon.operators.quality import issue_list
 from fixedrecon.operators.records import read_fixed_width
 from fixedrecon.plans.report import report_table
-from fixedrecon.sinks import run_paths, run_stamp, write_results
+from fixedrecon.sinks import run_paths, run_stamp, scratch_folder, write_results
 from fixedrecon.sources.copybooks import scan_copybooks
 
 
@@ -129,8 +130,7 @@ def _profile_totals(keys: tuple[str, ...], hot) -> list:
             F.sum(F.when(is_blank(F.col(k)), F.col(f"n_{s}")).otherwise(0)).alias(f"blank__{k}__{s}")
             for k in keys
         ]
-    out.append(F.count_if(hot).alias("hot_keys"))
-    return out
+    return out + H.hot_measures(hot, keys)
 
 
 def _structure_rows(spark: SparkSession, layout: Layout, keys, totals: dict) -> dict[str, DataFrame]:
@@ -172,8 +172,6 @@ def metrics_row(spark: SparkSession, counts: Mapping[str, int], rules: Rules) ->
     """One-row metrics table; counts are decimals because pairs of records
     with the same key can outnumber a long."""
     schema = T.StructType([T.StructField(n, T.DecimalType(38, 0)) for n in METRIC_NAMES])
-    from decimal import Decimal
-
     row = tuple(Decimal(int(counts[n])) for n in METRIC_NAMES)
     return with_rates(spark.createDataFrame([row], schema), rules)
 
@@ -189,8 +187,6 @@ def run_metrics_frame(spark: SparkSession, stages: list[tuple]) -> DataFrame:
 
 def reconcile(spark: SparkSession, spec: ReconSpec) -> ReconResult:
     """Run the job and write its outputs below ``spec.output``."""
-    from decimal import Decimal
-
     stamp, began = run_stamp(), time.time()
     paths = run_paths(spec.output, stamp)
     layout = resolve_layout(spark, spec.layout, spec.record_name)
@@ -212,8 +208,7 @@ def reconcile(spark: SparkSession, spec: ReconSpec) -> ReconResult:
     structure = _structure_rows(spark, layout, keys, totals)
 
     # pass 2: join, count and write the details
-    hot_count = totals["hot_keys"]
-    split = None
+    hot_count = totals["hot_one_sided"] + totals["hot_two_sided"]
     if hot_count:
         hot_table = spark.read.parquet(paths["hot_keys"])
         split = H.split_hot(legacy, modern, hot_table, hot_count, keys)
@@ -227,20 +222,26 @@ def reconcile(spark: SparkSession, spec: ReconSpec) -> ReconResult:
     write_results(mismatch_details(tagged, rules), paths["mismatch_details"])
     over_join, joined_at = counted.get, time.time()
 
-    # pass 3: pairs of hot keys, counted without building them
+    # pass 3: pairs of keys hot on both sides, counted without building them
     counts = dict(totals)
     wrong, wrong_common = over_join["mismatched_records"], over_join["mismatched_common_records"]
     differs = {f: over_join[f"differs__{f}"] for f in rules.values}
     compared = over_join["compared"]
-    if split is not None:
-        pair_counts = H.hot_pair_counts(split, rules).first()
-        hot_pairs = int(pair_counts.hot_pairs)
-        hot_wrong = hot_pairs - int(pair_counts.hot_equal_pairs)
-        equal = {r.field_name: int(r.equal_pairs) for r in H.hot_field_equals(split, rules).collect()}
+    if totals["hot_two_sided"]:
+        sides = []
+        for records, name in ((split.hot_legacy, "legacy"), (split.hot_modern, "modern")):
+            folder = scratch_folder(spark, f"variants-{name}")
+            write_results(H.variants(records, rules), folder)
+            sides.append(spark.read.parquet(folder))
+        seen_pairs = Observation("hot pairs")
+        partners = H.partner_counts(*sides, rules).observe(seen_pairs, H.equal_pairs())
+        write_results(H.hot_details(partners), paths["hot_details"])
+        hot_pairs = int(totals["hot_pairs"])
+        hot_wrong = hot_pairs - int(seen_pairs.get["hot_equal_pairs"])
+        equal = {r.field_name: int(r.equal_pairs) for r in H.hot_field_equals(*sides, rules).collect()}
         wrong, wrong_common = wrong + hot_wrong, wrong_common + hot_wrong
         differs = {f: n + hot_pairs - equal.get(f, 0) for f, n in differs.items()}
         compared += hot_pairs
-        write_results(H.hot_details(split, rules), paths["hot_details"])
     counts.update(mismatched_records=wrong, mismatched_common_records=wrong_common)
     ended = time.time()
 
@@ -284,7 +285,7 @@ def reconcile(spark: SparkSession, spec: ReconSpec) -> ReconResult:
             k: v
             for k, v in paths.items()
             if not (k == "mismatch_details" and not over_join["mismatched_records"])
-            and not (k == "hot_details" and split is None)
+            and not (k == "hot_details" and not totals["hot_two_sided"])
         },
         hot_keys=hot_count,
     )

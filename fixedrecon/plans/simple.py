@@ -6,14 +6,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from fixedrecon.layout import Layout
 from fixedrecon.operators import hot_keys as H
 from fixedrecon.operators.compare import Rules, bad_records, join_sides_by_condition, simple_result
 from fixedrecon.operators.records import normalise_record_spaces
-from fixedrecon.sinks import flatten_lists, read_csv, write_results
+from fixedrecon.sinks import flatten_lists, read_csv, scratch_folder, write_results
 from fixedrecon.sources.records import scan_tuple_layout
 
 
@@ -47,39 +46,34 @@ def write_simple(result: DataFrame, output: str) -> dict[str, str]:
     return paths
 
 
-def _one_sided(hot_side: DataFrame, fields: list[str], side: str) -> DataFrame:
-    return hot_side.filter(~F.col("matched")).select(*fields)
-
-
 def reconcile_simple(spark: SparkSession, spec: SimpleSpec) -> dict[str, str]:
     """Run the job; returns the output paths. Records of a key too frequent on
     both sides go to ``hot_records`` once per distinct record with the number
     of differing pairs, all others to the two result sets."""
-    fields = [f.name for f in spec.layout.columns()]
+    fields, keys = [f.name for f in spec.layout.columns()], list(spec.keys)
     legacy = normalise_record_spaces(scan_tuple_layout(spark, spec.legacy, spec.layout))
     modern = normalise_record_spaces(scan_tuple_layout(spark, spec.modern, spec.layout))
-    hot_path = f"{spec.output.rstrip('/')}/hot_keys"
-    profile = H.key_profile(legacy, modern, spec.keys)
-    write_results(profile.filter(H.is_hot(spec.hot_rows, spec.hot_pairs)), hot_path)
-    hot = spark.read.parquet(hot_path)
-    hot_count = hot.count()
+    output = spec.output.rstrip("/")
+    hot, seen = H.is_hot(spec.hot_rows, spec.hot_pairs), Observation("key profile")
+    profile = H.key_profile(legacy, modern, keys).observe(seen, *H.hot_measures(hot, keys))
+    write_results(profile.filter(hot), f"{output}/hot_keys")
+    found = seen.get
+    hot_count = found["hot_one_sided"] + found["hot_two_sided"]
     if not hot_count:
-        return write_simple(compare_simple(legacy, modern, spec.keys, fields), spec.output)
-    split = H.split_hot(legacy, modern, hot, hot_count, spec.keys)
-    result = compare_simple(split.cold_legacy, split.cold_modern, spec.keys, fields)
-    # one-sided hot records never differ in the strict profile and need no join
-    for side, records, prefix in (
-        ("legacy", split.hot_legacy, "l_"),
-        ("modern", split.hot_modern, "m_"),
-    ):
-        alone = _one_sided(records, fields, side).select(
-            *[F.col(f).alias(f"{prefix}{f}") for f in fields],
-            F.lit(f"{side}_only").alias("record_status"),
-            F.array().cast("array<string>").alias("mismatched_fields"),
-            F.lit(0).alias("mismatch_count"),
-        )
-        result = result.unionByName(alone, allowMissingColumns=True)
-    paths = write_simple(result, spec.output)
-    hot_records = f"{spec.output.rstrip('/')}/hot_records"
-    write_results(H.hot_details(split, Rules(tuple(spec.keys), tuple(fields))), hot_records)
-    return paths | {"hot_keys": hot_path, "hot_records": hot_records}
+        return write_simple(compare_simple(legacy, modern, keys, fields), output)
+    split = H.split_hot(legacy, modern, spark.read.parquet(f"{output}/hot_keys"), hot_count, keys)
+    joined = join_sides_by_condition(
+        split.rest_legacy, split.rest_modern, [*keys, H.SALT], [*fields, H.SALT]
+    )
+    paths = write_simple(simple_result(joined, keys, fields), output)
+    paths["hot_keys"] = f"{output}/hot_keys"
+    if found["hot_two_sided"]:
+        rules = Rules(tuple(keys), tuple(fields))
+        sides = []
+        for records in (split.hot_legacy, split.hot_modern):
+            folder = scratch_folder(spark, "variants")
+            write_results(H.variants(records, rules), folder)
+            sides.append(spark.read.parquet(folder))
+        paths["hot_records"] = f"{output}/hot_records"
+        write_results(H.hot_details(H.partner_counts(*sides, rules)), paths["hot_records"])
+    return paths

@@ -393,8 +393,7 @@ SELECT n.*, (SELECT count(*) FROM l) AS total_legacy_records, (SELECT count(*) F
 HOT_DIFFERS = """l.ORDER_DATE <> m.ORDER_DATE OR CASE WHEN l.x IS NOT NULL AND m.x IS NOT NULL THEN abs(l.x - m.x) > 5000
     ELSE l.AMOUNT <> m.AMOUNT END"""
 HOT = f"""{ORD}, ln AS (SELECT *, TRY_CAST(AMOUNT AS DOUBLE) AS x FROM l), mn AS (SELECT *, TRY_CAST(AMOUNT AS DOUBLE) AS x FROM m)"""
-ORACLE["cmp_hot_pairs"] = f"""{HOT} SELECT count(*) AS hot_pairs,
-    count(*) FILTER (WHERE NOT ({HOT_DIFFERS})) AS hot_equal_pairs
+ORACLE["cmp_hot_pairs"] = f"""{HOT} SELECT count(*) FILTER (WHERE NOT ({HOT_DIFFERS})) AS hot_equal_pairs
 FROM ln l JOIN mn m ON l.STATUS = m.STATUS AND l.PRIORITY = m.PRIORITY"""
 ORACLE["cmp_hot_fields"] = f"""{HOT}, j AS (SELECT l.ORDER_DATE = m.ORDER_DATE AS same_date,
     CASE WHEN l.x IS NOT NULL AND m.x IS NOT NULL THEN abs(l.x - m.x) <= 5000 ELSE l.AMOUNT = m.AMOUNT END AS same_amount
@@ -521,6 +520,6 @@ ORACLE["dq_field_stats"] = f"{CUST_JOIN} " + " UNION ALL ".join(
 ORACLE["dq_field_lengths"] = f"{ORD} " + " UNION ALL ".join(
     f"SELECT '{f}' AS field_name, length({f}) AS value_length, count(*) AS records FROM l GROUP BY 2" for f, _, _ in ORD_FIELDS
 )
-ORACLE["rec_row_number"] = "SELECT count(*) AS distinct_ids, count(*) AS rows, 1 AS rows_per_id FROM lineitem"
+ORACLE["rec_row_number"] = "SELECT count(*) AS distinct_ids, count(*) AS rows, CAST(1 AS BIGINT) AS rows_per_id FROM lineitem"
 ORACLE["stream_arrivals"] = f"""{CUST} SELECT 4 AS files, 2 AS batches, count(*) AS records, count(*) FILTER (WHERE record_length <> 62) AS length_mismatches,
     count(*) FILTER (WHERE record_length = 0) AS empty_records, count(*) FILTER (WHERE CUST_ID = '') AS blank_keys FROM b"""

@@ -544,7 +544,7 @@ def cmp_duplicate_keys(spark, sf):
     return longs(measures, *measures.columns)
 
 
-def hot_split(spark, sf):
+def hot_variants(spark, sf):
     """Orders compared on status and priority: a few keys hold everything."""
     keys = ["STATUS", "PRIORITY"]
     legacy = R.parse_records(X.order_legacy(spark, sf), X.ORD)
@@ -554,26 +554,23 @@ def hot_split(spark, sf):
     )
     hot = H.key_profile(legacy, modern, keys).filter(H.is_hot(10, 100))
     # at most three statuses and a marker times five priorities
-    return H.split_hot(legacy, modern, hot, 20, keys), rules
+    split = H.split_hot(legacy, modern, hot, 20, keys)
+    return H.variants(split.hot_legacy, rules), H.variants(split.hot_modern, rules), rules
 
 
 @query
 def cmp_hot_pairs(spark, sf):
-    split, rules = hot_split(spark, sf)
-    counts = H.hot_pair_counts(split, rules)
-    return longs(counts, *counts.columns)
+    return longs(H.partner_counts(*hot_variants(spark, sf)).agg(H.equal_pairs()), "hot_equal_pairs")
 
 
 @query
 def cmp_hot_fields(spark, sf):
-    split, rules = hot_split(spark, sf)
-    return longs(H.hot_field_equals(split, rules), "equal_pairs")
+    return longs(H.hot_field_equals(*hot_variants(spark, sf)), "equal_pairs")
 
 
 @query
 def cmp_hot_details(spark, sf):
-    split, rules = hot_split(spark, sf)
-    return longs(H.hot_details(split, rules), "mismatched_pairs")
+    return longs(H.hot_details(H.partner_counts(*hot_variants(spark, sf))), "mismatched_pairs")
 
 
 # ---------------------------------------------------------------- metrics

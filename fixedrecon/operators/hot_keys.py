@@ -217,23 +217,44 @@ def partner_counts(legacy: DataFrame, modern: DataFrame, rules: Rules) -> DataFr
     """Every variant of both sides: ``side, keys, values, copies,
     partner_records`` (of the same key) and ``equal_partners`` among them.
     Its size is that of the variants, never of the pairs."""
-    equal = equal_variants(legacy, modern, rules)
-
-    def side(name, own, partner_count, other):
-        matched = equal.groupBy(
-            *rules.keys, *[F.col(f"{f}_{name}").alias(f) for f in rules.values]
-        ).agg(F.sum(f"copies_{other}").alias("equal_partners"))
-        return own.join(matched, [*rules.keys, *rules.values], "left").select(
-            F.lit(name).alias("side"),
+    def entry(side, copies, partners, equal):
+        return [
+            F.lit(side).alias("side"),
             *rules.keys,
-            *rules.values,
-            "copies",
-            F.col(partner_count).alias("partner_records"),
-            F.coalesce("equal_partners", F.lit(0)).alias("equal_partners"),
+            *[F.col(f"{f}_{side}").alias(f) for f in rules.values],
+            copies.cast("long").alias("copies"),
+            partners.cast("long").alias("partner_records"),
+            equal.cast("long").alias("equal_partners"),
+        ]
+
+    def plain(side, name):
+        return side.select(
+            *rules.keys, "copies", "n_legacy", "n_modern",
+            *[F.col(f).alias(f"{f}_{name}") for f in rules.values],
         )
 
-    return side("legacy", legacy, "n_modern", "modern").unionByName(
-        side("modern", modern, "n_legacy", "legacy")
+    none, zero = F.lit(None), F.lit(0)
+    pairs_found = equal_variants(legacy, modern, rules).select(
+        F.inline(
+            F.array(
+                F.struct(*entry("legacy", none, none, F.col("copies_modern"))),
+                F.struct(*entry("modern", none, none, F.col("copies_legacy"))),
+            )
+        )
+    )
+    own = plain(legacy, "legacy").select(
+        *entry("legacy", F.col("copies"), F.col("n_modern"), zero)
+    ).unionByName(
+        plain(modern, "modern").select(*entry("modern", F.col("copies"), F.col("n_legacy"), zero))
+    )
+    return (
+        own.unionByName(pairs_found)
+        .groupBy("side", *rules.keys, *rules.values)
+        .agg(
+            F.max("copies").alias("copies"),
+            F.max("partner_records").alias("partner_records"),
+            F.sum("equal_partners").alias("equal_partners"),
+        )
     )
 
 
@@ -259,22 +280,21 @@ def hot_field_equals(legacy: DataFrame, modern: DataFrame, rules: Rules) -> Data
     Each field is counted by value before the sides meet."""
 
     def by_value(side, around):
-        entries = []
-        for f in rules.values:
-            own, near = _cell(F.col(f), rules.tolerance.get(f, 0), rules.decimals.get(f, 0))
-            entries.append(
-                F.struct(
-                    F.lit(f).alias("field_name"),
-                    F.col(f).alias("value"),
-                    (near if around else F.array(own)).alias("cells"),
-                )
-            )
+        entries = [
+            F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in rules.values
+        ]
+        cells = F.array(F.concat(F.lit("t"), F.col("value")))
+        for f, limit in rules.tolerance.items():
+            if f in rules.values and limit > 0:
+                own, near = _cell(F.col("value"), limit, rules.decimals.get(f, 0))
+                cells = F.when(
+                    F.col("field_name") == f, near if around else F.array(own)
+                ).otherwise(cells)
         return (
             side.select(*rules.keys, "copies", F.inline(F.array(*entries)))
-            .groupBy(*rules.keys, "field_name", "value", "cells")
+            .groupBy(*rules.keys, "field_name", "value")
             .agg(F.sum("copies").alias("copies"))
-            .withColumn("cell", F.explode("cells"))
-            .drop("cells")
+            .withColumn("cell", F.explode(cells))
         )
 
     left = by_value(legacy, True)

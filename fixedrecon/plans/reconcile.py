@@ -22,7 +22,6 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fixedrecon.functions.text import is_blank
 from fixedrecon.layout import Layout, collect_layout
@@ -133,27 +132,31 @@ def _profile_totals(keys: tuple[str, ...], hot) -> list:
     return out + H.hot_measures(hot, keys)
 
 
+def one_row(spark: SparkSession, values: Mapping[str, tuple]) -> DataFrame:
+    """One-row table from name -> (value, type): counters already collected."""
+    return spark.range(0, 1, 1, 1).select(
+        *[F.lit(v).cast(t).alias(n) for n, (v, t) in values.items()]
+    )
+
+
 def _structure_rows(spark: SparkSession, layout: Layout, keys, totals: dict) -> dict[str, DataFrame]:
     """One-row structure report per side from the collected counters."""
-    names = ["record_count", "min_length", "max_length", "avg_length", "length_mismatches", "empty_records"]
-    schema = T.StructType(
-        [T.StructField("copybook_name", T.StringType()), T.StructField("expected_length", T.IntegerType())]
-        + [
-            T.StructField(n, T.DoubleType() if n == "avg_length" else T.LongType())
-            for n in [*names, *[f"blank__{k}" for k in keys]]
-        ]
-    )
     rows = {}
     for s in SIDES:
         n = totals[f"total_{s}_records"]
-        average = totals[f"chars_{s}"] / n if n else None
-        values = [
-            layout.name, layout.record_length, n, totals[f"shortest_{s}"], totals[f"longest_{s}"],
-            average, totals[f"wrong_{s}"] or 0, totals[f"empty_{s}"] or 0,
-            *[totals[f"blank__{k}__{s}"] or 0 for k in keys],
-        ]
+        values = {
+            "copybook_name": (layout.name, "string"),
+            "expected_length": (layout.record_length, "int"),
+            "record_count": (n, "long"),
+            "min_length": (totals[f"shortest_{s}"], "long"),
+            "max_length": (totals[f"longest_{s}"], "long"),
+            "avg_length": (totals[f"chars_{s}"] / n if n else None, "double"),
+            "length_mismatches": (totals[f"wrong_{s}"] or 0, "long"),
+            "empty_records": (totals[f"empty_{s}"] or 0, "long"),
+            **{f"blank__{k}": (totals[f"blank__{k}__{s}"] or 0, "long") for k in keys},
+        }
         rows[s] = (
-            spark.createDataFrame([tuple(values)], schema)
+            one_row(spark, values)
             .withColumn("avg_length", F.round("avg_length", 2))
             .withColumn("issues", issue_list(keys))
             .withColumn("validation_timestamp", F.current_timestamp())
@@ -171,18 +174,25 @@ METRIC_NAMES = [
 def metrics_row(spark: SparkSession, counts: Mapping[str, int], rules: Rules) -> DataFrame:
     """One-row metrics table; counts are decimals because pairs of records
     with the same key can outnumber a long."""
-    schema = T.StructType([T.StructField(n, T.DecimalType(38, 0)) for n in METRIC_NAMES])
-    row = tuple(Decimal(int(counts[n])) for n in METRIC_NAMES)
-    return with_rates(spark.createDataFrame([row], schema), rules)
-
-
-def run_metrics_frame(spark: SparkSession, stages: list[tuple]) -> DataFrame:
-    """Audit rows: ``run, stage, rows, mismatches, started, ended``."""
-    return spark.createDataFrame(
-        stages, "run string, stage string, rows decimal(38,0), mismatches decimal(38,0), started double, ended double"
-    ).withColumns(
-        {c: F.timestamp_micros((F.col(c) * 1e6).cast("long")) for c in ("started", "ended")}
-    )
+    values = {n: (Decimal(int(counts[n])), H.BIG) for n in METRIC_NAMES}
+    return with_rates(one_row(spark, values), rules)
+
+
+def run_metrics_frame(spark: SparkSession, run: str, stages: Mapping[str, tuple]) -> DataFrame:
+    """Audit rows: ``run, stage, rows, mismatches, started, ended``; the
+    stages map a name to the last four values."""
+    rows = [
+        F.struct(
+            F.lit(run).alias("run"),
+            F.lit(stage).alias("stage"),
+            F.lit(Decimal(int(count))).cast(H.BIG).alias("rows"),
+            F.lit(Decimal(int(wrong))).cast(H.BIG).alias("mismatches"),
+            F.timestamp_micros(F.lit(int(began * 1e6))).alias("started"),
+            F.timestamp_micros(F.lit(int(ended * 1e6))).alias("ended"),
+        )
+        for stage, (count, wrong, began, ended) in stages.items()
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
 
 
 def reconcile(spark: SparkSession, spec: ReconSpec) -> ReconResult:
@@ -247,33 +257,28 @@ def reconcile(spark: SparkSession, spec: ReconSpec) -> ReconResult:
 
     # small tables
     metrics = metrics_row(spark, counts, rules)
-    write_results(summary(metrics).coalesce(1), paths["summary"], "csv")
+    write_results(summary(metrics), paths["summary"], "csv")
     bases = array_bases(list(rules.fields))
     report = report_table(
         metrics, structure["legacy"], structure["modern"],
         len(layout.fields), list(rules.fields), bases,
     )
     write_results(report.coalesce(1), paths["report"])
-    stats_row = spark.createDataFrame(
-        [tuple(Decimal(int(v)) for v in [compared, *differs.values()])],
-        T.StructType(
-            [
-                T.StructField(n, T.DecimalType(38, 0))
-                for n in ["compared", *[f"differs__{f}" for f in differs]]
-            ]
-        ),
-    )
+    measured = {"compared": compared, **{f"differs__{f}": n for f, n in differs.items()}}
+    stats = one_row(spark, {n: (Decimal(int(v)), H.BIG) for n, v in measured.items()})
     if differs:
-        write_results(field_percentages(stats_row, rules).coalesce(1), paths["field_stats"])
+        write_results(field_percentages(stats, rules), paths["field_stats"])
+    read = totals["total_legacy_records"] + totals["total_modern_records"]
     audit = run_metrics_frame(
         spark,
-        [
-            (stamp, "profile", Decimal(totals["total_legacy_records"] + totals["total_modern_records"]), Decimal(0), began, profiled),
-            (stamp, "compare", Decimal(int(compared)), Decimal(int(wrong)), profiled, joined_at),
-            (stamp, "hot keys", Decimal(int(hot_count)), Decimal(0), joined_at, ended),
-        ],
+        stamp,
+        {
+            "profile": (read, 0, began, profiled),
+            "compare": (over_join["compared"], over_join["mismatched_records"], profiled, joined_at),
+            "hot keys": (compared - over_join["compared"], wrong - over_join["mismatched_records"], joined_at, ended),
+        },
     )
-    audit.coalesce(1).write.mode("append").parquet(paths["run_metrics"])
+    audit.write.mode("append").parquet(paths["run_metrics"])
     return ReconResult(
         status="completed",
         copybook=layout.name,

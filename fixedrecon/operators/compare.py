@@ -23,7 +23,7 @@ from fixedrecon.functions.compare import (
 from fixedrecon.layout import Layout
 from fixedrecon.operators.records import METADATA_COLUMNS, suffix_columns
 
-IN_LEGACY, IN_MODERN = "in_legacy", "in_modern"
+IN_LEGACY, IN_MODERN = "in__legacy", "in__modern"  # no field name has two underscores
 
 
 def compared_columns(

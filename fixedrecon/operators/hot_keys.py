@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from fixedrecon.functions.compare import any_of, as_number
 from fixedrecon.operators.compare import Rules, join_sides
 
+# Column names with two underscores are internal: no field name has them.
 BROADCAST_KEYS = 100_000  # hot keys are broadcast up to this many rows
-SALT, SALTS = "hot_salt", 4096
+SALT, SALTS = "hot__salt", 4096
 BIG = "decimal(38,0)"  # pair counts outgrow a long
 
 
@@ -40,17 +41,17 @@ def key_profile(legacy: DataFrame, modern: DataFrame, keys: Iterable[str]) -> Da
     both = legacy.select(*keys, one.alias("l"), zero.alias("m")).unionByName(
         modern.select(*keys, zero.alias("l"), one.alias("m"))
     )
-    return both.groupBy(*keys).agg(F.sum("l").alias("n_legacy"), F.sum("m").alias("n_modern"))
+    return both.groupBy(*keys).agg(F.sum("l").alias("rows__legacy"), F.sum("m").alias("rows__modern"))
 
 
 def key_matches(keys: Iterable[str]) -> Column:
     """The key occurs on both sides and can be equal to itself (no NULL)."""
-    present = (F.col("n_legacy") > 0) & (F.col("n_modern") > 0)
+    present = (F.col("rows__legacy") > 0) & (F.col("rows__modern") > 0)
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], present)
 
 
 def pairs() -> Column:
-    return F.col("n_legacy").cast("decimal(19,0)") * F.col("n_modern").cast("decimal(19,0)")
+    return F.col("rows__legacy").cast("decimal(19,0)") * F.col("rows__modern").cast("decimal(19,0)")
 
 
 def profile_measures(keys: Iterable[str]) -> list[Column]:
@@ -61,21 +62,21 @@ def profile_measures(keys: Iterable[str]) -> list[Column]:
         return F.sum(F.when(~matched, F.col(count)).otherwise(0))
 
     return [
-        F.coalesce(F.sum("n_legacy"), F.lit(0)).alias("total_legacy_records"),
-        F.coalesce(F.sum("n_modern"), F.lit(0)).alias("total_modern_records"),
-        F.coalesce(alone("n_legacy"), F.lit(0)).alias("legacy_only_records"),
-        F.coalesce(alone("n_modern"), F.lit(0)).alias("modern_only_records"),
+        F.coalesce(F.sum("rows__legacy"), F.lit(0)).alias("total_legacy_records"),
+        F.coalesce(F.sum("rows__modern"), F.lit(0)).alias("total_modern_records"),
+        F.coalesce(alone("rows__legacy"), F.lit(0)).alias("legacy_only_records"),
+        F.coalesce(alone("rows__modern"), F.lit(0)).alias("modern_only_records"),
         F.coalesce(F.sum(F.when(matched, pairs().cast(BIG))), F.lit(0).cast(BIG)).alias("common_records"),
-        F.count_if(F.col("n_legacy") > 1).alias("duplicate_key_groups_legacy"),
-        F.count_if(F.col("n_modern") > 1).alias("duplicate_key_groups_modern"),
+        F.count_if(F.col("rows__legacy") > 1).alias("duplicate_key_groups_legacy"),
+        F.count_if(F.col("rows__modern") > 1).alias("duplicate_key_groups_modern"),
     ]
 
 
 def is_hot(max_rows: int, max_pairs: int) -> Column:
     """Too many rows on a side for one task, or too many pairs to list."""
     return (
-        (F.col("n_legacy") > max_rows)
-        | (F.col("n_modern") > max_rows)
+        (F.col("rows__legacy") > max_rows)
+        | (F.col("rows__modern") > max_rows)
         | (pairs() > F.lit(max_pairs))
     )
 
@@ -113,27 +114,27 @@ def split_hot(
     input split, hence a task that runs again gives the same one."""
     keys = list(keys)
     marks = hot.select(
-        *[F.col(k).alias(f"hot__{k}") for k in keys],
-        "n_legacy",
-        "n_modern",
-        key_matches(keys).alias("matched"),
+        *[F.col(k).alias(f"mark__{k}") for k in keys],
+        "rows__legacy",
+        "rows__modern",
+        key_matches(keys).alias("hot__matched"),
     )
     if hot_count <= BROADCAST_KEYS:
         marks = F.broadcast(marks)
-    same = [F.col(k).eqNullSafe(F.col(f"hot__{k}")) for k in keys]
-    names = [f"hot__{k}" for k in keys]
+    same = [F.col(k).eqNullSafe(F.col(f"mark__{k}")) for k in keys]
+    names = [f"mark__{k}" for k in keys]
     spread = (F.monotonically_increasing_id() % SALTS).cast("int")
 
     def rest(side):
-        marked = side.withColumn("spread", spread).join(marks, same, "left")
+        marked = side.withColumn("hot__spread", spread).join(marks, same, "left")
         return (
-            marked.filter(~F.coalesce("matched", F.lit(False)))
-            .withColumn(SALT, F.when(F.col("matched").isNotNull(), F.col("spread")).otherwise(-1))
+            marked.filter(~F.coalesce("hot__matched", F.lit(False)))
+            .withColumn(SALT, F.when(F.col("hot__matched").isNotNull(), F.col("hot__spread")).otherwise(-1))
             .select(*side.columns, SALT)
         )
 
     def both(side):
-        return side.join(marks, same).filter("matched").drop(*names, "matched")
+        return side.join(marks, same).filter("hot__matched").drop(*names, "hot__matched")
 
     return Split(rest(legacy), rest(modern), both(legacy), both(modern))
 
@@ -166,11 +167,11 @@ def _cell(value: Column, tolerance: float, decimals: int) -> tuple[Column, Colum
 
 
 def variants(hot_side: DataFrame, rules: Rules) -> DataFrame:
-    """Distinct records of hot keys found on both sides, with ``copies``.
+    """Distinct records of hot keys found on both sides, with ``hot__copies``.
     Grouping on the whole record spreads one key over all tasks."""
     values = [F.coalesce(F.col(f), F.lit("")).alias(f) for f in rules.values]
-    return hot_side.groupBy(*rules.keys, *values, "n_legacy", "n_modern").agg(
-        F.count("*").alias("copies")
+    return hot_side.groupBy(*rules.keys, *values, "rows__legacy", "rows__modern").agg(
+        F.count("*").alias("hot__copies")
     )
 
 
@@ -191,13 +192,13 @@ def equal_variants(legacy: DataFrame, modern: DataFrame, rules: Rules) -> DataFr
         *rules.keys,
         *[f"cell__{i}" for i in range(len(rules.values))],
         *[F.col(f).alias(f"{f}_legacy") for f in rules.values],
-        F.col("copies").alias("copies_legacy"),
+        F.col("hot__copies").alias("hot__copies_legacy"),
     )
     right = _with_cells(modern, rules, around=False).select(
         *rules.keys,
         *[f"cell__{i}" for i in range(len(rules.values))],
         *[F.col(f).alias(f"{f}_modern") for f in rules.values],
-        F.col("copies").alias("copies_modern"),
+        F.col("hot__copies").alias("hot__copies_modern"),
     )
     differs = any_of(
         [
@@ -214,22 +215,22 @@ def _times(a: str, b: str) -> Column:
 
 
 def partner_counts(legacy: DataFrame, modern: DataFrame, rules: Rules) -> DataFrame:
-    """Every variant of both sides: ``side, keys, values, copies,
-    partner_records`` (of the same key) and ``equal_partners`` among them.
+    """Every variant of both sides: ``hot__side, keys, values,
+    hot__copies, hot__partners`` (of the same key) and ``hot__equal_partners`` among them.
     Its size is that of the variants, never of the pairs."""
     def entry(side, copies, partners, equal):
         return [
-            F.lit(side).alias("side"),
+            F.lit(side).alias("hot__side"),
             *rules.keys,
             *[F.col(f"{f}_{side}").alias(f) for f in rules.values],
-            copies.cast("long").alias("copies"),
-            partners.cast("long").alias("partner_records"),
-            equal.cast("long").alias("equal_partners"),
+            copies.cast("long").alias("hot__copies"),
+            partners.cast("long").alias("hot__partners"),
+            equal.cast("long").alias("hot__equal_partners"),
         ]
 
     def plain(side, name):
         return side.select(
-            *rules.keys, "copies", "n_legacy", "n_modern",
+            *rules.keys, "hot__copies", "rows__legacy", "rows__modern",
             *[F.col(f).alias(f"{f}_{name}") for f in rules.values],
         )
 
@@ -237,41 +238,41 @@ def partner_counts(legacy: DataFrame, modern: DataFrame, rules: Rules) -> DataFr
     pairs_found = equal_variants(legacy, modern, rules).select(
         F.inline(
             F.array(
-                F.struct(*entry("legacy", none, none, F.col("copies_modern"))),
-                F.struct(*entry("modern", none, none, F.col("copies_legacy"))),
+                F.struct(*entry("legacy", none, none, F.col("hot__copies_modern"))),
+                F.struct(*entry("modern", none, none, F.col("hot__copies_legacy"))),
             )
         )
     )
     own = plain(legacy, "legacy").select(
-        *entry("legacy", F.col("copies"), F.col("n_modern"), zero)
+        *entry("legacy", F.col("hot__copies"), F.col("rows__modern"), zero)
     ).unionByName(
-        plain(modern, "modern").select(*entry("modern", F.col("copies"), F.col("n_legacy"), zero))
+        plain(modern, "modern").select(*entry("modern", F.col("hot__copies"), F.col("rows__legacy"), zero))
     )
     return (
         own.unionByName(pairs_found)
-        .groupBy("side", *rules.keys, *rules.values)
+        .groupBy("hot__side", *rules.keys, *rules.values)
         .agg(
-            F.max("copies").alias("copies"),
-            F.max("partner_records").alias("partner_records"),
-            F.sum("equal_partners").alias("equal_partners"),
+            F.max("hot__copies").alias("hot__copies"),
+            F.max("hot__partners").alias("hot__partners"),
+            F.sum("hot__equal_partners").alias("hot__equal_partners"),
         )
     )
 
 
 def equal_pairs() -> Column:
     """Sum over ``partner_counts``: pairs without mismatch, each counted once."""
-    legacy = F.when(F.col("side") == "legacy", _times("copies", "equal_partners"))
+    legacy = F.when(F.col("hot__side") == "legacy", _times("hot__copies", "hot__equal_partners"))
     return F.coalesce(F.sum(legacy), F.lit(0).cast(BIG)).cast(BIG).alias("hot_equal_pairs")
 
 
 def hot_details(counted: DataFrame) -> DataFrame:
     """Variants that differ from some partner record, with
-    ``mismatched_partners`` and ``mismatched_pairs``."""
+    ``hot__mismatched_partners`` and ``hot__mismatched_pairs``."""
     return (
-        counted.withColumn("mismatched_partners", F.col("partner_records") - F.col("equal_partners"))
-        .filter("mismatched_partners > 0")
-        .withColumn("mismatched_pairs", _times("copies", "mismatched_partners"))
-        .drop("equal_partners")
+        counted.withColumn("hot__mismatched_partners", F.col("hot__partners") - F.col("hot__equal_partners"))
+        .filter("hot__mismatched_partners > 0")
+        .withColumn("hot__mismatched_pairs", _times("hot__copies", "hot__mismatched_partners"))
+        .drop("hot__equal_partners")
     )
 
 
@@ -281,36 +282,36 @@ def hot_field_equals(legacy: DataFrame, modern: DataFrame, rules: Rules) -> Data
 
     def by_value(side, around):
         entries = [
-            F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in rules.values
+            F.struct(F.lit(f).alias("cmp__field"), F.col(f).alias("cmp__value")) for f in rules.values
         ]
-        cells = F.array(F.concat(F.lit("t"), F.col("value")))
+        cells = F.array(F.concat(F.lit("t"), F.col("cmp__value")))
         for f, limit in rules.tolerance.items():
             if f in rules.values and limit > 0:
-                own, near = _cell(F.col("value"), limit, rules.decimals.get(f, 0))
+                own, near = _cell(F.col("cmp__value"), limit, rules.decimals.get(f, 0))
                 cells = F.when(
-                    F.col("field_name") == f, near if around else F.array(own)
+                    F.col("cmp__field") == f, near if around else F.array(own)
                 ).otherwise(cells)
         return (
-            side.select(*rules.keys, "copies", F.inline(F.array(*entries)))
-            .groupBy(*rules.keys, "field_name", "value")
-            .agg(F.sum("copies").alias("copies"))
-            .withColumn("cell", F.explode(cells))
+            side.select(*rules.keys, "hot__copies", F.inline(F.array(*entries)))
+            .groupBy(*rules.keys, "cmp__field", "cmp__value")
+            .agg(F.sum("hot__copies").alias("hot__copies"))
+            .withColumn("cmp__cell", F.explode(cells))
         )
 
     left = by_value(legacy, True)
     right = by_value(modern, False).select(
-        *rules.keys, "field_name", "cell",
-        F.col("value").alias("other"), F.col("copies").alias("other_copies"),
+        *rules.keys, "cmp__field", "cmp__cell",
+        F.col("cmp__value").alias("cmp__other"), F.col("hot__copies").alias("cmp__other_copies"),
     )
     # without a tolerance, equal cells are equal values
     differs = F.lit(False)
     for f in rules.values:
         if rules.tolerance.get(f, 0) > 0:
-            beyond = rules.mismatch(f, F.col("value"), F.col("other"), F.lit(True))
-            differs = F.when(F.col("field_name") == f, beyond).otherwise(differs)
+            beyond = rules.mismatch(f, F.col("cmp__value"), F.col("cmp__other"), F.lit(True))
+            differs = F.when(F.col("cmp__field") == f, beyond).otherwise(differs)
     return (
-        left.join(right, [*rules.keys, "field_name", "cell"])
+        left.join(right, [*rules.keys, "cmp__field", "cmp__cell"])
         .filter(~differs)
-        .groupBy("field_name")
-        .agg(F.sum(_times("copies", "other_copies")).alias("equal_pairs"))
+        .groupBy(F.col("cmp__field").alias("field_name"))
+        .agg(F.sum(_times("hot__copies", "cmp__other_copies")).alias("equal_pairs"))
     )

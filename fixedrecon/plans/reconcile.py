@@ -90,7 +90,7 @@ SIDES = ("legacy", "modern")
 def _side_counts(records: DataFrame, keys: tuple[str, ...], side: str) -> DataFrame:
     """Structure counters of one side, blank-padded for the other."""
     columns = {
-        "n": F.lit(1).cast("long"),
+        "rows": F.lit(1).cast("long"),
         "chars": F.col("record_length").cast("long"),
         "shortest": F.col("record_length"),
         "longest": F.col("record_length"),
@@ -100,7 +100,7 @@ def _side_counts(records: DataFrame, keys: tuple[str, ...], side: str) -> DataFr
     return records.select(
         *keys,
         *[
-            (c if side == s else F.lit(None)).cast("long").alias(f"{m}_{s}")
+            (c if side == s else F.lit(None)).cast("long").alias(f"{m}__{s}")
             for s in SIDES
             for m, c in columns.items()
         ],
@@ -112,21 +112,21 @@ def profile_sides(legacy: DataFrame, modern: DataFrame, keys: tuple[str, ...]) -
     both = _side_counts(legacy, keys, "legacy").unionByName(_side_counts(modern, keys, "modern"))
     aggregates = []
     for s in SIDES:
-        aggregates += [F.coalesce(F.sum(f"n_{s}"), F.lit(0)).alias(f"n_{s}")]
-        aggregates += [F.sum(f"{m}_{s}").alias(f"{m}_{s}") for m in ("chars", "wrong", "empty")]
-        aggregates += [F.min(f"shortest_{s}").alias(f"shortest_{s}")]
-        aggregates += [F.max(f"longest_{s}").alias(f"longest_{s}")]
+        aggregates += [F.coalesce(F.sum(f"rows__{s}"), F.lit(0)).alias(f"rows__{s}")]
+        aggregates += [F.sum(f"{m}__{s}").alias(f"{m}__{s}") for m in ("chars", "wrong", "empty")]
+        aggregates += [F.min(f"shortest__{s}").alias(f"shortest__{s}")]
+        aggregates += [F.max(f"longest__{s}").alias(f"longest__{s}")]
     return both.groupBy(*keys).agg(*aggregates)
 
 
 def _profile_totals(keys: tuple[str, ...], hot) -> list:
     out = H.profile_measures(keys)
     for s in SIDES:
-        out += [F.sum(f"{m}_{s}").alias(f"{m}_{s}") for m in ("chars", "wrong", "empty")]
-        out += [F.min(f"shortest_{s}").alias(f"shortest_{s}")]
-        out += [F.max(f"longest_{s}").alias(f"longest_{s}")]
+        out += [F.sum(f"{m}__{s}").alias(f"{m}__{s}") for m in ("chars", "wrong", "empty")]
+        out += [F.min(f"shortest__{s}").alias(f"shortest__{s}")]
+        out += [F.max(f"longest__{s}").alias(f"longest__{s}")]
         out += [
-            F.sum(F.when(is_blank(F.col(k)), F.col(f"n_{s}")).otherwise(0)).alias(f"blank__{k}__{s}")
+            F.sum(F.when(is_blank(F.col(k)), F.col(f"rows__{s}")).otherwise(0)).alias(f"blank__{k}__{s}")
             for k in keys
         ]
     return out + H.hot_measures(hot, keys)
@@ -148,11 +148,11 @@ def _structure_rows(spark: SparkSession, layout: Layout, keys, totals: dict) ->
             "copybook_name": (layout.name, "string"),
             "expected_length": (layout.record_length, "int"),
             "record_count": (n, "long"),
-            "min_length": (totals[f"shortest_{s}"], "long"),
-            "max_length": (totals[f"longest_{s}"], "long"),
-            "avg_length": (totals[f"chars_{s}"] / n if n else None, "double"),
-            "length_mismatches": (totals[f"wrong_{s}"] or 0, "long"),
-            "empty_records": (totals[f"empty_{s}"] or 0, "long"),
+            "min_length": (totals[f"shortest__{s}"], "long"),
+            "max_length": (totals[f"longest__{s}"], "long"),
+            "avg_length": (totals[f"chars__{s}"] / n if n else None, "double"),
+            "length_mismatches": (totals[f"wrong__{s}"] or 0, "long"),
+            "empty_records": (totals[f"empty__{s}"] or 0, "long"),
             **{f"blank__{k}": (totals[f"blank__{k}__{s}"] or 0, "long") for k in keys},
         }
         rows[s] = (
@@ -212,7 +212,7 @@ def reconcile(spark: SparkSession, spec: ReconSpec) -> ReconResult:
     seen = Observation("key profile")
     profile = profile_sides(legacy, modern, keys).observe(seen, *_profile_totals(keys, hot))
     write_results(
-        profile.filter(hot).select(*keys, "n_legacy", "n_modern"), paths["hot_keys"]
+        profile.filter(hot).select(*keys, "rows__legacy", "rows__modern"), paths["hot_keys"]
     )
     totals, profiled = seen.get, time.time()
     structure = _structure_rows(spark, layout, keys, totals)

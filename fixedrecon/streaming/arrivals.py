@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fixedrecon.functions.text import is_blank
 from fixedrecon.layout import Layout
-from fixedrecon.operators.compare import Rules, join_sides, mismatch_details, tag_mismatches
+from fixedrecon.operators.compare import IN_MODERN, Rules, join_sides, mismatch_details, tag_mismatches
 from fixedrecon.operators.records import parse_records
 
 
@@ -71,7 +71,7 @@ def compare_arrivals(
     legacy partner are included, legacy records not yet delivered are not."""
 
     def process(records: DataFrame) -> DataFrame:
-        joined = join_sides(legacy, records, rules).filter("in_modern")
+        joined = join_sides(legacy, records, rules).filter(IN_MODERN)
         return mismatch_details(tag_mismatches(joined, rules), rules)
 
     return _run(spark, folder, layout, checkpoint, output, process, max_files)

@@ -403,16 +403,16 @@ UNION ALL SELECT 'AMOUNT', count(*) FROM j WHERE same_amount"""
 
 
 def hot_side(side, own, other):
-    return f"""SELECT '{side}' AS side, o.STATUS AS STATUS, o.PRIORITY AS PRIORITY, o.AMOUNT AS AMOUNT, o.ORDER_DATE AS ORDER_DATE,
-    any_value(v.copies) AS copies, count(*) AS partner_records,
-    count(*) FILTER (WHERE o.ORDER_DATE <> p.ORDER_DATE OR CASE WHEN o.x IS NOT NULL AND p.x IS NOT NULL THEN abs(o.x - p.x) > 5000 ELSE o.AMOUNT <> p.AMOUNT END) AS mismatched_partners
+    return f"""SELECT '{side}' AS hot__side, o.STATUS AS STATUS, o.PRIORITY AS PRIORITY, o.AMOUNT AS AMOUNT, o.ORDER_DATE AS ORDER_DATE,
+    any_value(v.copies) AS hot__copies, count(*) AS hot__partners,
+    count(*) FILTER (WHERE o.ORDER_DATE <> p.ORDER_DATE OR CASE WHEN o.x IS NOT NULL AND p.x IS NOT NULL THEN abs(o.x - p.x) > 5000 ELSE o.AMOUNT <> p.AMOUNT END) AS hot__mismatched_partners
     FROM (SELECT DISTINCT STATUS, PRIORITY, AMOUNT, ORDER_DATE, x FROM {own}) o
     JOIN (SELECT STATUS, PRIORITY, AMOUNT, ORDER_DATE, count(*) AS copies FROM {own} GROUP BY ALL) v USING (STATUS, PRIORITY, AMOUNT, ORDER_DATE)
     JOIN {other} p ON o.STATUS = p.STATUS AND o.PRIORITY = p.PRIORITY GROUP BY o.STATUS, o.PRIORITY, o.AMOUNT, o.ORDER_DATE"""
 
 
 ORACLE["cmp_hot_details"] = f"""{HOT}, h AS ({hot_side('legacy', 'ln', 'mn')} UNION ALL {hot_side('modern', 'mn', 'ln')})
-SELECT *, copies * mismatched_partners AS mismatched_pairs FROM h WHERE mismatched_partners > 0"""
+SELECT *, hot__copies * hot__mismatched_partners AS hot__mismatched_pairs FROM h WHERE hot__mismatched_partners > 0"""
 
 # ---------------------------------------------------------------- metrics, jobs
 

@@ -570,7 +570,7 @@ def cmp_hot_fields(spark, sf):
 
 @query
 def cmp_hot_details(spark, sf):
-    return longs(H.hot_details(H.partner_counts(*hot_variants(spark, sf))), "mismatched_pairs")
+    return longs(H.hot_details(H.partner_counts(*hot_variants(spark, sf))), "hot__mismatched_pairs")
 
 
 # ---------------------------------------------------------------- metrics

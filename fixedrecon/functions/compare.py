@@ -21,7 +21,7 @@ def text_differs_strict(legacy: Column, modern: Column) -> Column:
 
 def as_number(text: Column, decimals: int = 0) -> Column:
     """Number in the text or NULL; ``decimals`` places an implied point."""
-    number = text.try_cast("double")
+    number = F.when(text != "", text.try_cast("double"))
     return number / F.lit(float(10**decimals)) if decimals else number
 
 

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 FIELD_LINE = r"^\s*\d{2}\s+[\w-]+"
 ENTRY = r"^\s*(\d{2})\s+([\w-]+)(.*)$"
 PICTURE = r"(?i)(?:^|\s)PIC(?:TURE)?\s+(?:IS\s+)?([\w().-]+)"
-OCCURS = r"(?i)\bOCCURS\s+(\d+)"
+OCCURS = r"(?i)\bOCCURS\s+(\d{1,9})\b"
 REDEFINES = r"(?i)\bREDEFINES\s+([\w-]+)"
-REPEAT = r"[XA9]\((\d+)\)"
+REPEAT = r"(?i)[XA9]\((\d{1,9})\)"
 BAD_REPEAT = r"\((?!\d{1,9}\))"
 SIMPLE_FIELD = r"(?i)(\w[\w-]*)\s+PIC\s+([X9])\((\d+)\)"
 
@@ -29,8 +29,13 @@ def is_field_line(statement: Column) -> Column:
     return statement.rlike(FIELD_LINE)
 
 
+def _whole_number(digits: Column) -> Column:
+    """Number in a text of at most nine digits, NULL for ''."""
+    return F.when(digits != "", digits.cast("int"))
+
+
 def entry_level(statement: Column) -> Column:
-    return F.regexp_extract(statement, ENTRY, 1).try_cast("int")
+    return _whole_number(F.regexp_extract(statement, ENTRY, 1))
 
 
 def entry_name(statement: Column) -> Column:
@@ -54,7 +59,7 @@ def has_bad_repeat(picture: Column) -> Column:
 
 def occurs_count(clauses: Column) -> Column:
     """Repetitions, 1 when there is no OCCURS clause."""
-    found = F.regexp_extract(clauses, OCCURS, 1).try_cast("int")
+    found = _whole_number(F.regexp_extract(clauses, OCCURS, 1))
     return F.greatest(F.coalesce(found, F.lit(1)), F.lit(1))
 
 
@@ -64,34 +69,30 @@ def redefines_target(clauses: Column) -> Column:
     return F.when(name != "", cobol_name(name))
 
 
-def _unsigned(picture: Column) -> Column:
-    return F.regexp_replace(F.upper(picture), "^S", "")
-
-
 def picture_width(part: Column) -> Column:
     """Positions taken by one picture part: repeat counts plus single symbols."""
     repeats = F.regexp_extract_all(part, F.lit(REPEAT), F.lit(1))
-    repeated = F.aggregate(repeats, F.lit(0), lambda total, n: total + n.try_cast("int"))
+    repeated = F.aggregate(repeats, F.lit(0), lambda total, n: total + n.cast("int"))
     singles = F.length(F.translate(F.regexp_replace(part, REPEAT, ""), "()", ""))
     return repeated + singles
 
 
 def picture_length(picture: Column) -> Column:
     """Positions of the whole picture; sign and implied point take none."""
-    return picture_width(F.regexp_replace(_unsigned(picture), "^([^V]*)V", "$1"))
+    return picture_width(F.regexp_replace(picture, "(?i)^S?([^V]*)V?", "$1"))
 
 
 def picture_decimals(picture: Column) -> Column:
     """Positions after the implied point, 0 without one."""
-    fraction = F.regexp_extract(_unsigned(picture), "^[^V]*V(.*)$", 1)
-    return picture_width(fraction)
+    fraction = F.regexp_extract(picture, "(?i)^[^V]*V(.*)$", 1)
+    return F.when(fraction != "", picture_width(fraction)).otherwise(0)
 
 
 def picture_type(picture: Column) -> Column:
     """DECIMAL with an implied point, INTEGER for digits, else STRING."""
-    symbols = F.regexp_replace(_unsigned(picture), r"\(\d+\)", "")
+    symbols = F.regexp_replace(picture, r"\(\d+\)", "")
     return (
-        F.when(symbols.contains("V"), "DECIMAL")
+        F.when(symbols.rlike("(?i)V"), "DECIMAL")
         .when(symbols.contains("9"), "INTEGER")
         .otherwise("STRING")
     )

@@ -100,8 +100,8 @@ def add_redefines_line(fields: DataFrame) -> DataFrame:
 
 def add_ancestors(fields: DataFrame) -> DataFrame:
     """``chain``: the enclosing groups and the entry itself, outermost first,
-    as structs (line_no, occurs, target_line, name). At most one ancestor per
-    level, so a chain is never longer than the number of two-digit levels."""
+    as structs (line_no, occurs, target_line). At most one ancestor per level,
+    so a chain is never longer than the number of two-digit levels."""
     record = W.partitionBy(*RECORD)
     before = (
         W.partitionBy(*RECORD, "slot")
@@ -138,7 +138,7 @@ def add_ancestors(fields: DataFrame) -> DataFrame:
             "line_no",
             *[F.col(f"entry.{a}").alias(a) for a in _ATTRIBUTES],
             F.when(F.size("above") > 0, F.element_at("above", -1)["name"]).alias("parent"),
-            F.concat("above", F.array("entry.node")).alias("chain"),
+            F.transform(F.concat("above", F.array("entry.node")), lambda c: c.dropFields("name")).alias("chain"),
         )
     )
 

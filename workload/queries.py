@@ -552,10 +552,20 @@ def hot_variants(spark, sf):
     rules = C.make_rules(
         legacy, modern, keys, ignore=["ORDER_ID", "ORDER_TIME"], tolerance={"AMOUNT": 5000}
     )
-    hot = H.key_profile(legacy, modern, keys).filter(H.is_hot(10, 100))
-    # at most three statuses and a marker times five priorities
-    split = H.split_hot(legacy, modern, hot, 20, keys)
-    return H.variants(split.hot_legacy, rules), H.variants(split.hot_modern, rules), rules
+    # written once and read by every later step, as in the whole job
+    hot = _stored(H.key_profile(legacy, modern, keys).filter(H.is_hot(10, 100)), "hot-keys")
+    split = H.split_hot(legacy, modern, hot, hot.count(), keys)
+    return (
+        _stored(H.variants(split.hot_legacy, rules), "variants"),
+        _stored(H.variants(split.hot_modern, rules), "variants"),
+        rules,
+    )
+
+
+def _stored(df, purpose):
+    path = sinks.scratch_folder(df.sparkSession, purpose)
+    sinks.write_results(df, path)
+    return df.sparkSession.read.parquet(path)
 
 
 @query

@@ -25,6 +25,9 @@ def parse_records(
 ) -> DataFrame:
     """Slice column ``value`` into trimmed string columns plus the metadata
     columns. One projection: the optimizer drops every slice nobody uses."""
+    clash = sorted(f.name for f in layout.fields if f.name.lower() in METADATA_COLUMNS)
+    if clash:
+        raise ValueError(f"fields named like a metadata column: {', '.join(clash)}")
     line = F.col("value")
     source = source_file if isinstance(source_file, Column) else F.lit(source_file)
     return lines.select(

@@ -90,6 +90,12 @@ def test_scaled_decimals(spark):
     assert details(left, right, scaled) == {}
 
 
+def test_field_named_like_metadata_is_refused(spark):
+    layout = layout_from_tuples("R", [("RECORD_LENGTH", 1, 4, "STRING")])
+    with pytest.raises(ValueError, match="RECORD_LENGTH"):
+        R.parse_records(spark.createDataFrame([("0004",)], "value string"), layout)
+
+
 def test_columns_in_layout_order():
     columns = ["row_number", "B", "A", "FILLER", "K", "load_timestamp"]
     assert C.compared_columns(columns, ["K", "A", "B", "FILLER", "source_file"], ["FILLER"]) == ["B", "A", "K"]

@@ -4,9 +4,11 @@ import pytest
 
 import __spark_entry__ as entry_module
 from tests.oracle_check import compare, duck
+from workload import oracle
+from workload import queries as workload_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLE = workload_queries.QUERIES, oracle.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -25,5 +27,10 @@ def test_every_oracle_has_a_query():
     assert set(QUERIES) - set(ORACLE) == {"dq_run_metrics"}
 
 
+def test_entry_registers_all():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLE) <= set(entry_module.oracle_sql())
+
+
 def test_entry_runs(spark):
     assert entry_module.entry(spark).count() > 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixedrecon.llm import decontaminate, simhash, substring
+from fixedrecon.llm import decontaminate, quality_rules, secret_scan, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,6 +27,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(
+    "op1_quality_rules",
+    r"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+        FROM documents
+    ), s AS (
+        SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS seq
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+    ), r AS (
+        SELECT doc_id, count(DISTINCT word) AS n
+        FROM (SELECT doc_id, unnest(range(i, i + 5)) AS word FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, seq) AS c FROM s) WHERE c > 1)
+        GROUP BY doc_id
+    ), m AS (
+        SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+               len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+               len(list_filter(w, lambda x: list_contains(string_split('STOP', ' '), lower(x)))) AS n_stop
+        FROM d LEFT JOIN r USING (doc_id)
+    ), b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+    SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+           CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+           NOT base_failed AND n_words <= 1000000 AND word_chars / n_words BETWEEN 2 AND 20 AND n_symbols / n_words <= 0.1
+           AND n_dup_lines / n_lines <= 0.5 AND (n_words < 50 OR n_stop / n_words >= 0.02) AS kept
+    FROM b
+    """.replace("STOP", " ".join(quality_rules.STOP_WORDS)),
+)
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics and verdict of every document."""
+    found = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query("op2_secret_scan")
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind"] != "random")
+    return found.select(
+        "doc_id", *[secret_scan.count_of(k).alias(f"n_{k}") for k in secret_scan.KINDS],
+        F.sha2(secret_scan.joined(base), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op3_simhash")
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""

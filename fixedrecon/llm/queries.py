@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixedrecon.llm import decontaminate, quality_rules, secret_scan, simhash, substring
+from fixedrecon.llm import decontaminate, quality_rules, secret_scan, simhash, substring, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -139,3 +140,9 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the passages that a document of smaller id has."""
     found = substring.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_token_files")
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the token files, as read back from them."""
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

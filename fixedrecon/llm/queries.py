@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixedrecon.llm import decontaminate, quality_rules, secret_scan, simhash, substring, token_files
+from fixedrecon.llm import decontaminate, quality_rules, secret_scan, sentencepieces, simhash, substring, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -146,3 +146,9 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the token files, as read back from them."""
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_sentencepiece")
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    return sentencepieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

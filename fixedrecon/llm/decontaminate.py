@@ -114,40 +114,72 @@ def _runs(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
+def _hits(column: pa.Array, tables: list[PatternTable]):
+    """For each chunk: first row, end row, words, whether each word is hit, items of each row."""
+    for row, end, data, offsets in chunks(column):
+        words = _split(data, offsets)
+        hashes, raw, text = word_hashes(words), words.data.tobytes(), words.text
+        edges, items = np.zeros(len(hashes) + 1, dtype=np.int64), [set() for _ in range(end - row)]
+        for table in tables:
+            first, pattern = table.search(words, hashes, raw)
+            np.add.at(edges, first, 1)
+            np.add.at(edges, first + table.length, -1)
+            for t, p in zip(text[first].tolist(), pattern.tolist()):
+                items[t].update(table.owners[p])
+        yield row, end, words, np.cumsum(edges[:-1]) > 0, items
+
+
+SPANS = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+
+
 def _search_part(docs: DataFrame, texts: list[str | None], names: list[str | None], window: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast((pattern_tables(texts, window), names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, names = sent.value
         for batch in batches:
-            for row, end, data, offsets in chunks(batch.column(1)):
-                words = _split(data, offsets)
-                hashes, raw, text = word_hashes(words), words.data.tobytes(), words.text
-                edges, items = np.zeros(len(hashes) + 1, dtype=np.int64), [set() for _ in range(end - row)]
-                for table in tables:
-                    first, pattern = table.search(words, hashes, raw)
-                    np.add.at(edges, first, 1)
-                    np.add.at(edges, first + table.length, -1)
-                    for t, p in zip(text[first].tolist(), pattern.tolist()):
-                        items[t].update(table.owners[p])
-                covered, spans = np.cumsum(edges[:-1]) > 0, []
+            for row, end, words, covered, items in _hits(batch.column(1), tables):
+                spans = []
                 for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
                     s, e = _runs(covered[a:b])
                     spans.append([{"s": x, "e": y} for x, y in zip(s.tolist(), e.tolist())])
                 listed = [sorted({names[i] for i in found if names[i] is not None}) for found in items]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(row, end - row),
-                        pa.array(words.counts.astype(np.int64)),
-                        pa.array(spans, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))),
-                        pa.array(listed, pa.list_(pa.string())),
-                    ],
-                    ["doc_id", "n_words", "spans", "items"],
-                )
+                columns = [
+                    batch.column(0).slice(row, end - row), pa.array(words.counts.astype(np.int64)),
+                    pa.array(spans, SPANS), pa.array(listed, pa.list_(pa.string())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "spans", "items"])
 
     return docs.mapInArrow(run, RESULT)
 
 
+def _parts(benchmark: DataFrame, part_bytes: int) -> Iterator[tuple[list[str | None], list[str | None]]]:
+    """(texts, ids as strings) of the benchmark in parts of about ``part_bytes`` of text."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("name"), F.col("text").alias("passage"))
+    size = items.agg(F.sum(F.octet_length("passage"))).first()[0] or 0
+    parts = max(1, -(-size // part_bytes))
+    for k in range(parts):
+        part = items.where(F.pmod(F.xxhash64("name", "passage"), F.lit(parts)) == k).orderBy("name", "passage").collect()
+        yield [r["passage"] for r in part], [r["name"] for r in part]
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in whose text no window of the benchmark occurs; one pass for each part."""
+    at = docs.columns.index(text_col)
+    for texts, _ in _parts(benchmark, part_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast(pattern_tables(texts, window))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = np.zeros(batch.num_rows, dtype=bool)
+                for row, _, words, covered, _ in _hits(batch.column(at), sent.value):
+                    hit[row + np.unique(words.text[covered])] = True
+                yield batch.filter(pa.array(~hit))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def _merged(spans: Column) -> Column:
     """Overlapping and touching spans joined; ``spans`` in ascending order."""
 
@@ -167,13 +199,8 @@ def find_passages(
     """(doc_id, n_words, spans, items) for each row of ``docs``: runs of hit words (first word, word
     after the last) and the ids, as sorted strings, of the items with an occurrence."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    items = benchmark.select(F.col("item_id").cast("string").alias("name"), F.col("text").alias("passage"))
-    size = items.agg(F.sum(F.octet_length("passage"))).first()[0] or 0
-    parts, found = max(1, -(-size // part_bytes)), []
-    for k in range(parts):
-        part = items.where(F.pmod(F.xxhash64("name", "passage"), F.lit(parts)) == k).orderBy("name", "passage").collect()
-        found.append(_search_part(rows, [r["passage"] for r in part], [r["name"] for r in part], window))
-    if parts == 1:
+    found = [_search_part(rows, texts, names, window) for texts, names in _parts(benchmark, part_bytes)]
+    if len(found) == 1:
         return found[0]
     together = found[0]
     for more in found[1:]:

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixedrecon.llm import decontaminate, quality_rules, secret_scan, sentencepieces, simhash, substring, token_files
+from fixedrecon.llm import (
+    decontaminate,
+    language,
+    license_scan,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    sentencepieces,
+    simhash,
+    substring,
+    token_files,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -152,3 +163,61 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
     return sentencepieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def held_out(doc_id: str = "doc_id"):
+    """The third of the documents whose labels are never learned from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+@query("op4_language")
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(~held_out()))
+    found = language.identify(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op8_quality_sampling")
+def op8_quality_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight of every document, and the sample of as large a share as the labels call good."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    share = labels.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0] or 0.0
+    return quality_model.resample(docs, quality_model.target_ids(labels), share)
+
+
+def _license_sql() -> str:
+    """Dice by explicit bigram sets, every line and block against every template."""
+    rows = ", ".join(f"({i}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')" for i, (name, text) in enumerate(license_scan.TEMPLATES))
+    grams = "SELECT DISTINCT {key}, w[i] || ' ' || w[i + 1] AS g FROM (SELECT {key}, w, unnest(range(1, len(w))) AS i FROM {source})"
+    words = "list_filter(string_split_regex(lower({text}), '[^a-z0-9]+'), lambda x: x <> '')"
+    return rf"""
+    WITH t(place, license, body) AS (VALUES {rows}),
+    tw AS (SELECT place, {words.format(text="body")} AS w FROM t), tg AS ({grams.format(key="place", source="tw")}),
+    tn AS (SELECT place, count(*) AS n FROM tg GROUP BY place),
+    s AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS segment FROM documents
+        UNION ALL
+        SELECT doc_id, segment FROM (SELECT doc_id, unnest(string_split_regex(text, '\n\s*\n')) AS segment FROM documents WHERE regexp_matches(text, '\n\s*\n'))
+        WHERE contains(segment, chr(10))
+    ),
+    sw AS (SELECT row_number() OVER () AS sid, doc_id, {words.format(text="segment")} AS w FROM s),
+    sg AS ({grams.format(key="sid", source="sw")}), sn AS (SELECT sid, count(*) AS n FROM sg GROUP BY sid),
+    c AS (SELECT sid, place, count(*) AS n FROM sg JOIN tg USING (g) GROUP BY sid, place),
+    d AS (SELECT sid, place, 2.0 * c.n / (sn.n + tn.n) AS dice FROM c JOIN sn USING (sid) JOIN tn USING (place)),
+    m AS (SELECT sid, max((dice, -place)) AS best FROM d WHERE dice >= {license_scan.LEAST} GROUP BY sid),
+    f AS (SELECT doc_id, count(*) AS n, max(best) AS best FROM m JOIN sw USING (sid) GROUP BY doc_id)
+    SELECT x.doc_id, coalesce(f.n, 0) AS n_licenses, license, f.best[1] AS dice
+    FROM documents x LEFT JOIN f USING (doc_id) LEFT JOIN t ON t.place = -f.best[2]
+    """
+
+
+@query("op9_license_scan", _license_sql())
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every document and the likeliest of them."""
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    first = license_scan.best(F.col("licenses"))
+    return found.select(
+        "doc_id", F.size("licenses").cast("long").alias("n_licenses"), first["license"].alias("license"), first["dice"].alias("dice")
+    )

@@ -26,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fixedrecon.llm.components import components
@@ -223,3 +223,13 @@ def near_duplicates(
         "fp", F.coalesce("b", "rep").alias("component_id")
     )
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_representatives(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each near-duplicate component of ``docs``, the one of smallest id, with all columns. Of rows
+    with that id the one with the first text stays; rows with a null id are left out."""
+    found = near_duplicates(docs, distance, shingle, id_col, text_col)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    joined = docs.join(kept, F.col(id_col) == F.col("_kept_id")).drop("_kept_id")
+    first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
+    return joined.withColumn("_place", first).where("_place = 1").select(*docs.columns)

@@ -123,34 +123,64 @@ def _windows(docs: DataFrame, total: int, known_size: int) -> DataFrame:
                 continue
             w1, w2, text, pos = (np.concatenate(x) for x in zip(*parts))
             ids = batch.column(0).to_numpy()[text]
-            order = np.lexsort((ids, w2, w1))
+            order = np.lexsort((pos, ids, w2, w1))
             w1, w2, text, pos, ids = w1[order], w2[order], text[order], pos[order], ids[order]
-            starts = np.flatnonzero(np.append(True, (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]))) if len(w1) else []
-            least = np.repeat(ids[starts], np.diff(np.append(starts, len(ids)))) if len(w1) else ids
-            settled = ids > least
-            order = np.lexsort((pos[settled], text[settled]))
-            gone, at = text[settled][order], pos[settled][order]
-            heads = np.flatnonzero(np.append(True, (gone[1:] != gone[:-1]) | (at[1:] != at[:-1] + 1))) if len(at) else np.zeros(0, int)
-            runs = np.diff(np.append(heads, len(at)))
-            rows = np.concatenate((text[~settled], gone[heads]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate((w1[~settled].view(np.int64), np.zeros(len(heads), np.int64))), mask=np.arange(len(rows)) >= (~settled).sum()),
-                    pa.array(np.concatenate((w2[~settled].view(np.int64), np.zeros(len(heads), np.int64)))),
-                    batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)),
-                    pa.array(np.concatenate((pos[~settled], at[heads]))),
-                    pa.array(np.concatenate((np.ones((~settled).sum(), np.int64), runs))),
-                ],
-                ["w1", "w2", "doc_id", "version", "pos", "n"],
-            )
-
-    return docs.mapInArrow(run, "w1 long, w2 long, doc_id long, version long, pos long, n long")
+            starts = _heads(w1, w2)
+            least = np.repeat(ids[starts], np.diff(np.append(starts, len(ids))))
+            yield _settled(batch, text[ids > least], pos[ids > least])
+            open_ = np.flatnonzero(ids == least)
+            yield _unsettled(batch, w1[open_], w2[open_], text[open_], pos[open_])
+
+    return docs.mapInArrow(run, WINDOW_ROWS)
+
+
+WINDOW_ROWS = "w1 long, w2 long, doc_id long, version long, pos int, more array<int>"
+LISTS = pa.list_(pa.int32())
+
+
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins."""
+    if not len(columns[0]):
+        return np.zeros(0, dtype=np.int64)
+    return np.flatnonzero(np.append(True, np.any([c[1:] != c[:-1] for c in columns], axis=0)))
+
+
+def _window_rows(batch: pa.RecordBatch, w1, w2, text: np.ndarray, pos, more: pa.Array) -> pa.RecordBatch:
+    rows = pa.array(text)
+    columns = [w1, w2, batch.column(0).take(rows), batch.column(1).take(rows), pos, more]
+    return pa.RecordBatch.from_arrays(columns, ["w1", "w2", "doc_id", "version", "pos", "more"])
+
+
+def _settled(batch: pa.RecordBatch, text: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+    """One row for each text: the runs (start, number) of windows to remove, in ``more``."""
+    order = np.lexsort((pos, text))
+    text, pos = text[order], pos[order]
+    heads = _heads(text, pos - np.arange(len(pos)))
+    runs = np.stack([pos[heads], np.diff(np.append(heads, len(pos)))], axis=1).astype(np.int32).ravel()
+    owners, size = np.unique(text[heads], return_counts=True)
+    more = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(2 * size)), pa.int32()), pa.array(runs))
+    return _window_rows(batch, pa.nulls(len(owners), pa.int64()), pa.nulls(len(owners), pa.int64()), owners, pa.nulls(len(owners), pa.int32()), more)
+
+
+def _unsettled(batch: pa.RecordBatch, w1, w2, text: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+    """One row for each window of each text: its first start and, in ``more``, the others. Rows come
+    in the order of the texts, in which they are written small."""
+    heads = _heads(w1, w2, text)
+    size = np.diff(np.append(heads, len(text))) - 1
+    order = np.lexsort((pos[heads], text[heads]))
+    offsets = np.append(0, np.cumsum(size[order]))
+    taken = np.repeat(heads[order] + 1 - offsets[:-1], size[order]) + np.arange(offsets[-1])
+    more = pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32(), mask=np.append(size[order] == 0, False)), pa.array(pos[taken].astype(np.int32))
+    )
+    at = heads[order]
+    return _window_rows(batch, pa.array(w1[at].view(np.int64)), pa.array(w2[at].view(np.int64)), text[at], pa.array(pos[at].astype(np.int32)), more)
 
 
 def repeated_windows(docs: DataFrame, words: int = WORDS, start: int = START, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, version, runs): for each document with windows that also start in one of smaller
-    id, the runs (pos, n) of starts of such windows. version: a hash of the text, which tells
-    rows of equal ids apart."""
+    """(doc_id, version, runs, points): for each document with windows that also start in one of
+    smaller id, the starts of such windows: runs (start, number), flattened, and single ones.
+    version: a hash of the text, which tells rows of equal ids apart."""
     text = F.col(text_col)
     rows = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text")
@@ -168,9 +198,13 @@ def repeated_windows(docs: DataFrame, words: int = WORDS, start: int = START, id
     windows = stored(_windows(left, words, known_size), "windows")
     rank = F.rank().over(Window.partitionBy("w1", "w2").orderBy("doc_id"))
     later = windows.where("w1 IS NOT NULL").withColumn("rank", rank).where("rank > 1")
-    settled = windows.where("w1 IS NULL")
-    starts = later.select("doc_id", "version", "pos", "n").union(settled.select("doc_id", "version", "pos", "n"))
-    return starts.groupBy("doc_id", "version").agg(F.collect_list(F.struct("pos", "n")).alias("runs"))
+    none = F.array().cast("array<int>")
+    points = F.concat(F.array("pos"), F.coalesce("more", none))
+    settled = windows.where("w1 IS NULL").select("doc_id", "version", F.col("more").alias("runs"), none.alias("points"))
+    starts = later.select("doc_id", "version", none.alias("runs"), points.alias("points")).union(settled)
+    return starts.groupBy("doc_id", "version").agg(
+        F.flatten(F.collect_list("runs")).alias("runs"), F.flatten(F.collect_list("points")).alias("points")
+    )
 
 
 def remove_repeats(docs: DataFrame, words: int = WORDS, start: int = START, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,12 +216,14 @@ def remove_repeats(docs: DataFrame, words: int = WORDS, start: int = START, id_c
             for row, end, data, offsets in chunks(batch.column(1)):
                 split = single_spaced(split_words(data, offsets))
                 edges = np.zeros(len(split.start) + 1, dtype=np.int64)
-                found = batch.column(2).slice(row, end - row)
-                for i, runs in enumerate(found.to_pylist()):
-                    for r in runs or ():
-                        at = split.first[i] + r["pos"]
-                        edges[at] += 1
-                        edges[at + r["n"] - 1 + words] -= 1
+                runs, points = (batch.column(c).slice(row, end - row) for c in (2, 3))
+                for i in np.flatnonzero(runs.is_valid()).tolist():
+                    pairs = np.array(runs[i].as_py(), dtype=np.int64).reshape(-1, 2)
+                    ones = np.array(points[i].as_py(), dtype=np.int64)
+                    begin = np.concatenate((pairs[:, 0], ones)) + split.first[i]
+                    size = np.concatenate((pairs[:, 1], np.ones_like(ones))) + words - 1
+                    np.add.at(edges, begin, 1)
+                    np.add.at(edges, begin + size, -1)
                 gone, raw, kept, cut = np.cumsum(edges[:-1]) > 0, split.data.tobytes(), [], []
                 ends, starts = split.end, split.start
                 for a, b in zip(split.first[:-1].tolist(), split.first[1:].tolist()):
@@ -210,5 +246,5 @@ def remove_repeats(docs: DataFrame, words: int = WORDS, start: int = START, id_c
     found = stored(repeated_windows(docs, words, start, id_col, text_col), "repeats")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("version", F.xxhash64("text"))
-    joined = rows.join(found, ["doc_id", "version"], "left").select("doc_id", "text", "runs")
+    joined = rows.join(found, ["doc_id", "version"], "left").select("doc_id", "text", "runs", "points")
     return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string, removed array<struct<s:long,e:long>>")

@@ -87,7 +87,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text_col:
         for batch in batches:
             for row, end, data, offsets in chunks(batch.column(1)):
                 owner, bucket = ngram_buckets(data, offsets)
-                weight = np.bincount(owner, weights=sent.value[bucket], minlength=end - row)
+                weight = np.bincount(owner, weights=sent.value[bucket], minlength=end - row).astype(float)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), pa.array(weight)], ["doc_id", "log_weight"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -9,7 +9,7 @@ follows the longest piece and not the text.
 The model decides what is best. For a unigram model it is the sum of scores. For a BPE model it is
 the segmentation that its merges would make: a last piece is admissible only if it and the piece
 before it are what the merges make of their joined text, and exactly one is. (Tests compare
-both with the library.)
+both with the library; of segmentations with equal sums either may come.)
 
 A text is cut where no piece can reach across: before a run of blanks, and around characters
 that occur in no longer piece. Parts recur, so the ids of a bounded number of them are kept.
@@ -66,7 +66,7 @@ class PieceModel:
         self.ends = {}  # lengths of the pieces by their last character
         for p in self.ids:
             self.ends.setdefault(p[-1], set()).add(len(p))
-        self.ends = {c: sorted(n) for c, n in self.ends.items()}
+        self.ends = {c: sorted({1, *n}, reverse=True) for c, n in self.ends.items()}
         self.admissible = lru_cache(1 << 18)(self._admissible)
         long = [p for p in self.ids if len(p) > 1]
         joined = {c for p in long for c in p}
@@ -143,11 +143,10 @@ class StreamingEncoder:
     def _extend(self) -> None:
         text, model, end = self.text, self.model, len(self.text)
         best: tuple[int, float] | None = None
-        lengths = model.ends.get(text[-1], ())
-        for n in lengths if 1 in lengths else (1, *lengths):
+        for n in model.ends.get(text[-1], (1,)):  # longest first: it wins a tie
             start = end - n
             if start < 0:
-                break
+                continue
             piece = text[start:end]
             if n > 1 and piece not in model.ids:
                 continue
@@ -187,9 +186,8 @@ class StreamingEncoder:
                 done += ids
             self.before, self.tail_unknown = piece, unknown
         if boundary:
-            base = self.back[boundary][1]
             self.text = self.text[boundary:]
-            self.back = [(max(0, b - boundary), s - base) for b, s in self.back[boundary:]]
+            self.back = [(max(0, b - boundary), s) for b, s in self.back[boundary:]]
         return done
 
 

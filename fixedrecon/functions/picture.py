@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 FIELD_LINE = r"^\s*\d{2}\s+[\w-]+"
 ENTRY = r"^\s*(\d{2})\s+([\w-]+)(.*)$"
 PICTURE = r"(?i)(?:^|\s)PIC(?:TURE)?\s+(?:IS\s+)?([\w().-]+)"
-OCCURS = r"(?i)\bOCCURS\s+(\d{1,9})\b"
+OCCURS = r"(?i)\bOCCURS\s+(\d+)\b"
 REDEFINES = r"(?i)\bREDEFINES\s+([\w-]+)"
 REPEAT = r"(?i)[XA9]\((\d{1,9})\)"
 BAD_REPEAT = r"\((?!\d{1,9}\))"
@@ -59,10 +59,16 @@ def has_bad_repeat(picture: Column) -> Column:
 
 def occurs_count(clauses: Column) -> Column:
     """Repetitions, 1 when there is no OCCURS clause."""
-    found = _whole_number(F.regexp_extract(clauses, OCCURS, 1))
+    found = F.regexp_extract(clauses, OCCURS, 1).try_cast("int")
     return F.greatest(F.coalesce(found, F.lit(1)), F.lit(1))
 
 
+def has_bad_occurs(clauses: Column) -> Column:
+    """True where the repetitions outgrow an integer."""
+    digits = F.regexp_extract(clauses, OCCURS, 1)
+    return (digits != "") & digits.try_cast("int").isNull()
+
+
 def redefines_target(clauses: Column) -> Column:
     """Name of the redefined field or NULL."""
     name = F.regexp_extract(clauses, REDEFINES, 1)

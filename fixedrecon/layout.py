@@ -6,7 +6,7 @@ A layout is metadata: its size is that of one copybook, never of the data.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ class LayoutField:
     decimals: int = 0
     base_name: str = ""
     kind: str = "elementary"
+    is_pk: bool = False
 
     @property
     def end(self) -> int:
@@ -50,6 +51,11 @@ class Layout:
         wanted = set(bases)
         return {f.name for f in self.fields if f.name in wanted or f.base_name in wanted}
 
+    def with_keys(self, keys: Iterable[str]) -> Layout:
+        """The layout with ``is_pk`` set for fields whose own or base name is a key."""
+        named = self.names_of(keys)
+        return replace(self, fields=tuple(replace(f, is_pk=f.name in named) for f in self.fields))
+
     def field(self, name: str) -> LayoutField:
         return next(f for f in self.fields if f.name == name)
 
@@ -60,6 +66,13 @@ def layout_from_tuples(name: str, rows: Iterable[tuple[str, int, int, str]]) ->
     return Layout(name, max((f.end for f in fields), default=0), fields)
 
 
+def one_copybook(rows: DataFrame) -> DataFrame:
+    """``rows``, after a look at two ids: an error if there are several copybooks."""
+    if len(rows.select("copybook_id").distinct().limit(2).collect()) > 1:
+        raise ValueError("several copybooks found: name the one to apply")
+    return rows
+
+
 def collect_layout(
     layouts: DataFrame, copybook_id: str | None = None, record_name: str | None = None
 ) -> Layout:
@@ -70,14 +83,13 @@ def collect_layout(
         wanted = wanted.filter(F.col("copybook_id") == copybook_id)
     if record_name is not None:
         wanted = wanted.filter(F.col("record_name") == record_name)
-    rows = wanted.select(
-        "copybook_id", "copybook_name", "record_no", "occ_path", "field_name", "base_name", "kind",
+    one = one_copybook(wanted)
+    first = one.agg(F.min("record_no")).first()[0] or 0
+    rows = one.filter(F.col("record_no") == first).select(
+        "copybook_name", "occ_path", "field_name", "base_name", "kind",
         "data_type", "decimal_positions", "length", "start_pos", "end_pos",
     ).collect()
-    if len({r.copybook_id for r in rows}) > 1:
-        raise ValueError("several copybooks found: name the one to apply")
-    first = min((r.record_no for r in rows), default=0)
-    rows = sorted((r for r in rows if r.record_no == first), key=lambda r: r.occ_path)
+    rows = sorted(rows, key=lambda r: r.occ_path)
     fields = tuple(
         LayoutField(
             r.field_name, r.start_pos, r.length, r.data_type, r.decimal_positions, r.base_name, r.kind

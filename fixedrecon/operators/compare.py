@@ -85,7 +85,7 @@ def make_rules(
     return Rules(tuple(keys), tuple(fields), dict(tolerance or {}), decimals)
 
 
-def join_sides(legacy: DataFrame, modern: DataFrame, rules: Rules) -> DataFrame:
+def join_sides(legacy: DataFrame, modern: DataFrame, rules: Rules, how: str = "full_outer") -> DataFrame:
     """Full outer join on the keys; keys are merged, other fields get
     ``_legacy`` and ``_modern``. Only keys and compared fields are shuffled."""
     left = suffix_columns(legacy, rules.keys, rules.values, "legacy").withColumn(
@@ -94,7 +94,7 @@ def join_sides(legacy: DataFrame, modern: DataFrame, rules: Rules) -> DataFrame:
     right = suffix_columns(modern, rules.keys, rules.values, "modern").withColumn(
         IN_MODERN, F.lit(True)
     )
-    return left.join(right, list(rules.keys), "full_outer").withColumns(
+    return left.join(right, list(rules.keys), how).withColumns(
         {
             IN_LEGACY: F.coalesce(IN_LEGACY, F.lit(False)),
             IN_MODERN: F.coalesce(IN_MODERN, F.lit(False)),
@@ -103,14 +103,14 @@ def join_sides(legacy: DataFrame, modern: DataFrame, rules: Rules) -> DataFrame:
 
 
 def join_sides_by_condition(
-    legacy: DataFrame, modern: DataFrame, keys: Iterable[str], fields: Iterable[str]
+    legacy: DataFrame, modern: DataFrame, keys: Iterable[str], fields: Iterable[str], how: str = "full_outer"
 ) -> DataFrame:
     """Full outer join that keeps both key sets: ``l_<field>``, ``m_<field>``."""
     fields = list(fields)
     left = legacy.select(*[F.col(c).alias(f"l_{c}") for c in fields], F.lit(True).alias(IN_LEGACY))
     right = modern.select(*[F.col(c).alias(f"m_{c}") for c in fields], F.lit(True).alias(IN_MODERN))
     condition = [F.col(f"l_{k}") == F.col(f"m_{k}") for k in keys]
-    return left.join(right, condition, "full_outer").withColumns(
+    return left.join(right, condition, how).withColumns(
         {
             IN_LEGACY: F.coalesce(IN_LEGACY, F.lit(False)),
             IN_MODERN: F.coalesce(IN_MODERN, F.lit(False)),

@@ -20,7 +20,6 @@ CONTINUED_CARD = r"^(?:\d{6}| {6})[+-]"
 KEPT_LINE = r"^\s*[^\s*C]"  # neither blank nor a remark starting with * or C
 NON_STORAGE_LEVELS = (66, 88)
 UNKNOWN_COPYBOOK = "UNKNOWN_COPYBOOK"
-NAME_SEARCH_LINES = 10
 
 
 def normalise_lines(lines: DataFrame) -> DataFrame:
@@ -88,17 +87,13 @@ def describe_entries(kept: DataFrame) -> DataFrame:
         .withColumn(
             "reject_reason",
             F.when(~F.col("is_field"), "no level number and name")
-            .when(F.col("bad_repeat"), "repeat count is not a number"),
+            .when(F.col("bad_repeat"), "repeat count is not a number")
+            .when(P.has_bad_occurs(clauses), "OCCURS count is too large"),
         )
         .drop("is_field", "bad_repeat", "clauses")
     )
 
 
-def field_table(lines: DataFrame) -> DataFrame:
-    """Usable storage entries; condition names and renames are left out."""
-    return entries_with_storage(describe_entries(statements(lines)))
-
-
 def entries_with_storage(entries: DataFrame) -> DataFrame:
     return entries.filter(
         F.col("reject_reason").isNull() & ~F.col("level").isin(*NON_STORAGE_LEVELS)
@@ -115,11 +110,11 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
 
 
 def copybook_names(lines: DataFrame) -> DataFrame:
-    """``copybook_id, copybook_name``: the first 01 entry in the first ten lines."""
+    """``copybook_id, copybook_name``: the first 01 entry."""
     ids = lines.groupBy("copybook_id").agg(F.lit(UNKNOWN_COPYBOOK).alias("fallback"))
     first = (
         describe_entries(statements(lines))
-        .filter((F.col("level") == 1) & (F.col("line_no") <= NAME_SEARCH_LINES))
+        .filter(F.col("level") == 1)
         .groupBy("copybook_id")
         .agg(F.min_by("field_name", "line_no").alias("name"))
     )

@@ -1,18 +1,21 @@
-"""Keys with very many records.
+"""Keys with several records on a side.
 
 A comparison joins every legacy record with every modern record of the same
 key. Keys are meant to be unique, but a blank key can hold a large share of
-both files, and then the pairs of that one key would neither fit a task nor
-any disk. Such keys are found exactly and handled apart:
-
-* records of a hot key found on one side only match nothing; a salt spreads
-  them over all tasks of the ordinary join;
-* for a hot key found on both sides the pairs are counted, not built: equal
-  records of a side collapse into variants with a count, variants that agree
-  on every field are matched by one equi-join on all of them, and the rest of
-  the ``legacy rows x modern rows`` pairs are mismatches. The counts equal
-  those of the full join; the details list each differing variant once with
-  the number of pairs it stands for.
+both files. What is written for such keys is the caller's choice and the same
+at every number of records:
+
+* ``variants``: equal records of a side collapse into variants with a count,
+  variants that agree on every field are matched by one equi-join on all of
+  them, and the rest of the ``legacy rows x modern rows`` pairs are mismatches.
+  The counts equal those of the full join; the details list each differing
+  variant once with the number of pairs it stands for;
+* ``pairs``: every pair is listed like any other record.
+
+Counts decide about the spreading of records only. Those of a crowded key on
+one side match nothing: a salt spreads them over all tasks of the outer join.
+Those of a crowded key on both sides need no outer join: both sides are cut
+into chunks, and each pair of chunks is one group of an inner join.
 """
 
 from __future__ import annotations
@@ -28,8 +31,9 @@ from fixedrecon.functions.compare import any_of, as_number
 from fixedrecon.operators.compare import Rules, join_sides
 
 # Column names with two underscores are internal: no field name has them.
-BROADCAST_KEYS = 100_000  # hot keys are broadcast up to this many rows
 SALT, SALTS = "hot__salt", 4096
+CHUNKS = ("hot__chunk_legacy", "hot__chunk_modern")
+SPREAD_ROWS = 10_000  # rows of a key in one group of a join
 BIG = "decimal(38,0)"  # pair counts outgrow a long
 
 
@@ -72,22 +76,40 @@ def profile_measures(keys: Iterable[str]) -> list[Column]:
     ]
 
 
-def is_hot(max_rows: int, max_pairs: int) -> Column:
-    """Too many rows on a side for one task, or too many pairs to list."""
-    return (
-        (F.col("rows__legacy") > max_rows)
-        | (F.col("rows__modern") > max_rows)
-        | (pairs() > F.lit(max_pairs))
-    )
+DUPLICATE_KEYS = ("variants", "pairs")
+
+
+def checked_choice(duplicate_keys: str) -> str:
+    if duplicate_keys not in DUPLICATE_KEYS:
+        raise ValueError(f"duplicate_keys is one of {', '.join(DUPLICATE_KEYS)}")
+    return duplicate_keys
+
+
+def duplicated() -> Column:
+    """More than one record of the key on a side."""
+    return (F.col("rows__legacy") > 1) | (F.col("rows__modern") > 1)
 
 
-def hot_measures(hot: Column, keys: Iterable[str]) -> list[Column]:
-    """Hot keys on one side, on both, and the pairs of the latter."""
+def crowded(spread_rows: int) -> Column:
+    """More records of the key on a side than one group of a join should take."""
+    return (F.col("rows__legacy") > spread_rows) | (F.col("rows__modern") > spread_rows)
+
+
+def is_marked(keys: Iterable[str], duplicate_keys: str, spread_rows: int) -> Column:
+    """Keys that the plain outer join is not to take as they are."""
+    matched = key_matches(keys)
+    if duplicate_keys == "variants":
+        return (matched & duplicated()) | (~matched & crowded(spread_rows))
+    return crowded(spread_rows)
+
+
+def marked_measures(marked: Column, keys: Iterable[str]) -> list[Column]:
+    """Marked keys on one side, on both, and the pairs of the latter."""
     matched = key_matches(keys)
     return [
-        F.count_if(hot & ~matched).alias("hot_one_sided"),
-        F.count_if(hot & matched).alias("hot_two_sided"),
-        F.coalesce(F.sum(F.when(hot & matched, pairs().cast(BIG))), F.lit(0).cast(BIG)).alias("hot_pairs"),
+        F.count_if(marked & ~matched).alias("marked_one_sided"),
+        F.count_if(marked & matched).alias("marked_two_sided"),
+        F.coalesce(F.sum(F.when(marked & matched, pairs().cast(BIG))), F.lit(0).cast(BIG)).alias("marked_pairs"),
     ]
 
 
@@ -97,54 +119,76 @@ class Split:
 
     rest_legacy: DataFrame  # to be joined, with a salt
     rest_modern: DataFrame
-    hot_legacy: DataFrame  # of keys hot and found on both sides, with row counts
-    hot_modern: DataFrame
+    both_legacy: DataFrame  # of marked keys found on both sides, with row counts
+    both_modern: DataFrame
 
 
-def split_hot(
-    legacy: DataFrame, modern: DataFrame, hot: DataFrame, hot_count: int, keys: Iterable[str]
-) -> Split:
-    """Route records by the table of hot keys. ``hot_count`` is its checked
-    number of rows: a small table is broadcast, so that no hot key is ever
-    shuffled as one; a larger one is left to an ordinary join, whose left side
-    the adaptive optimizer can split.
+def split_marked(legacy: DataFrame, modern: DataFrame, marks: DataFrame, keys: Iterable[str]) -> Split:
+    """Route records by the table of marked keys. The adaptive planner takes
+    its measured size: it broadcasts a small one, and splits the records of a
+    frequent key in the join with a larger one.
 
-    Records of hot keys without partner get a salt: they match nothing anyway
-    and so spread over all tasks of the join. The salt counts lines within an
-    input split, hence a task that runs again gives the same one."""
+    Records of marked keys without partner get a salt: they match nothing anyway
+    and so spread over all tasks of the join. Numbers for salts count lines within
+    an input split, hence a task that runs again gives the same ones."""
     keys = list(keys)
-    marks = hot.select(
+    marks = marks.select(
         *[F.col(k).alias(f"mark__{k}") for k in keys],
         "rows__legacy",
         "rows__modern",
         key_matches(keys).alias("hot__matched"),
     )
-    if hot_count <= BROADCAST_KEYS:
-        marks = F.broadcast(marks)
     same = [F.col(k).eqNullSafe(F.col(f"mark__{k}")) for k in keys]
     names = [f"mark__{k}" for k in keys]
-    spread = (F.monotonically_increasing_id() % SALTS).cast("int")
+
+    def numbered(side):
+        return side.withColumn("hot__line", F.monotonically_increasing_id())
 
     def rest(side):
-        marked = side.withColumn("hot__spread", spread).join(marks, same, "left")
-        return (
-            marked.filter(~F.coalesce("hot__matched", F.lit(False)))
-            .withColumn(SALT, F.when(F.col("hot__matched").isNotNull(), F.col("hot__spread")).otherwise(-1))
-            .select(*side.columns, SALT)
-        )
+        marked = numbered(side).join(marks, same, "left")
+        salt = F.when(F.col("hot__matched").isNotNull(), (F.col("hot__line") % SALTS).cast("int")).otherwise(-1)
+        return marked.filter(~F.coalesce("hot__matched", F.lit(False))).withColumn(SALT, salt).select(*side.columns, SALT)
 
     def both(side):
-        return side.join(marks, same).filter("hot__matched").drop(*names, "hot__matched")
+        return numbered(side).join(marks, same).filter("hot__matched").drop(*names, "hot__matched")
 
     return Split(rest(legacy), rest(modern), both(legacy), both(modern))
 
 
-def join_with_hot(split: Split, rules: Rules) -> DataFrame:
-    """The outer join of all records except those of hot keys on both sides."""
+def join_rest(split: Split, rules: Rules) -> DataFrame:
+    """The outer join of all records except those of marked keys on both sides."""
     salted = replace(rules, keys=(*rules.keys, SALT))
     return join_sides(split.rest_legacy, split.rest_modern, salted).drop(SALT)
 
 
+def in_chunks(split: Split, spread_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Records of marked keys on both sides with the columns ``CHUNKS``: each
+    record has a chunk of its own side and one copy for each of the other side's.
+    An inner join on keys and chunks so meets every pair once."""
+    mine, other = CHUNKS
+
+    def chunks(side):
+        return F.greatest(F.ceil(F.col(f"rows__{side}") / F.lit(float(spread_rows))), F.lit(1)).cast("long")
+
+    def cut(records, own, own_chunk, partner, partner_chunk):
+        return records.withColumn(own_chunk, F.pmod(F.xxhash64("hot__line"), chunks(own))).withColumn(
+            partner_chunk, F.explode(F.sequence(F.lit(0).cast("long"), chunks(partner) - 1))
+        )
+
+    return (
+        cut(split.both_legacy, "legacy", mine, "modern", other),
+        cut(split.both_modern, "modern", other, "legacy", mine),
+    )
+
+
+def join_pairs(split: Split, rules: Rules, spread_rows: int) -> DataFrame:
+    """Every pair of the marked keys on both sides, with the columns of the outer join."""
+    legacy, modern = in_chunks(split, spread_rows)
+    kept = [*rules.keys, *rules.values, *CHUNKS]
+    chunked = replace(rules, keys=(*rules.keys, *CHUNKS))
+    return join_sides(legacy.select(*kept), modern.select(*kept), chunked, "inner").drop(*CHUNKS)
+
+
 def _cell(value: Column, tolerance: float, decimals: int) -> tuple[Column, Column]:
     """Join cell of a value and the cells its equals may be in.
 

@@ -27,10 +27,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fixedrecon.operators.copybook import (
-    NAME_SEARCH_LINES,
     UNKNOWN_COPYBOOK,
     describe_entries,
     entries_with_storage,
+    rejected_lines,
     statements,
 )
 
@@ -68,8 +68,8 @@ def lookup(rows: DataFrame, own: Column, wanted: Column, value: Column, out: str
 
 
 def name_copybooks(entries: DataFrame) -> DataFrame:
-    """``copybook_name``: the first 01 entry in the first ten lines."""
-    named = (F.col("level") == 1) & (F.col("line_no") <= NAME_SEARCH_LINES)
+    """``copybook_name``: the first 01 entry."""
+    named = F.col("level") == 1
     first = F.min(F.when(named, F.struct("line_no", "field_name"))).over(W.partitionBy("copybook_id"))
     return entries.withColumn("first_01", first).withColumn(
         "copybook_name", F.coalesce("first_01.field_name", F.lit(UNKNOWN_COPYBOOK))
@@ -183,6 +183,42 @@ def _product(nodes: Column) -> Column:
     return F.aggregate(nodes, F.lit(1), lambda total, node: total * node["occurs"])
 
 
+LARGEST = 2**31 - 1  # the last position of a record
+
+
+def mark_fit(chained: DataFrame) -> DataFrame:
+    """``fits``: whether the occurrences of the whole copybook end at a position
+    that an integer holds. Numbers that outgrow a long count as too large."""
+    copies = F.aggregate(
+        "chain", F.lit(1).cast("long"), lambda total, node: F.try_multiply(total, node["occurs"].cast("long"))
+    )
+    size = F.try_multiply(copies, F.greatest(F.col("length"), F.lit(1)).cast("long"))
+    book = W.partitionBy("copybook_id")
+    total = F.sum(F.least(F.coalesce("size", F.lit(LARGEST + 1)), F.lit(LARGEST + 1))).over(book)
+    return chained.withColumn("size", size).withColumn("fits", total <= LARGEST).drop("size")
+
+
+def oversized_entries(lines: DataFrame) -> DataFrame:
+    """Repeated entries of the copybooks that do not fit, as rejected lines. A bound
+    on the repetitions first drops the copybooks that surely do."""
+    entries = describe_entries(statements(lines))
+    book = W.partitionBy("copybook_id")
+    bound = F.sum(F.ln("occurs")).over(book) + F.ln(F.sum(F.greatest("length", F.lit(1))).over(book))
+    doubtful = name_copybooks(entries).withColumn("bound", bound).filter(F.col("bound") > math.log(LARGEST) - 1)
+    fields = entries_with_storage(doubtful.withColumn("said", F.col("statement")))
+    marked = mark_fit(add_ancestors(add_redefines_line(number_records(fields))))
+    large = marked.filter(~F.col("fits") & (F.col("occurs") > 1)).select("copybook_id", "line_no")
+    return fields.join(large, ["copybook_id", "line_no"]).select(
+        "copybook_id", "line_no", F.col("said").alias("statement"), F.lit("expansion does not fit").alias("reject_reason")
+    )
+
+
+def all_rejects(lines: DataFrame) -> DataFrame:
+    """``copybook_id, line_no, statement, reject_reason`` of everything that is not in
+    the layout table: statements skipped, and copybooks left out as a whole."""
+    return rejected_lines(lines).unionByName(oversized_entries(lines))
+
+
 def expand_occurrences(chained: DataFrame) -> DataFrame:
     """One row per occurrence: ``own_lines`` and ``indices`` (0-based, one per
     chain element), ``occ_path``, the linear ``occurrence``, the name suffix."""
@@ -310,7 +346,8 @@ def most_redefinitions(lines: DataFrame) -> int:
 
 
 def parse_copybooks(lines: DataFrame, overlay_passes: int | None = None) -> DataFrame:
-    """Copybook lines to the layout table (columns ``LAYOUT_COLUMNS``).
+    """Copybook lines to the layout table (columns ``LAYOUT_COLUMNS``). Copybooks that
+    do not fit are left out; ``all_rejects`` lists them.
 
     ``overlay_passes`` is the number of pointer steps for nested redefinitions:
     -1 when nothing is redefined, 0 when no redefinition refers to storage
@@ -319,7 +356,8 @@ def parse_copybooks(lines: DataFrame, overlay_passes: int | None = None) -> Data
         most = most_redefinitions(lines)
         overlay_passes = math.ceil(math.log2(most)) if most else -1
     fields = entries_with_storage(name_copybooks(describe_entries(statements(lines))))
-    chained = add_group_storage(add_ancestors(add_redefines_line(number_records(fields))))
+    whole = mark_fit(add_ancestors(add_redefines_line(number_records(fields))))
+    chained = add_group_storage(whole.filter("fits").drop("fits"))
     if overlay_passes >= 0:
         lines_of = F.transform("chain", lambda c: c["line_no"])
         chained = lookup(chained, F.col("line_no"), F.col("target_line"), lines_of, "target_lines")
@@ -390,7 +428,7 @@ def layout_schema(layout: DataFrame, include_group_slices: bool = False) -> Data
 
 
 def layout_alignment(layout: DataFrame) -> DataFrame:
-    """Gap or overlap between neighbouring elementary fields. Needs
+    """Gap or overlap of each elementary field with all fields before it. Needs
     ``copybook_id, record_name, field_name, start_pos, end_pos``; rows with
     ``in_redefinition`` true are left out."""
     if "in_redefinition" in layout.columns:
@@ -398,9 +436,10 @@ def layout_alignment(layout: DataFrame) -> DataFrame:
     if "kind" in layout.columns:
         layout = layout.filter(F.col("kind") == "elementary")
     order = W.partitionBy("copybook_id", "record_name").orderBy("start_pos", "end_pos", "field_name")
+    before = order.rowsBetween(W.unboundedPreceding, -1)
     distance = F.col("start_pos") - F.col("previous_end") - 1
     return (
-        layout.withColumn("previous_end", F.lag("end_pos").over(order))
+        layout.withColumn("previous_end", F.max("end_pos").over(before))
         .withColumn("distance", F.when(F.col("previous_end").isNotNull(), distance).otherwise(0))
         .select(
             "copybook_id",

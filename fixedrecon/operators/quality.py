@@ -8,7 +8,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fixedrecon.functions.text import is_blank
+from fixedrecon.functions.text import is_blank, strip_whitespace
 from fixedrecon.layout import Layout
 
 
@@ -136,15 +136,25 @@ def mandatory_fields(records: DataFrame, fields: Iterable[str]) -> DataFrame:
     return _melt(counted, fields, {"blank": "blank_values"})
 
 
+def _is_number(value: Column, digits: int, point: bool) -> Column:
+    """An optional sign and at most ``digits`` digits, with a point where allowed."""
+    one_point = r"(?=[^.]*\.?[^.]*$)" if point else ""
+    digit = "[0-9.]" if point else "[0-9]"
+    shape = value.rlike(rf"^[+-]?{one_point}{digit}*[0-9]{digit}*$")
+    return shape & (F.length(F.regexp_replace(value, "[^0-9]", "")) <= digits)
+
+
 def type_errors(records: DataFrame, layout: Layout) -> DataFrame:
-    """INTEGER and DECIMAL fields whose text is no number; blanks are fine.
-    The number must fit the digits of the field."""
+    """INTEGER, NUMERIC and DECIMAL fields whose text is no number; blanks are fine.
+    A number is an optional sign and digits, in DECIMAL fields with at most one
+    point among them; it has as many digits as the field has positions at most."""
     fields = [
         f for f in layout.columns() if f.data_type in ("INTEGER", "DECIMAL", "NUMERIC") and f.name in records.columns
     ]
     bad = [
         F.count_if(
-            ~is_blank(F.col(f.name)) & F.col(f.name).try_cast(f"decimal({min(f.length, 38)},0)").isNull()
+            ~is_blank(strip_whitespace(F.col(f.name)))
+            & ~_is_number(strip_whitespace(F.col(f.name)), f.length, f.data_type == "DECIMAL")
         ).alias(f"bad__{f.name}")
         for f in fields
     ]

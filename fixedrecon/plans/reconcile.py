@@ -10,7 +10,8 @@ Two passes over the data:
 Both passes collect their counters with an ``Observation`` placed in the
 stage that writes. Spark counts every output partition of such a stage once,
 also when executors are lost and tasks run again, so the numbers can be relied
-on. Hot keys, if any, add a third, smaller pass.
+on. Keys with several records on a side are compared by variants in a third pass,
+or pair by pair, as the caller chooses.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ from fixedrecon.operators.metrics import (
 from fixedrecon.operators.quality import issue_list
 from fixedrecon.operators.records import read_fixed_width
 from fixedrecon.plans.report import report_table
-from fixedrecon.sinks import run_paths, run_stamp, scratch_folder, write_results
+from fixedrecon.sinks import remove_folder, run_paths, run_stamp, write_results
 from fixedrecon.sources.copybooks import scan_copybooks
 
 
@@ -63,8 +64,8 @@ class ReconSpec:
     scale_implied_decimals: bool = False
     include_group_slices: bool = False
     record_name: str | None = None
-    hot_rows: int = 1_000_000
-    hot_pairs: int = 100_000_000
+    duplicate_keys: str = "variants"  # or "pairs": what is written for keys with several records
+    spread_rows: int = H.SPREAD_ROWS  # steers the spreading over tasks only
 
 
 @dataclass(frozen=True)
@@ -75,7 +76,7 @@ class ReconResult:
     structure: dict
     field_mismatches: dict
     paths: dict
-    hot_keys: int
+    duplicate_keys: int
 
 
 def resolve_layout(spark: SparkSession, layout: Layout | str, record: str | None) -> Layout:
@@ -119,7 +120,7 @@ def profile_sides(legacy: DataFrame, modern: DataFrame, keys: tuple[str, ...]) -
     return both.groupBy(*keys).agg(*aggregates)
 
 
-def _profile_totals(keys: tuple[str, ...], hot) -> list:
+def _profile_totals(keys: tuple[str, ...], marked) -> list:
     out = H.profile_measures(keys)
     for s in SIDES:
         out += [F.sum(f"{m}__{s}").alias(f"{m}__{s}") for m in ("chars", "wrong", "empty")]
@@ -129,7 +130,7 @@ def _profile_totals(keys: tuple[str, ...], hot) -> list:
             F.sum(F.when(is_blank(F.col(k)), F.col(f"rows__{s}")).otherwise(0)).alias(f"blank__{k}__{s}")
             for k in keys
         ]
-    return out + H.hot_measures(hot, keys)
+    return out + H.marked_measures(marked, keys)
 
 
 def one_row(spark: SparkSession, values: Mapping[str, tuple]) -> DataFrame:
@@ -196,33 +197,43 @@ def run_metrics_frame(spark: SparkSession, run: str, stages: Mapping[str, tuple]
 
 
 def reconcile(spark: SparkSession, spec: ReconSpec) -> ReconResult:
-    """Run the job and write its outputs below ``spec.output``."""
-    stamp, began = run_stamp(), time.time()
+    """Run the job and write its outputs below ``spec.output``. Intermediate tables
+    stand there as well, below ``_work``, until the job has ended."""
+    H.checked_choice(spec.duplicate_keys)
+    stamp = run_stamp()
     paths = run_paths(spec.output, stamp)
-    layout = resolve_layout(spark, spec.layout, spec.record_name)
+    work = paths.pop("work")
+    try:
+        return _reconcile(spark, spec, stamp, paths, work)
+    finally:
+        remove_folder(spark, work)
+
+
+def _reconcile(spark: SparkSession, spec: ReconSpec, stamp: str, paths: dict, work: str) -> ReconResult:
+    began = time.time()
+    layout = resolve_layout(spark, spec.layout, spec.record_name).with_keys(spec.keys)
     legacy = read_fixed_width(spark, spec.legacy, layout, spec.include_group_slices)
     modern = read_fixed_width(spark, spec.modern, layout, spec.include_group_slices)
     rules = make_rules(
         legacy, modern, spec.keys, spec.ignore, spec.tolerance, layout, spec.scale_implied_decimals
     )
-    keys = rules.keys
+    keys, variants = rules.keys, spec.duplicate_keys == "variants"
 
     # pass 1: rows per key
-    hot = H.is_hot(spec.hot_rows, spec.hot_pairs)
+    marked = H.is_marked(keys, spec.duplicate_keys, spec.spread_rows)
     seen = Observation("key profile")
-    profile = profile_sides(legacy, modern, keys).observe(seen, *_profile_totals(keys, hot))
-    write_results(
-        profile.filter(hot).select(*keys, "rows__legacy", "rows__modern"), paths["hot_keys"]
-    )
+    profile = profile_sides(legacy, modern, keys).observe(seen, *_profile_totals(keys, marked))
+    write_results(profile.filter(marked).select(*keys, "rows__legacy", "rows__modern"), f"{work}/keys")
     totals, profiled = seen.get, time.time()
     structure = _structure_rows(spark, layout, keys, totals)
 
     # pass 2: join, count and write the details
-    hot_count = totals["hot_one_sided"] + totals["hot_two_sided"]
-    if hot_count:
-        hot_table = spark.read.parquet(paths["hot_keys"])
-        split = H.split_hot(legacy, modern, hot_table, hot_count, keys)
-        joined = H.join_with_hot(split, rules)
+    two_sided = totals["marked_two_sided"]
+    if two_sided or totals["marked_one_sided"]:
+        split = H.split_marked(legacy, modern, spark.read.parquet(f"{work}/keys"), keys)
+        joined = H.join_rest(split, rules)
+        if two_sided and not variants:
+            joined = joined.unionByName(H.join_pairs(split, rules, spec.spread_rows))
     else:
         joined = H.join_sides(legacy, modern, rules)
     counted = Observation("comparison")
@@ -231,27 +242,28 @@ def reconcile(spark: SparkSession, spec: ReconSpec) -> ReconResult:
     )
     write_results(mismatch_details(tagged, rules), paths["mismatch_details"])
     over_join, joined_at = counted.get, time.time()
+    if not over_join["mismatched_records"]:
+        remove_folder(spark, paths["mismatch_details"])
 
-    # pass 3: pairs of keys hot on both sides, counted without building them
+    # pass 3: pairs of keys with several records, counted without building them
     counts = dict(totals)
     wrong, wrong_common = over_join["mismatched_records"], over_join["mismatched_common_records"]
     differs = {f: over_join[f"differs__{f}"] for f in rules.values}
     compared = over_join["compared"]
-    if totals["hot_two_sided"]:
+    if variants and two_sided:
         sides = []
-        for records, name in ((split.hot_legacy, "legacy"), (split.hot_modern, "modern")):
-            folder = scratch_folder(spark, f"variants-{name}")
-            write_results(H.variants(records, rules), folder)
-            sides.append(spark.read.parquet(folder))
-        seen_pairs = Observation("hot pairs")
+        for records, name in ((split.both_legacy, "legacy"), (split.both_modern, "modern")):
+            write_results(H.variants(records, rules), f"{work}/variants_{name}")
+            sides.append(spark.read.parquet(f"{work}/variants_{name}"))
+        seen_pairs = Observation("duplicate pairs")
         partners = H.partner_counts(*sides, rules).observe(seen_pairs, H.equal_pairs())
-        write_results(H.hot_details(partners), paths["hot_details"])
-        hot_pairs = int(totals["hot_pairs"])
-        hot_wrong = hot_pairs - int(seen_pairs.get["hot_equal_pairs"])
+        write_results(H.hot_details(partners), paths["duplicate_details"])
+        all_pairs = int(totals["marked_pairs"])
+        wrong_pairs = all_pairs - int(seen_pairs.get["hot_equal_pairs"])
         equal = {r.field_name: int(r.equal_pairs) for r in H.hot_field_equals(*sides, rules).collect()}
-        wrong, wrong_common = wrong + hot_wrong, wrong_common + hot_wrong
-        differs = {f: n + hot_pairs - equal.get(f, 0) for f, n in differs.items()}
-        compared += hot_pairs
+        wrong, wrong_common = wrong + wrong_pairs, wrong_common + wrong_pairs
+        differs = {f: n + all_pairs - equal.get(f, 0) for f, n in differs.items()}
+        compared += all_pairs
     counts.update(mismatched_records=wrong, mismatched_common_records=wrong_common)
     ended = time.time()
 
@@ -275,7 +287,7 @@ def reconcile(spark: SparkSession, spec: ReconSpec) -> ReconResult:
         {
             "profile": (read, 0, began, profiled),
             "compare": (over_join["compared"], over_join["mismatched_records"], profiled, joined_at),
-            "hot keys": (compared - over_join["compared"], wrong - over_join["mismatched_records"], joined_at, ended),
+            "duplicate keys": (compared - over_join["compared"], wrong - over_join["mismatched_records"], joined_at, ended),
         },
     )
     audit.write.mode("append").parquet(paths["run_metrics"])
@@ -290,7 +302,7 @@ def reconcile(spark: SparkSession, spec: ReconSpec) -> ReconResult:
             k: v
             for k, v in paths.items()
             if not (k == "mismatch_details" and not over_join["mismatched_records"])
-            and not (k == "hot_details" and not totals["hot_two_sided"])
+            and not (k == "duplicate_details" and not (variants and two_sided))
         },
-        hot_keys=hot_count,
+        duplicate_keys=totals["duplicate_key_groups_legacy"] + totals["duplicate_key_groups_modern"],
     )

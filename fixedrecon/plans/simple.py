@@ -8,23 +8,25 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from fixedrecon.layout import Layout
+from fixedrecon.layout import Layout, layout_from_tuples, one_copybook
 from fixedrecon.operators import hot_keys as H
 from fixedrecon.operators.compare import Rules, bad_records, join_sides_by_condition, simple_result
+from fixedrecon.operators.copybook import UNKNOWN_COPYBOOK, simple_fields, simple_positions
 from fixedrecon.operators.records import normalise_record_spaces
-from fixedrecon.sinks import flatten_lists, read_csv, scratch_folder, write_results
+from fixedrecon.sinks import flatten_lists, read_csv, remove_folder, write_results
+from fixedrecon.sources.copybooks import scan_copybooks
 from fixedrecon.sources.records import scan_tuple_layout
 
 
 @dataclass(frozen=True)
 class SimpleSpec:
-    layout: Layout
+    layout: Layout | str  # or the path of a copybook in the short form
     legacy: str
     modern: str
     output: str
     keys: tuple[str, ...]
-    hot_rows: int = 1_000_000
-    hot_pairs: int = 100_000_000
+    duplicate_keys: str = "variants"  # or "pairs": what is written for keys with several records
+    spread_rows: int = H.SPREAD_ROWS  # steers the spreading over tasks only
 
 
 def compare_simple(
@@ -46,34 +48,56 @@ def write_simple(result: DataFrame, output: str) -> dict[str, str]:
     return paths
 
 
+def simple_layout(spark: SparkSession, layout: Layout | str) -> Layout:
+    """The layout itself, or that of the one short copybook under a path."""
+    if isinstance(layout, Layout):
+        return layout
+    placed = simple_positions(simple_fields(scan_copybooks(spark, layout)))
+    rows = one_copybook(placed).orderBy("line_no").collect()  # the fields of one record
+    name = rows[0].copybook_id if rows else UNKNOWN_COPYBOOK
+    return layout_from_tuples(name, [(r.field_name, r.start_pos, r.end_pos, r.data_type) for r in rows])
+
+
 def reconcile_simple(spark: SparkSession, spec: SimpleSpec) -> dict[str, str]:
-    """Run the job; returns the output paths. Records of a key too frequent on
-    both sides go to ``hot_records`` once per distinct record with the number
-    of differing pairs, all others to the two result sets."""
-    fields, keys = [f.name for f in spec.layout.columns()], list(spec.keys)
-    legacy = normalise_record_spaces(scan_tuple_layout(spark, spec.legacy, spec.layout))
-    modern = normalise_record_spaces(scan_tuple_layout(spark, spec.modern, spec.layout))
-    output = spec.output.rstrip("/")
-    hot, seen = H.is_hot(spec.hot_rows, spec.hot_pairs), Observation("key profile")
-    profile = H.key_profile(legacy, modern, keys).observe(seen, *H.hot_measures(hot, keys))
-    write_results(profile.filter(hot), f"{output}/hot_keys")
+    """Run the job; returns the output paths. With ``variants``, records of keys
+    found on both sides and several times on one go to ``duplicate_records``, once per
+    distinct record with the number of differing pairs, all others to the two result
+    sets; with ``pairs`` all pairs go there."""
+    H.checked_choice(spec.duplicate_keys)
+    work = f"{spec.output.rstrip('/')}/_work"
+    try:
+        return _reconcile_simple(spark, spec, spec.output.rstrip("/"), work)
+    finally:
+        remove_folder(spark, work)
+
+
+def _reconcile_simple(spark: SparkSession, spec: SimpleSpec, output: str, work: str) -> dict[str, str]:
+    layout, keys = simple_layout(spark, spec.layout), list(spec.keys)
+    fields = [f.name for f in layout.columns()]
+    legacy = normalise_record_spaces(scan_tuple_layout(spark, spec.legacy, layout))
+    modern = normalise_record_spaces(scan_tuple_layout(spark, spec.modern, layout))
+    marked, seen = H.is_marked(keys, spec.duplicate_keys, spec.spread_rows), Observation("key profile")
+    profile = H.key_profile(legacy, modern, keys).observe(seen, *H.marked_measures(marked, keys))
+    write_results(profile.filter(marked), f"{work}/keys")
     found = seen.get
-    hot_count = found["hot_one_sided"] + found["hot_two_sided"]
-    if not hot_count:
+    if not found["marked_one_sided"] + found["marked_two_sided"]:
         return write_simple(compare_simple(legacy, modern, keys, fields), output)
-    split = H.split_hot(legacy, modern, spark.read.parquet(f"{output}/hot_keys"), hot_count, keys)
+    split = H.split_marked(legacy, modern, spark.read.parquet(f"{work}/keys"), keys)
     joined = join_sides_by_condition(
         split.rest_legacy, split.rest_modern, [*keys, H.SALT], [*fields, H.SALT]
     )
-    paths = write_simple(simple_result(joined, keys, fields), output)
-    paths["hot_keys"] = f"{output}/hot_keys"
-    if found["hot_two_sided"]:
+    result = simple_result(joined, keys, fields)
+    if spec.duplicate_keys == "pairs":
+        chunked = [*fields, *H.CHUNKS]
+        pairs = join_sides_by_condition(*H.in_chunks(split, spec.spread_rows), [*keys, *H.CHUNKS], chunked, "inner")
+        return write_simple(result.unionByName(simple_result(pairs, keys, fields)), output)
+    paths = write_simple(result, output)
+    if found["marked_two_sided"]:
         rules = Rules(tuple(keys), tuple(fields))
         sides = []
-        for records in (split.hot_legacy, split.hot_modern):
-            folder = scratch_folder(spark, "variants")
-            write_results(H.variants(records, rules), folder)
-            sides.append(spark.read.parquet(folder))
-        paths["hot_records"] = f"{output}/hot_records"
-        write_results(H.hot_details(H.partner_counts(*sides, rules)), paths["hot_records"])
+        for records, name in ((split.both_legacy, "legacy"), (split.both_modern, "modern")):
+            write_results(H.variants(records, rules), f"{work}/variants_{name}")
+            sides.append(spark.read.parquet(f"{work}/variants_{name}"))
+        paths["duplicate_records"] = f"{output}/duplicate_records"
+        write_results(H.hot_details(H.partner_counts(*sides, rules)), paths["duplicate_records"])
     return paths

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from datetime import datetime
 
@@ -15,6 +13,7 @@ DETAILS_FOLDER = "mismatch_details"
 SUMMARY_FOLDER = "summary"
 RUN_STAMP = "%Y%m%d_%H%M%S"
 LIST_SEPARATOR = "|"
+KEEP_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def write_results(df: DataFrame, path: str, format_type: str = "parquet") -> None:
@@ -23,7 +22,7 @@ def write_results(df: DataFrame, path: str, format_type: str = "parquet") -> Non
     writer = df.write.mode("overwrite")
     kind = format_type.lower()
     if kind == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+        writer.options(header=True, escape='"', **KEEP_BLANKS).csv(path)
     elif kind == "json":
         writer.json(path)
     else:
@@ -32,8 +31,10 @@ def write_results(df: DataFrame, path: str, format_type: str = "parquet") -> Non
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read what ``write_results`` wrote as CSV. NULL is written as nothing
-    and '' as two quotes; a marker no field contains keeps them apart."""
-    return spark.read.csv(path, schema=schema, header=True, escape='"', nullValue="\x00", emptyValue="")
+    and '' as two quotes; a line end, which no field of a record has, stands for
+    NULL and so keeps them apart."""
+    options = {"header": True, "escape": '"', "nullValue": "\n", "emptyValue": "", **KEEP_BLANKS}
+    return spark.read.csv(path, schema=schema, **options)
 
 
 def flatten_lists(df: DataFrame) -> DataFrame:
@@ -54,22 +55,24 @@ def run_paths(base: str, stamp: str) -> dict[str, str]:
     return {
         "mismatch_details": f"{base}/{DETAILS_FOLDER}/{stamp}",
         "summary": f"{base}/{SUMMARY_FOLDER}/{stamp}",
-        "hot_keys": f"{base}/hot_keys/{stamp}",
-        "hot_details": f"{base}/hot_key_details/{stamp}",
+        "duplicate_details": f"{base}/duplicate_key_details/{stamp}",
         "report": f"{base}/report/{stamp}",
         "field_stats": f"{base}/field_stats/{stamp}",
         "run_metrics": f"{base}/run_metrics",
+        "work": f"{base}/_work/{stamp}",
     }
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables below ``spark.checkpoint.dir``, the
-    place every executor can reach. Without that setting (tests, one machine)
-    a local temporary folder serves."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    name = f"{purpose}-{uuid.uuid4().hex}"
-    if shared:
-        return f"{shared.rstrip('/')}/{name}"
-    return os.path.join(tempfile.mkdtemp(prefix="fixedrecon-"), name)
+    place every executor can reach; an error where that is not set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any Hadoop file system, if it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

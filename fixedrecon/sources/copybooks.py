@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 
 def copybook_lines(texts: DataFrame, copybook_id: Column, text: Column) -> DataFrame:
-    """``copybook_id, line_no, raw`` from a table holding one copybook per row."""
+    """``copybook_id, line_no, raw`` from a table holding one copybook per row.
+    The line end of the last line starts no line of its own."""
     return texts.select(
         copybook_id.alias("copybook_id"),
-        F.posexplode(F.split(text, "\r?\n")).alias("pos", "raw"),
+        F.posexplode(F.split(F.regexp_replace(text, r"\r?\n\z", ""), "\r?\n")).alias("pos", "raw"),
     ).select("copybook_id", (F.col("pos") + 1).alias("line_no"), "raw")
 
 
 def scan_copybooks(
-    spark: SparkSession, path: str | list[str], id_pattern: str = r"([^/]*?)(?:\.[^./]*)?$"
+    spark: SparkSession, path: str | list[str], id_pattern: str = "^(.*)$"
 ) -> DataFrame:
     """``copybook_id, line_no, raw`` from copybook files. The id is the first
-    group of ``id_pattern`` in the file path, by default the file name without
-    its extension. A copybook describes one record, so reading each file whole
+    group of ``id_pattern`` in the file path, by default the whole path, as files
+    in different folders can share a name. A copybook describes one record, so reading each file whole
     keeps its line order at no cost."""
     files = spark.read.text(path, wholetext=True)
     file_id = F.regexp_extract(F.col("_metadata.file_path"), id_pattern, 1)

@@ -172,19 +172,25 @@ def skewed(seed, modern=False):
 def test_hot_keys_equal_all_pairs(spark, limit):
     legacy, modern = skewed(1), skewed(2, modern=True)
     left, right, rules = frames(spark, legacy, modern, {"N": limit} if limit else {})
-    hot_table = H.key_profile(left, right, KEYS).filter(H.is_hot(20, 400))
+    hot_table = H.key_profile(left, right, KEYS).filter(H.crowded(20))
     hot = {r.K: (r.rows__legacy, r.rows__modern) for r in hot_table.collect()}
     assert {"", "hot", "one", "two"} <= set(hot)
-    split = H.split_hot(left, right, hot_table, len(hot), KEYS)
+    split = H.split_marked(left, right, hot_table, KEYS)
 
     # what is joined: everything but the keys hot on both sides
-    joined = H.join_with_hot(split, rules).select("K", C.IN_LEGACY, C.IN_MODERN).collect()
+    joined = H.join_rest(split, rules).select("K", C.IN_LEGACY, C.IN_MODERN).collect()
     both = {k for k, (n, m) in hot.items() if n and m}
     plain = C.join_sides(left, right, rules).select("K", C.IN_LEGACY, C.IN_MODERN).collect()
     assert sorted(map(tuple, joined)) == sorted(tuple(r) for r in plain if r.K not in both)
 
+    # pairs in chunks: every pair once, with the columns of the outer join
+    chunked = H.join_pairs(split, rules, 7)
+    expected = C.join_sides(left, right, rules).filter(F.col("K").isin(list(both)))
+    assert chunked.columns == expected.columns
+    assert sorted(map(str, chunked.collect())) == sorted(map(str, expected.collect()))
+
     # what is counted: the same as over all pairs
-    sides = H.variants(split.hot_legacy, rules), H.variants(split.hot_modern, rules)
+    sides = H.variants(split.both_legacy, rules), H.variants(split.both_modern, rules)
     partners = H.partner_counts(*sides, rules)
     pairs = [(a, b) for a, b in product(legacy, modern) if a[0] == b[0] and a[0] in both]
     equal = sum(1 for a, b in pairs if not any(differs(a, b, limit)))
@@ -201,11 +207,6 @@ def test_null_keys_never_match(spark):
     profile = H.key_profile(left, right, KEYS)
     m = profile.agg(*H.profile_measures(KEYS)).first()
     assert (m.legacy_only_records, m.modern_only_records, int(m.common_records)) == (30, 30, 0)
-    split = H.split_hot(left, right, profile.filter(H.is_hot(10, 100)), 1, KEYS)
-    assert H.join_with_hot(split, rules).count() == 60
-    assert split.hot_legacy.count() == 0
-
-
-def test_routing_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(H, "BROADCAST_KEYS", 0)
-    test_hot_keys_equal_all_pairs(spark, 0.5)
+    split = H.split_marked(left, right, profile.filter(H.crowded(10)), KEYS)
+    assert H.join_rest(split, rules).count() == 60
+    assert split.both_legacy.count() == 0

@@ -1,5 +1,6 @@
 """Whole jobs, their outputs and the plans behind them."""
 
+import os
 import re
 
 import pytest
@@ -63,7 +64,8 @@ def test_outputs(spark, customer_run):
     stats = {r.field_name: int(r.mismatched) for r in spark.read.parquet(paths["field_stats"]).collect()}
     assert stats == customer_run.field_mismatches
     assert spark.read.parquet(paths["run_metrics"]).count() == 3
-    assert "hot_details" not in paths and customer_run.hot_keys == 0
+    assert "duplicate_details" not in paths and customer_run.duplicate_keys == 0
+    assert not os.path.exists(os.path.join(paths["mismatch_details"].split("mismatch_details")[0], "_work", os.path.basename(paths["mismatch_details"])))
     assert customer_run.structure["legacy"]["issues"] == []
 
 
@@ -108,13 +110,14 @@ def test_hot_keys_give_the_metrics_of_the_full_join(spark, tmp_path):
         ignore=("ORDER_ID", "ORDER_TIME"),
         tolerance={"AMOUNT": 5000},
     )
-    full = reconcile(spark, ReconSpec(output=str(tmp_path / "full"), **base))
-    hot = reconcile(spark, ReconSpec(output=str(tmp_path / "hot"), hot_rows=3, hot_pairs=9, **base))
-    assert full.hot_keys == 0 and hot.hot_keys > 10
+    full = reconcile(spark, ReconSpec(output=str(tmp_path / "full"), duplicate_keys="pairs", **base))
+    hot = reconcile(spark, ReconSpec(output=str(tmp_path / "hot"), spread_rows=3, **base))
+    assert full.duplicate_keys == hot.duplicate_keys > 10
+    assert "duplicate_details" not in full.paths
     assert hot.metrics == full.metrics
     assert hot.field_mismatches == full.field_mismatches
     assert hot.structure["legacy"]["issues"] == full.structure["legacy"]["issues"]
-    listed = spark.read.parquet(hot.paths["hot_details"])
+    listed = spark.read.parquet(hot.paths["duplicate_details"])
     pairs = listed.filter("hot__side = 'legacy'").agg(F.sum("hot__mismatched_pairs")).first()[0]
     rest = spark.read.parquet(hot.paths["mismatch_details"]).count() if "mismatch_details" in hot.paths else 0
     assert int(pairs) + rest == int(full.metrics["mismatched_records"])
@@ -127,19 +130,56 @@ def test_simple_job_with_and_without_hot_keys(spark, tmp_path):
     paths = {}
     for name, rows in (("legacy", legacy), ("modern", modern)):
         paths[name] = write(spark.createDataFrame([(r,) for r in rows], "value string"), tmp_path / name)
-    full = reconcile_simple(spark, SimpleSpec(layout, output=str(tmp_path / "full"), keys=("A",), **paths))
+    pairs = dict(keys=("A",), duplicate_keys="pairs", **paths)
+    full = reconcile_simple(spark, SimpleSpec(layout, output=str(tmp_path / "full"), **pairs))
+    chunked = reconcile_simple(spark, SimpleSpec(layout, output=str(tmp_path / "chunked"), spread_rows=2, **pairs))
+    for kind in full:
+        assert sorted(map(str, spark.read.csv(full[kind], header=True).collect())) == sorted(
+            map(str, spark.read.csv(chunked[kind], header=True).collect())
+        )
     assert set(full) == {"validation_results", "bad_records"}
     assert spark.read.csv(full["validation_results"], header=True).count() == 9 + 1 + 3 + 1
     assert spark.read.csv(full["bad_records"], header=True).count() == 5
     hot = reconcile_simple(
-        spark, SimpleSpec(layout, output=str(tmp_path / "hot"), keys=("A",), hot_rows=2, hot_pairs=6, **paths)
+        spark, SimpleSpec(layout, output=str(tmp_path / "hot"), keys=("A",), spread_rows=2, **paths)
     )
     assert spark.read.csv(hot["validation_results"], header=True).count() == 1 + 3 + 1
     assert spark.read.csv(hot["bad_records"], header=True).count() == 0
-    records = spark.read.parquet(hot["hot_records"]).filter("hot__side = 'legacy'")
+    records = spark.read.parquet(hot["duplicate_records"]).filter("hot__side = 'legacy'")
     assert int(records.agg(F.sum("hot__mismatched_pairs")).first()[0]) == 5
 
 
+@pytest.mark.parametrize("choice", ["variants", "pairs"])
+def test_one_output_form_at_every_number_of_records(spark, tmp_path, choice):
+    """The same columns and tables whether a key has one record a side or a thousand."""
+    layout = layout_from_tuples("P", [("A", 1, 1, "STRING"), ("B", 2, 4, "STRING")])
+    forms = []
+    for n in (2, 10, 1000 if choice == "variants" else 60):
+        rows = {"legacy": [f"k{i % 7:03d}" for i in range(n)], "modern": [f"k{i % 5:03d}" for i in range(n)]}
+        paths = {s: write(spark.createDataFrame([(r,) for r in v], "value string"), tmp_path / f"{s}{n}") for s, v in rows.items()}
+        run = reconcile(
+            spark,
+            ReconSpec(layout=layout, output=str(tmp_path / f"out{n}"), keys=("A",), duplicate_keys=choice, spread_rows=20, **paths),
+        )
+        details = "duplicate_details" if choice == "variants" else "mismatch_details"
+        forms.append((sorted(run.paths), spark.read.parquet(run.paths[details]).columns))
+        wrong = sum(a != b for a in rows["legacy"] for b in rows["modern"])
+        assert int(run.metrics["mismatched_records"]) == wrong
+    assert forms[0] == forms[1] == forms[2]
+
+
+def test_simple_job_reads_a_short_copybook(spark, tmp_path):
+    book = tmp_path / "book"
+    book.mkdir()
+    (book / "P.cpy").write_text("05 A PIC X(1).\n05 B PIC X(3).\n")
+    path = write(spark.createDataFrame([("kabc",), ("lxyz",)], "value string"), tmp_path / "in")
+    out = reconcile_simple(spark, SimpleSpec(str(book), legacy=path, modern=path, output=str(tmp_path / "out"), keys=("A",)))
+    assert spark.read.csv(out["validation_results"], header=True).columns[:2] == ["l_A", "l_B"]
+    (book / "Q.cpy").write_text("05 A PIC X(1).\n")
+    with pytest.raises(ValueError, match="several copybooks"):
+        reconcile_simple(spark, SimpleSpec(str(book), legacy=path, modern=path, output=str(tmp_path / "no"), keys=("A",)))
+
+
 def test_stream_runs_once_per_file(spark, tmp_path):
     folder = write(X.customer_modern(spark, SF001, defects=True).repartition(3), tmp_path / "in")
     args = (spark, folder, X.CUST, X.CUST_KEYS, str(tmp_path / "progress"), str(tmp_path / "out"))
@@ -172,7 +212,8 @@ def test_stream_comparison(spark, tmp_path):
 
 
 def test_csv_keeps_blank_and_missing_apart(spark, tmp_path):
-    df = spark.createDataFrame([("", None), ('say "x"', "a\\b"), ("a,b", "|")], "x string, y string")
+    values = [("", None), ('say "x"', "a\\b"), ("a,b", "|"), ("\tA", "\x00"), (" B ", "B\x01"), ("\x00", "\x00A")]
+    df = spark.createDataFrame(values, "x string, y string")
     sinks.write_results(df, str(tmp_path / "csv"), "csv")
     assert sorted(map(str, sinks.read_csv(spark, str(tmp_path / "csv"), df.schema).collect())) == sorted(map(str, df.collect()))
 

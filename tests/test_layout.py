@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixedrecon.functions import picture as P
-from fixedrecon.layout import collect_layout, layout_from_tuples
+from fixedrecon.layout import Layout, LayoutField, collect_layout, layout_from_tuples
 from fixedrecon.operators import copybook as B
+from fixedrecon.operators import quality as Q
 from fixedrecon.operators.layout import (
+    all_rejects,
     fields_to_compare,
     layout_alignment,
     layout_schema,
@@ -89,7 +91,7 @@ def test_customer_master(spark, tmp_path):
     (tmp_path / "customer_master.cob").write_text(render(CUSTOMER))
     lines = scan_copybooks(spark, str(tmp_path / "*.cob"))
     table = parse_copybooks(lines)
-    layout = collect_layout(table, "customer_master")
+    layout = collect_layout(table)
     assert (layout.name, layout.record_length) == ("CUSTOMER_MASTER_RECORD", 332)
     assert places(layout) == CUSTOMER_POSITIONS
     assert places(layout, "group_occurrence") == CUSTOMER_GROUPS
@@ -262,3 +264,56 @@ def test_tuple_layout_and_alignment(spark):
     table = spark.createDataFrame(rows, "copybook_id string, record_name string, field_name string, start_pos int, end_pos int")
     found = {r.field_name: r.alignment for r in layout_alignment(table).collect()}
     assert (found["POSITION_ID"], found["X"], found["Y"]) == ("ok", "overlap", "gap")
+
+
+def test_bad_copybooks_do_not_end_the_parse(spark):
+    """Too large an OCCURS is rejected, alone or by expansion; the good copybook beside it stays."""
+    texts = {
+        "good": "01 A.\n05 B PIC X(3).",
+        "deep": "01 A.\n05 G OCCURS 60000.\n10 H OCCURS 60000.\n15 I PIC X(2).",
+        "long": "01 A.\n05 B PIC X(3) OCCURS 10000000000.\n05 C PIC X(2).",
+        "wide": "01 A.\n05 B PIC X(999999999) OCCURS 3.",
+    }
+    rows = spark.createDataFrame(list(texts.items()), "id string, body string")
+    lines = copybook_lines(rows, F.col("id"), F.col("body"))
+    found = {(r.copybook_id, r.field_name, r.start_pos) for r in parse_copybooks(lines).collect()}
+    assert found == {("good", "A", 1), ("good", "B", 1), ("long", "A", 1), ("long", "C", 1)}
+    rejects = {(r.copybook_id, r.line_no, r.reject_reason) for r in all_rejects(lines).collect()}
+    assert rejects == {
+        ("deep", 2, "expansion does not fit"), ("deep", 3, "expansion does not fit"),
+        ("long", 2, "OCCURS count is too large"), ("wide", 2, "expansion does not fit"),
+    }
+
+
+def test_name_after_many_comments(spark):
+    body = "\n".join(["* remark"] * 15 + ["01 LATE-NAME.", "05 B PIC X.", ""])
+    lines = copybook_lines(spark.createDataFrame([("c", body)], "id string, body string"), F.col("id"), F.col("body"))
+    assert lines.count() == 17
+    assert {r.copybook_name for r in parse_copybooks(lines).collect()} == {"LATE_NAME"}
+
+
+def test_field_inside_an_earlier_longer_one_overlaps(spark):
+    rows = [("c", "r", "A", 1, 100), ("c", "r", "B", 10, 20), ("c", "r", "C", 50, 60), ("c", "r", "D", 103, 110)]
+    table = spark.createDataFrame(rows, "copybook_id string, record_name string, field_name string, start_pos long, end_pos long")
+    found = {r.field_name: (r.alignment, r.distance) for r in layout_alignment(table).collect()}
+    assert found == {"A": ("ok", 0), "B": ("overlap", -91), "C": ("overlap", -51), "D": ("gap", 2)}
+
+
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    for folder, field in (("a", "X"), ("b", "Z")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "CUST.cob").write_text(f"01 R.\n05 {field} PIC X.\n")
+    lines = scan_copybooks(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    fields = {(r.copybook_id[-10:], r.field_name) for r in parse_copybooks(lines).collect()}
+    assert {("a/CUST.cob", "X"), ("b/CUST.cob", "Z")} <= fields
+
+
+def test_type_errors_have_one_rule(spark):
+    layout = Layout("T", 60, (
+        LayoutField("I", 1, 10, "INTEGER"), LayoutField("D", 11, 10, "DECIMAL", 2), LayoutField("W", 21, 40, "INTEGER"),
+    ))
+    good = [("5", "12.5", "9" * 40), ("-5", "-.5", ""), ("+7 ", "7.", " "), ("", "12", "0"), ("0000000001", "1", "1")]
+    bad = [("12.5", "1.2.3", "x"), ("1e3", "1e3", "9" * 41), ("5-", "-", "1 2"), ("99999999999", ".", "--1"), ("N/A", "1,5", "+")]
+    schema = "I string, D string, W string"
+    assert {r.invalid_values for r in Q.type_errors(spark.createDataFrame(good, schema), layout).collect()} == {0}
+    assert {r.invalid_values for r in Q.type_errors(spark.createDataFrame(bad, schema), layout).collect()} == {5}

@@ -523,3 +523,7 @@ ORACLE["dq_field_lengths"] = f"{ORD} " + " UNION ALL ".join(
 ORACLE["rec_row_number"] = "SELECT count(*) AS distinct_ids, count(*) AS rows, CAST(1 AS BIGINT) AS rows_per_id FROM lineitem"
 ORACLE["stream_arrivals"] = f"""{CUST} SELECT 4 AS files, 2 AS batches, count(*) AS records, count(*) FILTER (WHERE record_length <> 62) AS length_mismatches,
     count(*) FILTER (WHERE record_length = 0) AS empty_records, count(*) FILTER (WHERE CUST_ID = '') AS blank_keys FROM b"""
+ORACLE["dq_run_metrics"] = f"""WITH m AS ({ORACLE["met_metrics"]})
+SELECT 'profile' AS stage, CAST(total_legacy_records + total_modern_records AS BIGINT) AS "rows", CAST(0 AS BIGINT) AS mismatches, true AS ordered FROM m
+UNION ALL SELECT 'compare', CAST(legacy_only_records + modern_only_records + common_records AS BIGINT), CAST(mismatched_records AS BIGINT), true FROM m
+UNION ALL SELECT 'duplicate keys', CAST(0 AS BIGINT), CAST(0 AS BIGINT), true FROM m"""

@@ -25,6 +25,7 @@ from fixedrecon.plans.simple import compare_simple, write_simple
 from fixedrecon.sources import copybook_lines, scan_copybooks, scan_lines, scan_tuple_layout
 from fixedrecon.streaming import check_arrivals
 from workload import fixtures as X
+from workload import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,12 +73,11 @@ def part_lines(spark, sf):
 
 
 def part_layout(spark, sf):
-    # one redefinition per record: no pointer step is ever needed
-    return L.parse_copybooks(part_lines(spark, sf), overlay_passes=0)
+    return L.parse_copybooks(part_lines(spark, sf))
 
 
 def write_lines(lines: DataFrame, purpose: str) -> str:
-    path = sinks.scratch_folder(lines.sparkSession, purpose)
+    path = scratch.folder(lines.sparkSession, purpose)
     lines.write.text(path)
     return path
 
@@ -107,11 +107,9 @@ def src_tuple_layout(spark, sf):
 @query
 def src_copybook_lines(spark, sf):
     texts = X.part_copybook_texts(spark, sf)
-    path = sinks.scratch_folder(spark, "copybooks")
+    path = scratch.folder(spark, "copybooks")
     texts.repartition("copybook_id").write.partitionBy("copybook_id").text(path)
-    lines = scan_copybooks(spark, path, r"copybook_id=([^/]+)/")
-    # the text writer ends the last line with a newline of its own
-    return longs(lines, "line_no").filter((F.col("line_no") < 20) | (F.col("raw") != ""))
+    return longs(scan_copybooks(spark, path, r"copybook_id=([^/]+)/"), "line_no")
 
 
 # ---------------------------------------------------------------- copybooks
@@ -217,7 +215,7 @@ def cb_summary(spark, sf):
 
 @query
 def cb_rejects(spark, sf):
-    return longs(B.rejected_lines(part_lines(spark, sf)), "line_no")
+    return longs(L.all_rejects(part_lines(spark, sf)), "line_no")
 
 
 @query
@@ -553,17 +551,17 @@ def hot_variants(spark, sf):
         legacy, modern, keys, ignore=["ORDER_ID", "ORDER_TIME"], tolerance={"AMOUNT": 5000}
     )
     # written once and read by every later step, as in the whole job
-    hot = _stored(H.key_profile(legacy, modern, keys).filter(H.is_hot(10, 100)), "hot-keys")
-    split = H.split_hot(legacy, modern, hot, hot.count(), keys)
+    marks = _stored(H.key_profile(legacy, modern, keys).filter(H.is_marked(keys, "variants", H.SPREAD_ROWS)), "keys")
+    split = H.split_marked(legacy, modern, marks, keys)
     return (
-        _stored(H.variants(split.hot_legacy, rules), "variants"),
-        _stored(H.variants(split.hot_modern, rules), "variants"),
+        _stored(H.variants(split.both_legacy, rules), "variants"),
+        _stored(H.variants(split.both_modern, rules), "variants"),
         rules,
     )
 
 
 def _stored(df, purpose):
-    path = sinks.scratch_folder(df.sparkSession, purpose)
+    path = scratch.folder(df.sparkSession, purpose)
     sinks.write_results(df, path)
     return df.sparkSession.read.parquet(path)
 
@@ -614,7 +612,7 @@ def met_severity(spark, sf):
 
 
 def _written(spark, df, kind):
-    path = sinks.scratch_folder(spark, kind)
+    path = scratch.folder(spark, kind)
     sinks.write_results(df, path, kind)
     if kind == "csv":
         return sinks.read_csv(spark, path, df.schema)
@@ -641,7 +639,7 @@ def sink_json(spark, sf):
 
 @query
 def sink_recon_csv(spark, sf):
-    paths = write_simple(simple_customers(spark, sf), sinks.scratch_folder(spark, "recon"))
+    paths = write_simple(simple_customers(spark, sf), scratch.folder(spark, "recon"))
     schema = sinks.flatten_lists(simple_customers(spark, sf)).schema
     parts = [
         sinks.read_csv(spark, p, schema).withColumn("output", F.lit(name))
@@ -655,7 +653,7 @@ def _customer_job(spark, sf):
         layout=X.CUST,
         legacy=write_lines(X.customer_legacy(spark, sf), "legacy"),
         modern=write_lines(X.customer_modern(spark, sf), "modern"),
-        output=sinks.scratch_folder(spark, "job"),
+        output=scratch.folder(spark, "job"),
         keys=("CUST_ID",),
         tolerance=X.CUST_TOLERANCE,
     )
@@ -717,7 +715,7 @@ def job_copybook(spark, sf):
         line.format("TAGS", "OCCURS 3 TIMES"),
         "               10  TAG                 PIC X(12).",
     ]
-    folder = sinks.scratch_folder(spark, "copybook")
+    folder = scratch.folder(spark, "copybook")
     spark.createDataFrame([("\n".join(copybook),)], "value string").coalesce(1).write.text(folder)
     lines = X.part_tag_lines(spark, sf)
     changed = lines.select(
@@ -728,7 +726,7 @@ def job_copybook(spark, sf):
         layout=folder,
         legacy=write_lines(lines, "legacy"),
         modern=write_lines(changed, "modern"),
-        output=sinks.scratch_folder(spark, "job"),
+        output=scratch.folder(spark, "job"),
         keys=("PART_ID",),
     )
     result = reconcile(spark, spec)
@@ -742,12 +740,11 @@ def job_hot_keys(spark, sf):
         layout=X.ORD,
         legacy=write_lines(X.order_legacy(spark, sf), "legacy"),
         modern=write_lines(X.order_modern(spark, sf), "modern"),
-        output=sinks.scratch_folder(spark, "job"),
+        output=scratch.folder(spark, "job"),
         keys=("STATUS", "PRIORITY"),
         ignore=("ORDER_ID", "ORDER_TIME"),
         tolerance={"AMOUNT": 5000},
-        hot_rows=10,
-        hot_pairs=100,
+        spread_rows=10,
     )
     result = reconcile(spark, spec)
     return spark.read.csv(result.paths["summary"], header=True, schema="Metric string, Value double")
@@ -759,7 +756,7 @@ def job_recon(spark, sf):
         layout=X.CUST,
         legacy=write_lines(X.customer_legacy(spark, sf), "legacy"),
         modern=write_lines(X.customer_modern(spark, sf), "modern"),
-        output=sinks.scratch_folder(spark, "recon"),
+        output=scratch.folder(spark, "recon"),
         keys=("CUST_ID",),
     )
     paths = reconcile_simple(spark, spec)
@@ -862,9 +859,9 @@ def dq_copybook_alignment(spark, sf):
 def stream_arrivals(spark, sf):
     """Structure of record files, checked file by file as a stream."""
     folder = write_lines(X.customer_modern(spark, sf, defects=True).repartition(4), "arrivals")
-    out = sinks.scratch_folder(spark, "checked")
+    out = scratch.folder(spark, "checked")
     stream = check_arrivals(
-        spark, folder, X.CUST, X.CUST_KEYS, sinks.scratch_folder(spark, "progress"), out, max_files=2
+        spark, folder, X.CUST, X.CUST_KEYS, scratch.folder(spark, "progress"), out, max_files=2
     )
     stream.awaitTermination()
     checked = spark.read.parquet(out)

@@ -2,7 +2,7 @@
 
 Two passes over the data:
 
-1. count rows per key (shuffles keys only). The final stage gives the
+1. count rows per key and per length (shuffles keys and counts only). The final stage gives the
    structure report of both sides, the totals and the hot keys;
 2. the full outer join of all other records, written as mismatch details while
    the same final stage counts mismatches.
@@ -89,43 +89,44 @@ SIDES = ("legacy", "modern")
 
 
 def _side_counts(records: DataFrame, keys: tuple[str, ...], side: str) -> DataFrame:
-    """Structure counters of one side, blank-padded for the other."""
-    columns = {
-        "rows": F.lit(1).cast("long"),
-        "chars": F.col("record_length").cast("long"),
-        "shortest": F.col("record_length"),
-        "longest": F.col("record_length"),
-        "wrong": (~F.col("length_match")).cast("long"),
-        "empty": (F.col("record_length") == 0).cast("long"),
-    }
-    return records.select(
-        *keys,
-        *[
-            (c if side == s else F.lit(None)).cast("long").alias(f"{m}__{s}")
-            for s in SIDES
-            for m, c in columns.items()
-        ],
+    """Two rows for each record: one for its key, one for its length. The latter
+    have no key and are few after combining on the map side."""
+    types = dict(records.dtypes)
+    one = {s: F.lit(1 if s == side else 0).cast("long").alias(f"n__{s}") for s in SIDES}
+    no_key = [F.lit(None).cast(types[k]).alias(k) for k in keys]
+    no_length = F.lit(None).cast("int").alias("length__value")
+    of_key = F.struct(F.lit(False).alias("is__length"), *keys, no_length, *one.values())
+    of_length = F.struct(
+        F.lit(True).alias("is__length"), *no_key, F.col("record_length").alias("length__value"), *one.values()
     )
+    return records.select(F.inline(F.array(of_key, of_length)))
 
 
 def profile_sides(legacy: DataFrame, modern: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Row counts and length counters per key, both sides in one row."""
+    """Records per key (``rows__<side>``) and per length (``lengths__<side>``) in one
+    aggregation: what is shuffled is a key or a length, and two counts."""
     both = _side_counts(legacy, keys, "legacy").unionByName(_side_counts(modern, keys, "modern"))
-    aggregates = []
-    for s in SIDES:
-        aggregates += [F.coalesce(F.sum(f"rows__{s}"), F.lit(0)).alias(f"rows__{s}")]
-        aggregates += [F.sum(f"{m}__{s}").alias(f"{m}__{s}") for m in ("chars", "wrong", "empty")]
-        aggregates += [F.min(f"shortest__{s}").alias(f"shortest__{s}")]
-        aggregates += [F.max(f"longest__{s}").alias(f"longest__{s}")]
-    return both.groupBy(*keys).agg(*aggregates)
+    counted = both.groupBy("is__length", *keys, "length__value").agg(*[F.sum(f"n__{s}").alias(f"n__{s}") for s in SIDES])
+    zero = F.lit(0).cast("long")
+    return counted.select(
+        *keys,
+        "length__value",
+        *[F.when(~F.col("is__length"), F.col(f"n__{s}")).otherwise(zero).alias(f"rows__{s}") for s in SIDES],
+        *[F.when(F.col("is__length"), F.col(f"n__{s}")).otherwise(zero).alias(f"lengths__{s}") for s in SIDES],
+    )
 
 
-def _profile_totals(keys: tuple[str, ...], marked) -> list:
-    out = H.profile_measures(keys)
+def _profile_totals(keys: tuple[str, ...], marked, expected_length: int) -> list:
+    out, length = H.profile_measures(keys), F.col("length__value")
     for s in SIDES:
-        out += [F.sum(f"{m}__{s}").alias(f"{m}__{s}") for m in ("chars", "wrong", "empty")]
-        out += [F.min(f"shortest__{s}").alias(f"shortest__{s}")]
-        out += [F.max(f"longest__{s}").alias(f"longest__{s}")]
+        n = F.col(f"lengths__{s}")
+        out += [
+            F.sum(length * n).alias(f"chars__{s}"),
+            F.sum(F.when(length != expected_length, n).otherwise(0)).alias(f"wrong__{s}"),
+            F.sum(F.when(length == 0, n).otherwise(0)).alias(f"empty__{s}"),
+            F.min(F.when(n > 0, length)).alias(f"shortest__{s}"),
+            F.max(F.when(n > 0, length)).alias(f"longest__{s}"),
+        ]
         out += [
             F.sum(F.when(is_blank(F.col(k)), F.col(f"rows__{s}")).otherwise(0)).alias(f"blank__{k}__{s}")
             for k in keys
@@ -222,7 +223,9 @@ def _reconcile(spark: SparkSession, spec: ReconSpec, stamp: str, paths: dict, wo
     # pass 1: rows per key
     marked = H.is_marked(keys, spec.duplicate_keys, spec.spread_rows)
     seen = Observation("key profile")
-    profile = profile_sides(legacy, modern, keys).observe(seen, *_profile_totals(keys, marked))
+    profile = profile_sides(legacy, modern, keys).observe(
+        seen, *_profile_totals(keys, marked, layout.record_length)
+    )
     write_results(profile.filter(marked).select(*keys, "rows__legacy", "rows__modern"), f"{work}/keys")
     totals, profiled = seen.get, time.time()
     structure = _structure_rows(spark, layout, keys, totals)

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fixedrecon.functions.text import is_blank
 from fixedrecon.layout import Layout
-from fixedrecon.operators.compare import IN_MODERN, Rules, join_sides, mismatch_details, tag_mismatches
+from fixedrecon.operators.compare import Rules, join_sides, mismatch_details, tag_mismatches
 from fixedrecon.operators.records import parse_records
 
 
@@ -68,10 +68,13 @@ def compare_arrivals(
     checkpoint: str, output: str, max_files: int | None = None,
 ) -> StreamingQuery:
     """Compare every new record with a static legacy side; records without a
-    legacy partner are included, legacy records not yet delivered are not."""
+    legacy partner are included, legacy records not yet delivered are not.
+
+    Each batch reads the legacy side once: without ``max_files`` all files that have
+    arrived form one batch. A legacy table bucketed by the keys is not shuffled."""
 
     def process(records: DataFrame) -> DataFrame:
-        joined = join_sides(legacy, records, rules).filter(IN_MODERN)
+        joined = join_sides(legacy, records, rules, "right_outer")
         return mismatch_details(tag_mismatches(joined, rules), rules)
 
     return _run(spark, folder, layout, checkpoint, output, process, max_files)

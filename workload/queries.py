@@ -23,7 +23,7 @@ from fixedrecon.plans import ReconSpec, SimpleSpec, reconcile, reconcile_simple
 from fixedrecon.plans.report import report_table
 from fixedrecon.plans.simple import compare_simple, write_simple
 from fixedrecon.sources import copybook_lines, scan_copybooks, scan_lines, scan_tuple_layout
-from fixedrecon.streaming import check_arrivals
+from fixedrecon.streaming import check_arrivals, compare_arrivals
 from workload import fixtures as X
 from workload import scratch
 
@@ -873,3 +873,18 @@ def stream_arrivals(spark, sf):
         F.sum("empty_records").alias("empty_records"),
         F.sum("blank__CUST_ID").alias("blank_keys"),
     )
+
+
+@query
+def stream_compare(spark, sf):
+    """Records compared as their files arrive: half of them in a first run, the others in a
+    second one that goes on from the checkpoint."""
+    legacy, modern = customers(spark, sf)
+    rules = customer_rules(legacy, modern)
+    folder, progress, out = (scratch.folder(spark, p) for p in ("arrivals", "progress", "compared"))
+    lines = X.customer_modern(spark, sf)
+    first = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(2)) == 0
+    for part in (lines.filter(first), lines.filter(~first)):
+        part.repartition(2).write.mode("append").text(folder)
+        compare_arrivals(spark, folder, X.CUST, legacy, rules, progress, out).awaitTermination()
+    return _flat_details(spark.read.parquet(out).drop("batch"))

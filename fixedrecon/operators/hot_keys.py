@@ -193,19 +193,22 @@ def _cell(value: Column, tolerance: float, decimals: int) -> tuple[Column, Colum
     """Join cell of a value and the cells its equals may be in.
 
     Without tolerance the text itself is the cell. With one, numbers fall into
-    cells two tolerances wide, so equal numbers are at most one cell apart."""
+    cells two tolerances wide, so the equals of a number lie in two of them."""
     exact = F.concat(F.lit("t"), value)
     if tolerance <= 0:
         return exact, F.array(exact)
-    number = as_number(value, decimals)
-    cell = F.rint(number / F.lit(2.0 * tolerance)) + F.lit(0.0)
+    number, reach = as_number(value, decimals), tolerance * (1 + 1e-9)  # room for rounding
 
     def name(c):
-        return F.concat(F.lit("n"), c.cast("string"))
+        return F.concat(F.lit("n"), (c + F.lit(0.0)).cast("string"))
 
-    around = F.array_distinct(F.array(name(cell - 1), name(cell), name(cell + 1)))
+    def at(n):
+        return F.rint(n / F.lit(2.0 * tolerance))
+
+    low, high = at(number - F.lit(reach)), at(number + F.lit(reach))
+    around = F.array_distinct(F.array(name(low), name(F.least(low + 1, high)), name(high)))
     return (
-        F.when(number.isNotNull(), name(cell)).otherwise(exact),
+        F.when(number.isNotNull(), name(at(number))).otherwise(exact),
         F.when(number.isNotNull(), around).otherwise(F.array(exact)),
     )
 

@@ -11,7 +11,7 @@ nearly all of them keep (``QUANTILE``), with room of ``ROOM``, is the limit; for
 widens further.
 
 Fitting takes at most ``SAMPLE`` labelled texts, an equal share of each language, chosen by a hash
-of the text; only their vectors reach the driver (``SAMPLE`` x pieces x ``DIMENSIONS`` counts of 4 bytes at most).
+of the text; only their vectors reach the driver (``SAMPLE`` x pieces x ``DIMENSIONS`` numbers of 2 bytes at most).
 Prediction looks at every whole text, in one pass without a shuffle.
 
 Defined results: a null text and one without a letter are ``und`` with score 0 and rejected, as is every
@@ -114,7 +114,7 @@ def training_sample(labelled: DataFrame, sample: int, lang_col: str = "lang", te
 
 
 def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, n_bytes, whole, counts) of each text and of its pieces."""
+    """(lang, n_bytes, whole, logs of the counts) of each text and of its pieces."""
     for batch in batches:
         for row, _, data, offsets in chunks(batch.column(1)):
             for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
@@ -123,37 +123,43 @@ def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     middle = (a + b - size) // 2
                     cuts.append((middle, middle + size))
                     size *= 4
-                vectors = [ngram_counts(data[s:e], np.array([0, e - s])) for s, e in cuts]
+                logs = [np.log1p(ngram_counts(data[s:e], np.array([0, e - s]))).astype(np.float16) for s, e in cuts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([batch.column(0)[row + i].as_py()] * len(cuts), pa.string()),
                         pa.array([e - s for s, e in cuts], pa.int64()),
                         pa.array([k == 0 for k in range(len(cuts))]),
-                        pa.array([v.tobytes() for v in vectors], pa.binary()),
+                        pa.array([v.tobytes() for v in logs], pa.binary()),
                     ],
-                    ["lang", "n_bytes", "whole", "counts"],
+                    ["lang", "n_bytes", "whole", "logs"],
                 )
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, lang_col: str = "lang", text_col: str = "text") -> LanguageModel | None:
     """A model from a bounded sample of labelled rows; None without any."""
     chosen = training_sample(labelled, sample, lang_col, text_col)
-    found = chosen.mapInArrow(_piece_rows, "lang string, n_bytes long, whole boolean, counts binary").toPandas()
-    if not len(found):
+    found = chosen.mapInArrow(_piece_rows, "lang string, n_bytes long, whole boolean, logs binary").toArrow()
+    if not found.num_rows:
         return None
-    found = found.sort_values(["lang", "n_bytes", "counts"], kind="stable")
-    counts = np.frombuffer(b"".join(found["counts"]), dtype=np.float32).reshape(len(found), DIMENSIONS)
-    langs, whole, n_bytes = found["lang"].to_numpy(), found["whole"].to_numpy(bool), found["n_bytes"].to_numpy()
-    seen = (counts[whole] > 0).sum(axis=0)
-    idf = np.log((1 + whole.sum()) / (1 + seen)).astype(np.float32) + 1
+    found = found.sort_by([("lang", "ascending"), ("n_bytes", "ascending"), ("logs", "ascending")])
+    whole, n_bytes = found["whole"].to_numpy(), found["n_bytes"].to_numpy()
+    langs = np.array(found["lang"].to_pylist())[whole]
+
+    def logs(rows: pa.Table) -> np.ndarray:
+        joined = b"".join(rows["logs"].to_pylist())
+        return np.frombuffer(joined, dtype=np.float16).reshape(rows.num_rows, DIMENSIONS).astype(np.float32)
+
+    texts = logs(found.filter(pa.array(whole)))
+    idf = np.log((1 + len(texts)) / (1 + (texts > 0).sum(axis=0))).astype(np.float32) + 1
     model = LanguageModel([], np.zeros((0, DIMENSIONS), np.float32), idf, np.zeros(1))
-    vectors = model.vectors(counts)
+    texts = _unit(texts * idf)
     parts = []
     for lang in sorted(set(langs)):
-        parts.append(_clusters(vectors[whole & (langs == lang)], CENTROIDS))
-        model.languages += [lang] * len(parts[-1])
+        parts.append(_clusters(texts[langs == lang], CENTROIDS))
+        model.languages += [str(lang)] * len(parts[-1])
     model.centroids = np.concatenate(parts)
-    cosine, kind = (vectors @ model.centroids.T).max(axis=1), length_class(n_bytes)
+    near = [_unit(logs(found.slice(i, 256)) * idf) @ model.centroids.T for i in range(0, found.num_rows, 256)]
+    cosine, kind = np.concatenate(near).max(axis=1), length_class(n_bytes)
     floor, least = [], np.inf
     for k in range(kind.max(), -1, -1):  # a shorter text may be as far as a longer one
         at = cosine[kind == k]

@@ -11,8 +11,8 @@ the segmentation that its merges would make: a last piece is admissible only if
 before it are what the merges make of their joined text, and exactly one is. (Tests compare
 both with the library; of segmentations with equal sums either may come.)
 
-A text is cut where no piece can reach across: before a run of blanks, and around characters
-that occur in no longer piece. Parts recur, so the ids of a bounded number of them are kept.
+A text is cut where no piece can reach across: before a run of blanks, before signs that follow no
+letter in any piece, and around characters that occur in no longer piece. Parts recur, so the ids of a bounded number of them are kept.
 
 Defined results: a null or empty text has no ids and decodes to ''; every text comes back
 unchanged, but for the sign that stands for a blank, which comes back as a blank; each row is encoded by
@@ -39,6 +39,10 @@ UNKNOWN_PENALTY = 10.0  # below the lowest score, as in the library
 KEPT_PARTS, PART_BYTES = 400_000, 4 << 20
 
 
+def _class(characters: set[str]) -> str:
+    return f"[{''.join(map(re.escape, sorted(characters)))}]" if characters else "(?!)"
+
+
 class PieceModel:
     """Pieces and settings of a model file. Models without a normaliser only."""
 
@@ -63,19 +67,19 @@ class PieceModel:
         self.bytes = {int(p.piece[1:-1], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.longest = max(map(len, self.ids), default=1)
         self.unknown_score = min(self.score.values(), default=0.0) - UNKNOWN_PENALTY
-        self.ends = {}  # lengths of the pieces by their last character
+        ends: dict[str, set[int]] = {}
         for p in self.ids:
-            self.ends.setdefault(p[-1], set()).add(len(p))
-        self.ends = {c: sorted({1, *n}, reverse=True) for c, n in self.ends.items()}
+            ends.setdefault(p[-2:], set()).add(len(p))
+        #: Lengths of the longer pieces by their last two characters, longest first: it wins a tie.
+        self.ends = {c: sorted(n - {1}, reverse=True) for c, n in ends.items() if len(c) == 2}
         self.admissible = lru_cache(1 << 18)(self._admissible)
+        self.merges = lru_cache(1 << 16)(self._merges)
         long = [p for p in self.ids if len(p) > 1]
         joined = {c for p in long for c in p}
         leading = {c for c in joined if all(c not in p.lstrip(c) for p in long)}
-        inner = "".join(map(re.escape, sorted(joined - leading)))
-        lead = "".join(map(re.escape, sorted(leading)))
-        one = f"[{inner}]" if inner else "(?!)"
-        run = f"[{lead}]" if lead else "(?!)"
-        self.parts = re.compile(f"{run}*{one}+|{run}+|.", re.DOTALL)
+        tails = self._tails(joined - leading, {p[i : i + 2] for p in long for i in range(len(p) - 1)})
+        run, body, tail, any_ = (_class(x) for x in (leading, joined - leading - tails, tails, joined - leading))
+        self.parts = re.compile(f"{run}*{body}+|{run}*{tail}{any_}*|{run}+|.", re.DOTALL)
         self.surface = [self._surface(p) for p in proto.pieces]
 
     @classmethod
@@ -86,6 +90,16 @@ class PieceModel:
                 cls._made[path] = cls(file.read())
         return cls._made[path]
 
+    @staticmethod
+    def _tails(inner: set[str], pairs: set[str]) -> set[str]:
+        """Signs that follow none of the other characters in any piece: a part ends before them."""
+        tails = {c for c in inner if not c.isalpha()}
+        while True:
+            follow = {b for a, b in pairs if a in inner and a not in tails}
+            if not tails & follow:
+                return tails
+            tails -= follow
+
     @staticmethod
     def _surface(piece) -> bytes:
         if piece.type == BYTE:
@@ -94,20 +108,39 @@ class PieceModel:
             return b""
         return " ⁇ ".encode() if piece.type == UNKNOWN else piece.piece.replace(BLANK, " ").encode()
 
-    def merged(self, text: str) -> list[str]:
-        """What BPE merges make of a short text: best score first, then leftmost."""
-        parts = list(text)
+    def _merges(self, text: str) -> tuple[list[tuple[float, str, str]], bool]:
+        """The merges of a short text in order, best score first, then leftmost: (score, first part
+        and last part after it); and whether one part is left."""
+        parts, done, score = list(text), [], self.score
         while len(parts) > 1:
-            pairs = [(-self.score[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.score]
+            pairs = [(-score[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in score]
             if not pairs:
                 break
-            i = min(pairs)[1]
+            worst, i = min(pairs)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+            done.append((-worst, parts[0], parts[-1]))
+        return done, len(parts) == 1
 
     def _admissible(self, before: str, piece: str) -> bool:
-        """Whether merges leave these two pieces apart and whole."""
-        return self.merged(before + piece) == ([before, piece] if before else [piece])
+        """Whether the merges of the joined text make these two pieces. They run through the merges of
+        both in the order of scores; a merge across the border may at no time come first."""
+        right, whole = self.merges(piece)
+        if not whole or not before:
+            return whole
+        left = self.merges(before)[0]
+        i, j, edge, start = 0, 0, before[-1], piece[0]
+        while True:
+            across = self.score.get(edge + start)
+            a = left[i][0] if i < len(left) else -np.inf
+            b = right[j][0] if j < len(right) else -np.inf
+            if across is not None and across > a and across >= b:
+                return False
+            if i == len(left) and j == len(right):
+                return True
+            if a >= b:
+                edge, i = left[i][2], i + 1
+            else:
+                start, j = right[j][1], j + 1
 
     def id_list(self, piece: str) -> list[int]:
         """The id of a piece; the ids of its bytes, or the unknown id, where it is none."""
@@ -128,10 +161,11 @@ class StreamingEncoder:
 
     def feed(self, text: str) -> list[int]:
         done: list[int] = []
-        for c in text:
-            self.text += c
+        step = self.model.longest
+        for at in range(0, len(text), step):
+            self.text += text[at : at + step]
             self._extend()
-            if len(self.back) > 2 * self.model.longest and len(self.back) % self.model.longest == 0:
+            if len(self.back) > 2 * step:
                 done += self._converged()
         return done
 
@@ -141,27 +175,29 @@ class StreamingEncoder:
         return done
 
     def _extend(self) -> None:
-        text, model, end = self.text, self.model, len(self.text)
-        best: tuple[int, float] | None = None
-        for n in model.ends.get(text[-1], (1,)):  # longest first: it wins a tie
-            start = end - n
-            if start < 0:
-                continue
-            piece = text[start:end]
-            if n > 1 and piece not in model.ids:
-                continue
-            if model.kind == BPE:
-                last = text[self.back[start][0] : start] if start else self.before
-                if model.admissible(last, piece):
-                    best = (start, 0.0)
-                    break
-            else:
-                score = self.back[start][1] + model.score.get(piece, model.unknown_score)
-                if best is None or score > best[1]:
-                    best = (start, score)
-        if best is None:
-            raise ValueError(f"the model has no segmentation of {text!r}")
-        self.back.append(best)
+        """Find the best last piece at every new boundary."""
+        text, back, model = self.text, self.back, self.model
+        ends, ids, admissible, bpe = model.ends, model.ids, model.admissible, model.kind == BPE
+        for end in range(len(back), len(text) + 1):
+            best: tuple[int, float] | None = None
+            for n in (*ends.get(text[end - 2 : end], ()), 1) if end > 1 else (1,):
+                start = end - n
+                if start < 0:
+                    continue
+                piece = text[start:end]
+                if n > 1 and piece not in ids:
+                    continue
+                if bpe:
+                    if admissible(text[back[start][0] : start] if start else self.before, piece):
+                        best = (start, 0.0)
+                        break
+                else:
+                    score = back[start][1] + model.score.get(piece, model.unknown_score)
+                    if best is None or score > best[1]:
+                        best = (start, score)
+            if best is None:
+                raise ValueError(f"the model has no segmentation of {text!r}")
+            back.append(best)
 
     def _converged(self) -> list[int]:
         """Commit up to the last boundary on which the ways back from the whole window meet."""

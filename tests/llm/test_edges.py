@@ -93,6 +93,27 @@ def test_random_strings():
     assert all(secret_scan.random_strings(x) == [] for x in ordinary)
 
 
+@pytest.mark.parametrize("encoding", list(secret_scan.ENCODINGS))
+@pytest.mark.parametrize("length", [24, 32, 64])
+def test_random_strings_of_each_encoding_among_ordinary_ones(encoding, length):
+    draw, found = random.Random(length), 0
+    words = ["configuration", "Manager", "update", "handler", "Request", "parse", "source", "Element", "buffer", "index", "2024", "value"]
+    for _ in range(40):
+        ordinary = [draw.choice(["", "_", "/", "-"]).join(draw.choice(words) for _ in range(6)) for _ in range(49)]
+        key = "".join(draw.choice(list(secret_scan.ORDER[encoding])) for _ in range(length))
+        text = " ".join([*ordinary, key])
+        spans = secret_scan.random_strings(text)
+        assert all(e > len(text) - length for _, e in spans)
+        found += (len(text) - length, len(text)) in spans
+    assert found >= 36
+
+
+def test_random_string_within_a_path():
+    key = "7GQ2MZKX5TAVRW3NC6JYHUPEBD4LFSOI"
+    text = f"see src/main/resources/configuration/{key}/index"
+    assert [text[s:e] for s, e in secret_scan.random_strings(text)] == [key]
+
+
 def test_simhash(edges, empty):
     rows = [(i, t) for i, t in TEXTS]
     found = pairs(simhash.near_duplicates(edges), "component_id")

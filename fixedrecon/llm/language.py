@@ -10,7 +10,7 @@ training text also gives its own pieces of 32, 128, 512 ... bytes; per length, t
 nearly all of them keep (``QUANTILE``), with room of ``ROOM``, is the limit; for the shortest texts it
 widens further.
 
-Fitting takes at most ``SAMPLE`` labelled texts, an equal share of each language, chosen by a hash
+Fitting takes at most ``SAMPLE`` distinct labelled texts, an equal share of each language, chosen by a hash
 of the text; only their vectors reach the driver (``SAMPLE`` x pieces x ``DIMENSIONS`` numbers of 2 bytes at most).
 Prediction looks at every whole text, in one pass without a shuffle.
 
@@ -99,18 +99,20 @@ def _clusters(vectors: np.ndarray, k: int) -> np.ndarray:
 
 
 def training_sample(labelled: DataFrame, sample: int, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, text): up to ``sample`` rows, an equal share of each language, by a hash of the text.
-    A first cut by the hash alone keeps the ranking small for a language with very many rows."""
+    """(lang, text): up to ``sample`` distinct texts, an equal share of each language, by a hash of the text.
+    A first cut by the hash alone keeps the ranking small for a language with very many texts; copies of
+    a text count once in it and in the ranking."""
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
-    share = max(1, sample // max(1, len(sizes)))
     draw = F.xxhash64("text", F.lit(7))
+    texts = rows.select("lang", draw.alias("draw")).distinct()
+    sizes = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
+    share = max(1, sample // max(1, len(sizes)))
     near = F.lit(False)
     for lang, n in sorted(sizes.items()):
         bound = min(1.0, 2 * (share + 50) / n)
         near |= (F.col("lang") == lang) & (F.pmod(draw, F.lit(1 << 30)) < int(bound * (1 << 30)) + 1)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
-    return rows.withColumn("draw", draw).where(near).withColumn("rank", rank).where(F.col("rank") <= share).select("lang", "text")
+    return rows.withColumn("draw", draw).where(near).distinct().withColumn("rank", rank).where(F.col("rank") <= share).select("lang", "text")
 
 
 def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -165,6 +165,12 @@ def test_language(spark, edges, empty):
     assert language.identify(empty, model).count() == 0
 
 
+def test_training_sample_counts_texts_and_not_rows(spark):
+    rows = [(f"text {i}", "xx") for i in range(5)] + [("copied", "xx")] * 20_000 + [(f"copied {i % 3}", "yy") for i in range(9_000)]
+    found = language.training_sample(spark.createDataFrame(rows, "text string, lang string"), 20).collect()
+    assert sorted((r["lang"], r["text"]) for r in found) == sorted(set((k, t) for t, k in rows))
+
+
 def test_decontamination(spark, edges, empty):
     items = [(1, PASSAGE), (2, None), (3, "..."), (None, "é ü"), (4, "alpha0"), (5, PASSAGE), (4, "seven EIGHT nine")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")

@@ -8,11 +8,12 @@ points to the bucket of the patterns that end with this block. Their window hash
 the candidates, and their bytes, compared with the document's, decide.
 
 The benchmark is sent to all executors in parts of at most ``part_bytes`` of text, measured before:
-a larger benchmark takes more passes over the documents, with the same result.
+a larger benchmark takes more passes over the documents, with the same result: each row goes through
+the parts one after another and takes its spans and items along.
 
 Defined results: null and wordless texts have no words, no hits and no items; an item without words
 has no pattern; an item with a null id marks words but is not listed; equal items are all listed;
-rows of ``docs`` with equal ids stay rows of their own in one pass and are merged over several."""
+rows of ``docs`` with equal or null ids stay rows of their own, however many passes there are."""
 
 from __future__ import annotations
 
@@ -23,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fixedrecon.llm.shared import removed, stored
 from fixedrecon.llm.words import ALPHANUMERIC, STEP, Words, chunks, mixed, single_spaced, split_words, window_hashes, word_hashes
 
 WINDOW, PART_BYTES, LANE = 10, 8 << 20, 256
-RESULT = "doc_id long, n_words long, spans array<struct<s:long,e:long>>, items array<string>"
+CARRIED = "doc_id long, text string, n_words long, spans array<struct<s:long,e:long>>, items array<string>"
 
 
 class PatternTable:
@@ -132,25 +134,30 @@ def _hits(column: pa.Array, tables: list[PatternTable]):
 SPANS = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
 
 
-def _search_part(docs: DataFrame, texts: list[str | None], names: list[str | None], window: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast((pattern_tables(texts, window), names))
+def _search_part(rows: DataFrame, texts: list[str | None], names: list[str | None], window: int) -> DataFrame:
+    """``rows`` (doc_id, text, and the results of the parts before) with the occurrences of this part added."""
+    sent = rows.sparkSession.sparkContext.broadcast((pattern_tables(texts, window), names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, names = sent.value
         for batch in batches:
             for row, end, words, covered, items in _hits(batch.column(1), tables):
-                spans = []
-                for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
-                    s, e = _runs(covered[a:b])
+                spans, listed = [], []
+                before = zip(batch.column(3).slice(row, end - row).to_pylist(), batch.column(4).slice(row, end - row).to_pylist())
+                for (old, known), a, b, found in zip(before, words.first[:-1].tolist(), words.first[1:].tolist(), items):
+                    hit = covered[a:b]
+                    for x in old or ():
+                        hit[x["s"] : x["e"]] = True
+                    s, e = _runs(hit)
                     spans.append([{"s": x, "e": y} for x, y in zip(s.tolist(), e.tolist())])
-                listed = [sorted({names[i] for i in found if names[i] is not None}) for found in items]
+                    listed.append(sorted({names[i] for i in found if names[i] is not None}.union(known or ())))
                 columns = [
-                    batch.column(0).slice(row, end - row), pa.array(words.counts.astype(np.int64)),
+                    *(batch.column(i).slice(row, end - row) for i in (0, 1)), pa.array(words.counts.astype(np.int64)),
                     pa.array(spans, SPANS), pa.array(listed, pa.list_(pa.string())),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "spans", "items"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_words", "spans", "items"])
 
-    return docs.mapInArrow(run, RESULT)
+    return rows.mapInArrow(run, CARRIED)
 
 
 def _parts(benchmark: DataFrame, part_bytes: int) -> Iterator[tuple[list[str | None], list[str | None]]]:
@@ -180,36 +187,25 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     return docs
 
 
-def _merged(spans: Column) -> Column:
-    """Overlapping and touching spans joined; ``spans`` in ascending order."""
-
-    def step(done: Column, x: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        longer = F.struct(last["s"].alias("s"), F.greatest(last["e"], x["e"]).alias("e"))
-        joins = F.coalesce(last["e"] >= x["s"], F.lit(False))
-        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(x)))
-
-    return F.aggregate(spans, F.array().cast("array<struct<s:long,e:long>>"), step)
-
-
 def find_passages(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """(doc_id, n_words, spans, items) for each row of ``docs``: runs of hit words (first word, word
     after the last) and the ids, as sorted strings, of the items with an occurrence."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = [_search_part(rows, texts, names, window) for texts, names in _parts(benchmark, part_bytes)]
-    if len(found) == 1:
-        return found[0]
-    together = found[0]
-    for more in found[1:]:
-        together = together.unionByName(more)
-    return together.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"),
-        _merged(F.sort_array(F.flatten(F.collect_list("spans")))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(None).cast("long").alias("n_words"),
+        F.lit(None).cast("array<struct<s:long,e:long>>").alias("spans"), F.lit(None).cast("array<string>").alias("items"),
+    )
+    held = None
+    for k, (texts, names) in enumerate(_parts(benchmark, part_bytes)):
+        if k:  # written in between, so that a worker has the tables of one part
+            rows, before = stored(rows, "passages"), held
+            if before is not None:
+                removed(before)
+            held = rows
+        rows = _search_part(rows, texts, names, window)
+    return rows.drop("text")
 
 
 def n_hit(spans: Column) -> Column:

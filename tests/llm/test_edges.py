@@ -188,6 +188,19 @@ def test_decontamination(spark, edges, empty):
     assert decontaminate.find_passages(empty, benchmark).count() == 0
 
 
+@pytest.mark.parametrize("part_bytes", [1 << 20, 100])
+def test_decontamination_keeps_rows_of_equal_and_null_ids(spark, part_bytes):
+    items = [(1, PASSAGE), (None, "é ü"), (4, "alpha0"), (4, "seven EIGHT nine"), (5, "six seven eight")]
+    rows = [(8, PASSAGE + " other"), (8, "x " + PASSAGE), (8, "none"), (8, "none"), (None, PASSAGE), (None, "five six seven eight nine"), (None, None)]
+    found = decontaminate.find_passages(frame(spark, rows, False), spark.createDataFrame(items, "item_id long, text string"), part_bytes=part_bytes)
+    got = [(r["doc_id"], r["n_words"], {k for s in r["spans"] for k in range(s["s"], s["e"])}, len(r["spans"]), r["items"]) for r in found.collect()]
+    expected = []
+    for i, t in rows:
+        hit, listed = plain.contaminated(t, items)
+        expected.append((i, len(plain.benchmark_words(t)), hit, int(bool(hit)), sorted(str(x) for x in listed if x is not None)))
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
 def test_patterns_of_a_chunk_against_plain():
     draw = random.Random(4)
     texts = [" ".join(draw.choice("abcd") for _ in range(draw.randint(0, 60))) for _ in range(300)]

@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept. All but the last return the
 columns of ``documents``; other columns of the input are not carried. Nulls are allowed in every
-column: a null text has no letter and goes with the first stage, a null id with the second."""
+column: a null text has no letter and goes with the first stage; ids may be null or repeated."""
 
 from __future__ import annotations
 
@@ -27,8 +27,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of smallest id, of each group of near-duplicates."""
-    return simhash.keep_representatives(docs.select(*COLUMNS))
+    """One row, that of smallest id, of each group of near-duplicates (null ids last). Groups are those of op3: 4-word
+    shingles, links at up to 4 differing bits, and no test of the similarity itself."""
+    return simhash.keep_rows(docs.select(*COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -233,3 +233,17 @@ def keep_representatives(docs: DataFrame, distance: int = DISTANCE, shingle: int
     joined = docs.join(kept, F.col(id_col) == F.col("_kept_id")).drop("_kept_id")
     first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
     return joined.withColumn("_place", first).where("_place = 1").select(*docs.columns)
+
+
+def keep_rows(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each near-duplicate component of the rows of ``docs``, with all columns. Rows are told apart by
+    a number of their own, so repeated ids join nothing and rows with a null id are documents too. The row of smallest
+    id stays (null last), of equal ids that of the smallest hash of the text, then of the whole row."""
+    row = "_row_number"
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows, distance, shingle, row, text_col).select(F.col("doc_id").alias(row), "component_id")
+    place = F.struct(
+        F.col(id_col).isNull(), F.col(id_col), F.xxhash64(text_col), F.xxhash64(*docs.columns), F.col(row).alias("row")
+    )
+    first = rows.select(row, place.alias("place")).join(found, row).groupBy("component_id").agg(F.min("place").alias("place"))
+    return rows.join(first.select(F.col("place.row").alias(row)), row).select(*docs.columns)

@@ -124,6 +124,15 @@ def test_simhash(edges, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_near_dedup_stage_keeps_one_row_of_each_group(spark):
+    draw = random.Random(12)
+    a, b, c, d = (" ".join(f"w{draw.randint(0, 10**6)}" for _ in range(60)) for _ in range(4))
+    rows = [(7, a), (7, b), (9, b), (None, c), (None, c), (None, d), (None, a), (3, d), (5, d)]
+    kept = corpus_pipeline.near_dedup(spark, frame(spark, rows, False), None)
+    assert kept.columns == list(corpus_pipeline.COLUMNS)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted([(7, a), (7, b), (None, c), (3, d)], key=repr)
+
+
 @pytest.mark.parametrize("spread", [3, 9, 64])
 def test_gray_index_finds_all_components(spread):
     draw = np.random.default_rng(spread)

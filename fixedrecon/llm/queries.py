@@ -12,13 +12,16 @@ from fixedrecon.llm import (
     decontaminate,
     language,
     license_scan,
+    phrases,
     quality_model,
     quality_rules,
     secret_scan,
     sentencepieces,
     simhash,
+    spelling,
     substring,
     token_files,
+    topk,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,3 +224,100 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.size("licenses").cast("long").alias("n_licenses"), first["license"].alias("license"), first["dice"].alias("dice")
     )
+
+
+@query(
+    "op11_phrases",
+    rf"""
+    WITH p AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), {ALPHABET}), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+    g AS (
+        SELECT lang, k, phrase, count(*) AS f
+        FROM (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+              FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k))
+        GROUP BY lang, k, phrase HAVING count(*) >= 30
+    ), n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+    c AS (
+        SELECT lang, phrase, f AS a, k, cut, string_split(phrase, ' ') AS w
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM g WHERE k > 1)
+    ), s AS (
+        SELECT c.lang, c.phrase, a, c.k, cut, x.f AS l, y.f AS r, CAST(floor(CAST(a AS HUGEINT) * 2000000 // (x.f + y.f)) AS BIGINT) AS score
+        FROM c JOIN g x ON x.lang = c.lang AND x.phrase = array_to_string(w[1 : cut], ' ')
+        JOIN g y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1 :], ' ')
+    ), b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    d AS (
+        SELECT DISTINCT b.lang, b.phrase FROM b JOIN g ON g.lang = b.lang AND g.k > b.k AND 100 * g.f >= 80 * b.a
+        AND contains(' ' || g.phrase || ' ', ' ' || b.phrase || ' ')
+    ), o AS (
+        SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank FROM b ANTI JOIN d USING (lang, phrase)
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000
+    """,
+)
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's phrases of two to four words that stand together most."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def _spelling_sql() -> str:
+    """CRC-32 by its table; near words by what is left when a letter is hidden or taken out."""
+    crc = ", ".join(str(c) for c in spelling.CRC)
+    return rf"""
+    WITH t AS (SELECT [{crc}] AS t),
+    r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, {ALPHABET}), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+    u AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY doc_id, run),
+    b AS (
+        SELECT *, list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':', ''), lambda c: unicode(c))
+               || flatten(list_transform(string_split(run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END)) AS bytes
+        FROM u
+    ), h AS (
+        SELECT run, n, xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], bytes),
+               lambda s, x: xor(s >> 8, t[1 + (xor(s, CAST(x AS BIGINT)) & 255)]))) AS h FROM b, t
+    ), w AS (
+        SELECT word, CAST(sum(n) AS BIGINT) AS n
+        FROM (SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word FROM h)
+        WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+    ), i AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+    m AS (SELECT word, n, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS hidden, substr(word, 1, i - 1) || substr(word, i + 1) AS out FROM i),
+    p AS (
+        SELECT x.word, y.word AS near, y.n FROM m x JOIN m y ON x.hidden = y.hidden AND x.word <> y.word
+        UNION SELECT m.word, w.word, w.n FROM m JOIN w ON m.out = w.word
+        UNION SELECT w.word, m.word, m.n FROM m JOIN w ON m.out = w.word
+    ), c AS (SELECT word, count(*) AS n_near FROM p GROUP BY word),
+    f AS (
+        SELECT p.word, near AS form, p.n AS form_n FROM p JOIN w USING (word)
+        QUALIFY row_number() OVER (PARTITION BY p.word ORDER BY p.n DESC, near) = 1 AND p.n >= 5 * w.n
+    ), chain AS (
+        WITH RECURSIVE chain AS (SELECT word, word AS root, 0 AS step FROM w UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN f ON f.word = c.root)
+        SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word
+    )
+    SELECT w.word, form, root, w.n, coalesce(n_near, 0) AS n_near, form_n
+    FROM w LEFT JOIN c USING (word) LEFT JOIN f USING (word) JOIN chain USING (word)
+    """
+
+
+@query("op12_spelling", _spelling_sql())
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with the commoner word it is a variant of."""
+    return spelling.spelling_groups(spelling.word_counts(table(spark, sf_dir, "documents"), dropped=199))
+
+
+@query(
+    "op13_topk",
+    """
+    WITH v AS (
+        SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT q.vec_id AS query_id, q.row, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.row <> c.row
+    )
+    SELECT query_id, rank, vec_id, score
+    FROM (SELECT *, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INT) AS rank FROM s) WHERE rank <= 20
+    """,
+)
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 other vectors of largest inner product of every twentieth vector."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)

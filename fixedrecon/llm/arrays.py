@@ -46,10 +46,10 @@ def _chunk_bytes(key: tuple, rows: pa.Table) -> pa.Table:
 
 
 def bit_set(keys: DataFrame, count: int) -> BitSet:
-    """The set of the long column ``key``, of about ``count`` rows: 64 bits a key, and 64 MB at most. Chunks of it
+    """The set of the long column ``key``, of about ``count`` rows: 32 bits a key, and 64 MB at most. Chunks of it
     are made by tasks, each from the distinct bits of one chunk; the driver joins them."""
     size = CHUNK_BITS
-    while size < min(64 * count, MOST_BITS):
+    while size < min(32 * count, MOST_BITS):
         size *= 2
 
     def place(key: Column) -> Column:

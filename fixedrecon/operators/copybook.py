@@ -7,7 +7,7 @@ record description and does not grow with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -94,10 +94,9 @@ def describe_entries(kept: DataFrame) -> DataFrame:
     )
 
 
-def entries_with_storage(entries: DataFrame) -> DataFrame:
-    return entries.filter(
-        F.col("reject_reason").isNull() & ~F.col("level").isin(*NON_STORAGE_LEVELS)
-    ).drop("reject_reason", "statement")
+def is_storage() -> Column:
+    """Usable entries that take part in the layout."""
+    return F.col("reject_reason").isNull() & ~F.col("level").isin(*NON_STORAGE_LEVELS)
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:

@@ -1,26 +1,24 @@
 """Entries to positions: the layout table, for many copybooks at once.
 
-How it works, all set-based:
-
-1. the ancestors of an entry come from one window per (record, level): the
-   last entry seen at a level is an ancestor while nothing shallower followed;
-2. every entry is repeated once per combination of the occurrence numbers of
-   its ancestors and itself; ``occ_path`` = [line, index, line, index, ...]
-   sorts in storage order;
-3. a running sum of lengths along ``occ_path`` gives positions, separately for
-   each redefining subtree, whose base is the start of its target. A target
-   may sit in another redefining subtree; the bases are resolved by pointer
-   doubling, so ``n`` nested redefinitions take ``log2(n)`` steps.
-
-Rows that need something from another row of their copybook look it up through
-a window, not a join: every window is partitioned by the copybook and more, so
-the whole parse shuffles the lines once.
+How it works, natively and with one shuffle of the lines:
+
+1. the entries of a copybook, as many as its record description has, are gathered into one array;
+2. one pass over the array in line order keeps the open groups and finds for every entry its ancestors, the
+   position of its first occurrence, and the groups whose occurrences move it. Storage sizes are differences of
+   one running sum, so nothing is summed twice. What redefines another entry takes over that entry's first
+   position and its movers, as far as they enclose both: nested redefinitions need no further step, as a target
+   always stands above;
+3. every entry is repeated once per combination of the occurrence numbers of its ancestors and itself, and the
+   position of each is ``first + sum(index * size)`` over the groups that move it: a row expression. ``occ_path`` =
+   [line, index, line, index, ...] sorts in storage order.
+
+Names that occur twice in a record are numbered by another row expression: an entry knows the earlier entries that
+can take the same name, and which of their occurrences do.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -29,364 +27,354 @@ from pyspark.sql import functions as F
 from fixedrecon.operators.copybook import (
     UNKNOWN_COPYBOOK,
     describe_entries,
-    entries_with_storage,
-    rejected_lines,
+    is_storage,
     statements,
 )
 
-RECORD = ["copybook_id", "record_no"]
 LAYOUT_COLUMNS = [
     "copybook_id", "copybook_name", "record_no", "record_name", "line_no", "occ_path", "level",
     "field_name", "base_name", "kind", "pic_clause", "data_type", "decimal_positions", "length",
     "start_pos", "end_pos", "occurs", "occurrence", "redefines", "in_redefinition", "parent",
 ]
-_ATTRIBUTES = [
-    "level", "field_name", "pic_clause", "data_type", "decimal_positions", "length", "occurs",
-    "redefines", "record_name", "copybook_name", "target_line", "depth_level",
-]
+LARGEST = 2**31 - 1  # the last position of a record
+RUN = 4096  # occurrences made at a time
+NUMBERED = r"((?:_\d{2,})*)$"  # what occurrence numbers look like at the end of a name
+NO_REGION = -1
 
 
-def lookup(rows: DataFrame, own: Column, wanted: Column, value: Column, out: str) -> DataFrame:
-    """Add column ``out``: the ``value`` of the row of the same record whose
-    ``own`` key equals this row's ``wanted`` key (the smallest value if there
-    are several), NULL where nothing is wanted or found."""
-    asks = F.array_compact(
-        F.array(
-            F.struct(F.lit(False).alias("asking"), own.alias("key")),
-            F.when(wanted.isNotNull(), F.struct(F.lit(True).alias("asking"), wanted.alias("key"))),
-        )
-    )
-    same_key = W.partitionBy(*RECORD, "ask_key")
-    return (
-        rows.withColumn("ask", F.explode(asks))
-        .withColumns({"asking": F.col("ask.asking"), "ask_key": F.col("ask.key"), "wants": wanted.isNotNull()})
-        .withColumn("found", F.min(F.when(~F.col("asking"), value)).over(same_key))
-        .filter(F.col("asking") | ~F.col("wants"))
-        .withColumn(out, F.when(F.col("asking"), F.col("found")))
-        .drop("ask", "asking", "ask_key", "wants", "found")
-    )
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def name_copybooks(entries: DataFrame) -> DataFrame:
-    """``copybook_name``: the first 01 entry."""
-    named = F.col("level") == 1
-    first = F.min(F.when(named, F.struct("line_no", "field_name"))).over(W.partitionBy("copybook_id"))
-    return entries.withColumn("first_01", first).withColumn(
-        "copybook_name", F.coalesce("first_01.field_name", F.lit(UNKNOWN_COPYBOOK))
-    ).drop("first_01")
+def gather_books(lines: DataFrame) -> DataFrame:
+    """One row per copybook: ``entries`` in line order, ``rejects``, ``repeated`` (repeated entries, as they are
+    reported where the copybook does not fit) and ``copybook_name``, the first 01 entry."""
+    described = (
+        describe_entries(statements(lines))
+        .withColumn("depth", F.when(F.col("level") == 77, 1).otherwise(F.col("level")))
+        .withColumn("is_group", F.col("pic_clause") == "")
+        .withColumn("stem", F.regexp_replace("field_name", NUMBERED, ""))
+        .withColumn("numbers", F.regexp_extract_all(F.regexp_extract("field_name", NUMBERED, 1), F.lit(r"_(\d+)"), F.lit(1)))
+    )
+    entry = F.struct(
+        "line_no", "level", "depth", "is_group", "field_name", "stem", "numbers", "pic_clause", "data_type",
+        "decimal_positions", "length", "occurs", "redefines",
+    )
 
+    def listed(condition: Column, row: Column) -> Column:
+        return F.sort_array(F.collect_list(F.when(condition, row)))
 
-def number_records(fields: DataFrame) -> DataFrame:
-    """Each 01 (and each stand-alone 77) starts a record of its own."""
-    order = W.partitionBy("copybook_id").orderBy("line_no")
+    oversized = F.struct("line_no", "statement", F.lit("expansion does not fit").alias("reject_reason"))
     return (
-        fields.withColumn("depth_level", F.when(F.col("level") == 77, 1).otherwise(F.col("level")))
-        .withColumn("record_no", F.sum((F.col("depth_level") == 1).cast("int")).over(order))
-        .withColumn(
-            "record_name",
-            F.last(F.when(F.col("depth_level") == 1, F.col("field_name")), True).over(order),
+        described.groupBy("copybook_id")
+        .agg(
+            listed(is_storage(), entry).alias("entries"),
+            listed(F.col("reject_reason").isNotNull(), F.struct("line_no", "statement", "reject_reason")).alias("rejects"),
+            listed(is_storage() & (F.col("occurs") > 1), oversized).alias("repeated"),
+            F.min(F.when(F.col("level") == 1, F.struct("line_no", "field_name"))).alias("first_01"),
         )
+        .withColumn("copybook_name", F.coalesce("first_01.field_name", F.lit(UNKNOWN_COPYBOOK)))
+        .drop("first_01")
     )
 
 
-def add_redefines_line(fields: DataFrame) -> DataFrame:
-    """``target_line``: line of the first entry with the redefined name, NULL
-    when the name is unknown or comes later."""
-    found = lookup(fields, F.col("field_name"), F.col("redefines"), F.col("line_no"), "found_line")
-    return found.withColumn(
-        "target_line", F.when(F.col("found_line") < F.col("line_no"), F.col("found_line"))
-    ).drop("found_line")
-
-
-def add_ancestors(fields: DataFrame) -> DataFrame:
-    """``chain``: the enclosing groups and the entry itself, outermost first,
-    as structs (line_no, occurs, target_line). At most one ancestor per level,
-    so a chain is never longer than the number of two-digit levels."""
-    record = W.partitionBy(*RECORD)
-    before = (
-        W.partitionBy(*RECORD, "slot")
-        .orderBy("line_no")
-        .rowsBetween(W.unboundedPreceding, -1)
+# What the pass keeps of an open entry. ``times``: occurrences of the entry in its record; ``total``: widths times
+# occurrences of what its region holds below it so far; ``before``: that of the whole region when the entry came.
+_OPEN = (
+    "struct<i:int,depth:int,is_group:boolean,name:string,times:double,repeats:array<int>,region:int,"
+    "before:double,first:double,movers:array<int>,total:double>"
+)
+_PLACED = (
+    "struct<record_no:int,record_name:string,parent:string,chain:array<int>,repeats:array<int>,region:int,"
+    "first:double,movers:array<int>,times:double>"
+)
+
+
+def _step(state: Column, entry: Column) -> Column:
+    """The pass of ``place_entries`` goes on by one entry, the ``i``-th."""
+    i, starts = F.size(state["placed"]), entry["depth"] == 1
+    nothing = F.array().cast(f"array<{_OPEN}>")
+    opened = F.struct(
+        F.when(starts, nothing).otherwise(F.filter(state["open"], lambda o: o["depth"] < entry["depth"])).alias("open"),
+        F.when(starts, state["open"]).otherwise(F.filter(state["open"], lambda o: o["depth"] >= entry["depth"])).alias("closed"),
+        F.when(starts, i).otherwise(state["since"]).alias("since"),
+        F.when(starts, F.lit(0.0)).otherwise(state["total"]).alias("total"),
+        F.when(starts, state["record_no"] + 1).otherwise(state["record_no"]).alias("record_no"),
+        F.when(starts, entry["field_name"]).otherwise(state["record_name"]).alias("record_name"),
     )
-    node = F.struct(
-        F.col("line_no"),
-        F.col("occurs"),
-        F.col("target_line"),
-        F.col("field_name").alias("name"),
+
+    def enclosed(now: Column) -> Column:
+        groups = F.filter(now["open"], lambda o: o["is_group"])
+        names = F.transform(F.slice("entries", now["since"] + 1, i - now["since"]), lambda e: e["field_name"])
+        named = F.when(entry["redefines"].isNotNull(), F.array_position(names, entry["redefines"]).cast("int"))
+        return F.struct(
+            groups.alias("groups"),
+            F.get(groups, F.size(groups) - 1).alias("parent"),
+            F.get(state["placed"], F.when(named > 0, now["since"] + named - 1)).alias("target"),
+        )
+
+    def placed(now: Column, around: Column) -> Column:
+        parent, target = around["parent"], around["target"]
+        region = F.when(target.isNotNull(), i).otherwise(F.coalesce(parent["region"], F.lit(NO_REGION)))
+        own = F.array(i)
+        shared = F.filter(target["movers"], lambda m: F.exists(around["groups"], lambda g: g["i"] == m))
+        return F.struct(
+            region.alias("region"),
+            (F.coalesce(parent["times"], F.lit(1.0)) * entry["occurs"]).alias("times"),
+            F.concat(
+                F.coalesce(parent["repeats"], F.array().cast("array<int>")),
+                F.when(entry["occurs"] > 1, F.array(entry["occurs"])).otherwise(F.array().cast("array<int>")),
+            ).alias("repeats"),
+            F.when(target.isNotNull(), F.lit(0.0))
+            .when(region == NO_REGION, now["total"])
+            .otherwise(F.get(F.filter(now["open"], lambda o: o["i"] == region), F.lit(0))["total"])
+            .alias("before"),
+            F.when(target.isNotNull(), F.concat(shared, own))
+            .otherwise(F.concat(F.coalesce(parent["movers"], F.array().cast("array<int>")), own))
+            .alias("movers"),
+        )
+
+    def finished(now: Column, around: Column, at: Column) -> Column:
+        parent, target = around["parent"], around["target"]
+        first = (
+            F.when(target.isNotNull(), target["first"])
+            .when(parent.isNull(), at["before"])
+            .otherwise(parent["first"] + (at["before"] - parent["before"]) / parent["times"])
+        )
+        width = F.when(entry["is_group"], F.lit(0.0)).otherwise(entry["length"] * at["times"])
+        grown = F.transform(
+            now["open"], lambda o: o.withField("total", o["total"] + F.when(o["region"] == at["region"], width).otherwise(0.0))
+        )
+        new = F.struct(
+            i, entry["depth"], entry["is_group"], entry["field_name"], at["times"], at["repeats"], at["region"],
+            at["before"], first, at["movers"], F.lit(0.0),
+        ).cast(_OPEN)
+        row = F.struct(
+            now["record_no"], now["record_name"], parent["name"],
+            F.concat(F.transform(around["groups"], lambda g: g["i"]), F.array(i)),
+            at["repeats"], at["region"], first, at["movers"], at["times"],
+        ).cast(_PLACED)
+        return F.struct(
+            F.concat(grown, F.array(new)).alias("open"),
+            now["since"].alias("since"),
+            (now["total"] + F.when(at["region"] == NO_REGION, width).otherwise(0.0)).alias("total"),
+            now["record_no"].alias("record_no"),
+            now["record_name"].alias("record_name"),
+            F.concat(state["placed"], F.array(row)).alias("placed"),
+            F.concat(state["sizes"], F.transform(now["closed"], _size)).alias("sizes"),
+        )
+
+    return _let(
+        opened,
+        lambda now: _let(enclosed(now), lambda around: _let(placed(now, around), lambda at: finished(now, around, at))),
     )
-    seen = F.struct(
-        F.col("depth_level"), (F.col("pic_clause") == "").alias("is_group"), F.col("node")
+
+
+def _size(entry: Column) -> Column:
+    """Positions taken by one occurrence of a group that is complete."""
+    return F.struct(entry["i"].alias("i"), (entry["total"] / entry["times"]).alias("storage"))
+
+
+def place_entries(books: DataFrame) -> DataFrame:
+    """Add ``placed``, for each entry: record, ancestors (``chain``, by place in the array, with the entry itself), the
+    0-based position of its ``first`` occurrence, its ``movers``, the redefining ``region`` it lies in; ``sizes``: the
+    storage of each entry that is a group; ``fits``: whether all occurrences end at a position that an integer holds.
+
+    Each 01 and each stand-alone 77 starts a record. A group encloses what follows on deeper levels until a level
+    as high as its own comes. A name is redefined by its first entry in the record, if that stands above. Sums are
+    doubles: exact for every copybook that fits, and without overflow for the others."""
+    zero = F.struct(
+        F.array().cast(f"array<{_OPEN}>").alias("open"),
+        F.lit(0).alias("since"),
+        F.lit(0.0).alias("total"),
+        F.lit(0).alias("record_no"),
+        F.lit(None).cast("string").alias("record_name"),
+        F.array().cast(f"array<{_PLACED}>").alias("placed"),
+        F.array().cast("array<struct<i:int,storage:double>>").alias("sizes"),
     )
-    last_seen = F.last(F.when(F.col("depth_level") <= F.col("slot"), seen), True).over(before)
-    encloses = (
-        (F.col("slot") < F.col("depth_level"))
-        & (F.col("last_seen.depth_level") == F.col("slot"))
-        & F.col("last_seen.is_group")
+    widest = F.transform(
+        F.arrays_zip("placed", "entries"), lambda z: z["placed"]["times"] * F.greatest(z["entries"]["length"], F.lit(1))
     )
     return (
-        fields.withColumn("node", node)
-        .withColumn("slots", F.collect_set("depth_level").over(record))
-        .withColumn("slot", F.explode("slots"))
-        .withColumn("last_seen", last_seen)
-        .groupBy(*RECORD, "line_no")
-        .agg(
-            F.sort_array(F.collect_list(F.when(encloses, F.col("last_seen.node")))).alias("above"),
-            F.first(F.struct("node", *_ATTRIBUTES)).alias("entry"),
-        )
-        .select(
-            *RECORD,
-            "line_no",
-            *[F.col(f"entry.{a}").alias(a) for a in _ATTRIBUTES],
-            F.when(F.size("above") > 0, F.element_at("above", -1)["name"]).alias("parent"),
-            F.transform(F.concat("above", F.array("entry.node")), lambda c: c.dropFields("name")).alias("chain"),
-        )
+        books.withColumn("passed", F.aggregate("entries", zero, _step))
+        .withColumn("placed", F.col("passed.placed"))
+        .withColumn("sizes", F.sort_array(F.concat("passed.sizes", F.transform("passed.open", _size))))
+        .drop("passed")
+        .withColumn("fits", F.aggregate(widest, F.lit(0.0), lambda a, x: a + x) <= LARGEST)
     )
 
 
-def add_group_storage(chained: DataFrame) -> DataFrame:
-    """``storage``: positions taken by one occurrence of a group. Every
-    elementary entry adds its width to each group around it, times the
-    repetitions in between; what redefines other storage adds nothing."""
-    depth = F.size("chain")
-    shares = F.transform(
-        F.slice("chain", 1, depth - 1),
-        lambda c, i: F.struct(
-            c["line_no"].alias("line"),
-            F.when(
-                F.exists(
-                    F.slice("chain", i + 2, depth - i - 1), lambda below: below["target_line"].isNotNull()
-                ),
-                0,
-            )
-            .otherwise(
-                F.col("length")
-                * _product(F.slice("chain", i + 2, depth - i - 1))
-            )
-            .alias("width"),
+def all_rejects(lines: DataFrame) -> DataFrame:
+    """``copybook_id, line_no, statement, reject_reason`` of everything that is not in the layout table: statements
+    skipped, and the repeated entries of copybooks that do not fit and are left out as a whole. One pass over the lines."""
+    books = place_entries(gather_books(lines))
+    oversized = F.when(F.col("fits"), F.slice("repeated", 1, 0)).otherwise(F.col("repeated"))
+    return books.select("copybook_id", F.inline(F.concat("rejects", oversized)))
+
+
+def add_family_keys(books: DataFrame) -> DataFrame:
+    """``families``: for each entry a hash of what entries share that may take the same name: the record, the name
+    but for numbers at its end, and how many numbers it ends with after expansion."""
+    key = F.transform(
+        F.arrays_zip("entries", "placed"),
+        lambda z: F.xxhash64(
+            z["placed"]["record_no"], z["entries"]["stem"], F.size(z["entries"]["numbers"]) + F.size(z["placed"]["repeats"])
         ),
     )
-    own = F.array(F.struct(F.col("line_no").alias("line"), F.lit(None).cast("int").alias("width")))
-    group = W.partitionBy(*RECORD, "share_line")
-    return (
-        chained.withColumn(
-            "share", F.explode(F.when(F.col("pic_clause") != "", F.concat(own, shares)).otherwise(own))
+    return books.withColumn("families", key)
+
+
+def _rivals(i: Column) -> Column:
+    """Entries of the family of the ``i``-th whose occurrences may take the same name. ``plain`` counts the earlier
+    ones where neither is repeated, which take it surely."""
+
+    def entry(k):
+        return F.get("entries", k)
+
+    def place(k):
+        return F.get("placed", k)
+
+    def rival(j):
+        common = F.filter(F.array_intersect(place(i)["chain"], place(j)["chain"]), lambda c: entry(c)["occurs"] > 1)
+        return F.struct(
+            entry(j)["numbers"].alias("numbers"), place(j)["repeats"].alias("repeats"), F.size(common).alias("shared"), (j < i).alias("before")
         )
-        .withColumns({"share_line": F.col("share.line"), "width": F.col("share.width")})
-        .withColumn("storage", F.coalesce(F.sum("width").over(group), F.lit(0)).cast("int"))
-        .filter(F.col("width").isNull())
-        .drop("share", "share_line", "width")
-    )
 
+    def plainly(j):
+        return (F.size(place(j)["repeats"]) == 0) & (F.size(place(i)["repeats"]) == 0)
 
-def _product(nodes: Column) -> Column:
-    """Repetitions multiplied over a chain."""
-    return F.aggregate(nodes, F.lit(1), lambda total, node: total * node["occurs"])
+    def compared(family):
+        others = F.filter(family, lambda j: (j != i) & (entry(j)["stem"] == entry(i)["stem"]))
+        return F.struct(
+            F.size(F.filter(others, lambda j: plainly(j) & (j < i) & (entry(j)["numbers"] == entry(i)["numbers"]))).alias("plain"),
+            F.transform(
+                F.filter(others, lambda j: ~plainly(j) & ((j < i) | (entry(j)["numbers"] != entry(i)["numbers"]))), rival
+            ).alias("rivals"),
+        )
 
+    mine = F.filter(F.transform("families", lambda f, j: F.when(f == F.get("families", i), j)), lambda j: j.isNotNull())
+    return _let(mine, compared)
 
-LARGEST = 2**31 - 1  # the last position of a record
 
+def explode_entries(books: DataFrame) -> DataFrame:
+    """One row per entry, with ``steps``: for each chain element its line, repetitions, size of an occurrence, the
+    product of the repetitions below it, and whether it moves the entry."""
 
-def mark_fit(chained: DataFrame) -> DataFrame:
-    """``fits``: whether the occurrences of the whole copybook end at a position
-    that an integer holds. Numbers that outgrow a long count as too large."""
-    copies = F.aggregate(
-        "chain", F.lit(1).cast("long"), lambda total, node: F.try_multiply(total, node["occurs"].cast("long"))
-    )
-    size = F.try_multiply(copies, F.greatest(F.col("length"), F.lit(1)).cast("long"))
-    book = W.partitionBy("copybook_id")
-    total = F.sum(F.least(F.coalesce("size", F.lit(LARGEST + 1)), F.lit(LARGEST + 1))).over(book)
-    return chained.withColumn("size", size).withColumn("fits", total <= LARGEST).drop("size")
-
-
-def oversized_entries(lines: DataFrame) -> DataFrame:
-    """Repeated entries of the copybooks that do not fit, as rejected lines. A bound
-    on the repetitions first drops the copybooks that surely do."""
-    entries = describe_entries(statements(lines))
-    book = W.partitionBy("copybook_id")
-    bound = F.sum(F.ln("occurs")).over(book) + F.ln(F.sum(F.greatest("length", F.lit(1))).over(book))
-    doubtful = name_copybooks(entries).withColumn("bound", bound).filter(F.col("bound") > math.log(LARGEST) - 1)
-    fields = entries_with_storage(doubtful.withColumn("said", F.col("statement")))
-    marked = mark_fit(add_ancestors(add_redefines_line(number_records(fields))))
-    large = marked.filter(~F.col("fits") & (F.col("occurs") > 1)).select("copybook_id", "line_no")
-    return fields.join(large, ["copybook_id", "line_no"]).select(
-        "copybook_id", "line_no", F.col("said").alias("statement"), F.lit("expansion does not fit").alias("reject_reason")
-    )
+    def row(p: Column, i: Column) -> Column:
+        entry = F.get("entries", i)
 
+        def step(c: Column, k: Column) -> Column:
+            above = F.get("entries", c)
+            size = F.when(above["is_group"], F.get("sizes", c)["storage"]).otherwise(above["length"].cast("double"))
+            below = F.slice(p["chain"], k + 2, F.size(p["chain"]) - k - 1)
+            return F.struct(
+                above["line_no"].alias("line"),
+                above["occurs"].alias("occurs"),
+                F.when(F.array_contains(p["movers"], c), size).otherwise(0.0).cast("int").alias("size"),
+                F.aggregate(below, F.lit(1), lambda total, b: total * F.get("entries", b)["occurs"]).alias("inner"),
+            )
 
-def all_rejects(lines: DataFrame) -> DataFrame:
-    """``copybook_id, line_no, statement, reject_reason`` of everything that is not in
-    the layout table: statements skipped, and copybooks left out as a whole."""
-    return rejected_lines(lines).unionByName(oversized_entries(lines))
-
-
-def expand_occurrences(chained: DataFrame) -> DataFrame:
-    """One row per occurrence: ``own_lines`` and ``indices`` (0-based, one per
-    chain element), ``occ_path``, the linear ``occurrence``, the name suffix."""
-    steps = F.transform(
-        "chain",
-        lambda c, i: F.struct(
-            c["line_no"].alias("line"),
-            c["occurs"].alias("occurs"),
-            _product(F.slice("chain", i + 2, F.size("chain") - i - 1)).alias("inner"),
-        ),
+        return F.struct(
+            p["record_no"].alias("record_no"),
+            p["record_name"].alias("record_name"),
+            p["parent"].alias("parent"),
+            (p["region"] != NO_REGION).alias("in_redefinition"),
+            p["first"].cast("int").alias("first"),
+            F.transform(p["chain"], step).alias("steps"),
+            F.get("sizes", i)["storage"].cast("int").alias("storage"),
+            entry.alias("entry"),
+            _rivals(i).alias("same"),
+        )
+
+    return (
+        add_family_keys(books.where(F.col("fits") & (F.size("entries") > 0)))
+        .select("copybook_id", "copybook_name", F.explode(F.transform("placed", row)).alias("e"))
+        .select("copybook_id", "copybook_name", "e.*")
+        .select("*", "entry.*")
+        .drop("entry")
     )
-    placed = F.transform(
+
+
+def expand_occurrences(entries: DataFrame) -> DataFrame:
+    """One row per occurrence: ``at`` with the 0-based index of each chain element, from the mixed-radix number of the
+    occurrence. Runs of ``RUN`` at a time, so that no row holds all of them."""
+    first = F.element_at("steps", 1)
+    last = (first["inner"] * first["occurs"] - 1).cast("long")
+    run = F.least(F.col("last") - F.col("run") * RUN, F.lit(RUN - 1))
+    at = F.transform(
         "steps",
-        lambda p: F.struct(
-            p["line"].alias("line"),
-            p["occurs"].alias("occurs"),
-            (F.floor(F.col("n") / p["inner"]).cast("int") % p["occurs"]).alias("idx"),
-        ),
-    )
-    suffix = F.array_join(
-        F.transform(
-            F.filter("at", lambda p: p["occurs"] > 1), lambda p: F.format_string("_%02d", p["idx"] + 1)
+        lambda s: F.struct(
+            s["line"].alias("line"),
+            s["occurs"].alias("occurs"),
+            s["size"].alias("size"),
+            (F.floor(F.col("n") / s["inner"]).cast("int") % s["occurs"]).alias("idx"),
         ),
-        "",
     )
     return (
-        chained.withColumn("steps", steps)
-        .withColumn("n", F.explode(F.sequence(F.lit(0), _product(F.col("chain")) - 1)))
-        .withColumn("at", placed)
-        .withColumn("own_lines", F.transform("at", lambda p: p["line"]))
-        .withColumn("indices", F.transform("at", lambda p: p["idx"]))
-        .withColumn("occ_path", F.flatten(F.transform("at", lambda p: F.array(p["line"], p["idx"]))))
-        .withColumn("occurrence", F.col("n") + 1)
-        .withColumn("base_name", F.col("field_name"))
-        .withColumn("field_name", F.concat("field_name", suffix))
-        .withColumn(
-            "kind",
-            F.when(F.col("pic_clause") != "", "elementary")
-            .when(F.col("occurs") > 1, "group_occurrence")
-            .otherwise("group"),
-        )
-        .drop("steps", "n", "at")
+        entries.withColumn("last", last)
+        .withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("last") / RUN))))
+        .withColumn("n", F.explode(F.sequence(F.lit(0).cast("long"), run)))
+        .withColumn("n", (F.col("n") + F.col("run") * RUN).cast("int"))
+        .withColumn("at", at)
+        .drop("last", "run")
     )
 
 
-def _region(chain: Column, path: Column) -> Column:
-    """Path of the nearest redefining ancestor-or-self, [] in plain storage."""
-    marks = F.transform(chain, lambda c, i: F.when(c["target_line"].isNotNull(), i))
-    root = F.coalesce(F.array_max(marks), F.lit(-1))
-    return F.slice(path, 1, F.greatest(root * 2 + 1, F.lit(0)))
+def _number_text(n: Column) -> Column:
+    return F.format_string("%02d", n)
 
 
-def add_local_offsets(expanded: DataFrame) -> DataFrame:
-    """``region`` and the 0-based ``offset`` inside it."""
-    before = (
-        W.partitionBy(*RECORD, "region")
-        .orderBy("occ_path")
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
-    return expanded.withColumn("region", _region(F.col("chain"), F.col("occ_path"))).withColumn(
-        "offset", F.coalesce(F.sum("length").over(before), F.lit(0))
+def _takes_same_name(rival: Column) -> Column:
+    """Whether an occurrence of the rival that comes before this row has this row's name: the numbers at the end of
+    the name agree with the rival's own ones, then with its repetitions; of shared groups the index decides."""
+    own = F.size(rival["numbers"])
+    fixed = F.slice("texts", 1, own) == rival["numbers"]
+    chosen = F.transform(F.slice("texts", own + 1, F.size(rival["repeats"])), lambda t: t.try_cast("int"))
+    reached = F.forall(
+        F.arrays_zip(F.slice("texts", own + 1, F.size(rival["repeats"])).alias("t"), chosen.alias("n"), rival["repeats"].alias("r")),
+        lambda z: F.coalesce(z["n"].between(1, z["r"]) & (_number_text(z["n"]) == z["t"]), F.lit(False)),
     )
+    theirs = F.slice(chosen, 1, rival["shared"])
+    mine = F.slice("indices", 1, rival["shared"])
+    return fixed & reached & ((theirs < mine) | ((theirs == mine) & rival["before"]))
 
 
-def add_bases(placed: DataFrame, passes: int) -> DataFrame:
-    """``base``: where the region of a row starts (0-based)."""
-    # occurrence numbers of shared ancestors carry over, all others are the first
-    target_path = F.flatten(
-        F.transform(
-            "target_lines",
-            lambda line: F.array(
-                line,
-                F.coalesce(
-                    F.get(F.col("indices"), F.array_position("own_lines", line).cast("int") - 1),
-                    F.lit(0),
-                ),
-            ),
-        )
-    )
-    is_root = F.col("target_lines").isNotNull() & (F.element_at("occ_path", -1) == 0)
-    region = W.partitionBy(*RECORD, "region")
-    place = F.struct(F.col("region").alias("within"), F.col("offset").alias("base"))
-    pointed = (
-        lookup(
-            placed.withColumn("target_path", F.when(is_root, target_path)),
-            F.col("occ_path"),
-            F.col("target_path"),
-            place,
-            "target",
-        )
-        .withColumn("pointer", F.max("target").over(region))
-        .withColumns(
-            {
-                "within": F.coalesce("pointer.within", F.array().cast("array<int>")),
-                "base": F.coalesce("pointer.base", F.lit(0)),
-            }
-        )
-        .drop("own_lines", "target_path", "target", "pointer")
-    )
-    for _ in range(passes):
-        pointed = (
-            lookup(
-                pointed,
-                F.col("region"),
-                F.when(F.size("within") > 0, F.col("within")),
-                F.struct("within", "base"),
-                "further",
-            )
-            .withColumns(
-                {
-                    "within": F.coalesce("further.within", "within"),
-                    "base": F.col("base") + F.coalesce("further.base", F.lit(0)),
-                }
-            )
-            .drop("further")
-        )
-    return pointed.drop("within")
-
-
-def most_redefinitions(lines: DataFrame) -> int:
-    """Largest number of REDEFINES clauses in one copybook: no chain of
-    redefinitions can be longer. One small aggregate over copybook lines."""
-    counted = lines.filter(F.col("raw").rlike("(?i)REDEFINES")).groupBy("copybook_id").count()
-    return counted.agg(F.max("count")).first()[0] or 0
-
-
-def parse_copybooks(lines: DataFrame, overlay_passes: int | None = None) -> DataFrame:
-    """Copybook lines to the layout table (columns ``LAYOUT_COLUMNS``). Copybooks that
-    do not fit are left out; ``all_rejects`` lists them.
-
-    ``overlay_passes`` is the number of pointer steps for nested redefinitions:
-    -1 when nothing is redefined, 0 when no redefinition refers to storage
-    inside another one. Left out, a sufficient number is measured."""
-    if overlay_passes is None:
-        most = most_redefinitions(lines)
-        overlay_passes = math.ceil(math.log2(most)) if most else -1
-    fields = entries_with_storage(name_copybooks(describe_entries(statements(lines))))
-    whole = mark_fit(add_ancestors(add_redefines_line(number_records(fields))))
-    chained = add_group_storage(whole.filter("fits").drop("fits"))
-    if overlay_passes >= 0:
-        lines_of = F.transform("chain", lambda c: c["line_no"])
-        chained = lookup(chained, F.col("line_no"), F.col("target_line"), lines_of, "target_lines")
-        placed = add_bases(add_local_offsets(expand_occurrences(chained)), overlay_passes)
-    else:
-        placed = add_local_offsets(expand_occurrences(chained)).withColumn("base", F.lit(0))
-    again = F.row_number().over(W.partitionBy(*RECORD, "field_name").orderBy("occ_path"))
-    grouped = F.col("kind") == "group_occurrence"
+def _again(entries: DataFrame) -> DataFrame:
+    """``field_name`` with its occurrence numbers, and numbered from 2 where a row before it in the record has it."""
+    repeated = F.filter("at", lambda p: p["occurs"] > 1)
+    again = F.lit(1) + F.col("same.plain") + F.when(
+        F.size("same.rivals") > 0, F.size(F.filter("same.rivals", _takes_same_name))
+    ).otherwise(0)
     return (
-        placed.withColumn("start_pos", (F.lit(1) + F.col("offset") + F.col("base")).cast("int"))
-        .withColumn("length", F.when(grouped, F.col("storage")).otherwise(F.col("length")))
-        .withColumn("end_pos", F.col("start_pos") + F.col("length") - 1)
+        entries.withColumn("indices", F.transform(repeated, lambda p: p["idx"] + 1))
+        .withColumn("suffix", F.transform("indices", _number_text))
+        .withColumn("texts", F.concat("numbers", "suffix"))
         .withColumn("again", again)
+        .withColumn("field_name", F.array_join(F.concat(F.array("base_name"), "suffix"), "_"))
         .withColumn(
             "field_name",
-            F.when(F.col("again") > 1, F.concat_ws("_", "field_name", "again"))
-            .otherwise(F.col("field_name")),
+            F.when(F.col("again") > 1, F.concat_ws("_", "field_name", F.col("again").cast("string"))).otherwise(F.col("field_name")),
         )
-        .withColumn("in_redefinition", F.size("region") > 0)
-        .select(*LAYOUT_COLUMNS)
     )
 
 
-def mark_keys(layout: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """``is_pk`` for fields whose own or base name is a key."""
-    named = list(keys)
-    return layout.withColumn(
-        "is_pk", F.col("field_name").isin(named) | F.col("base_name").isin(named)
+def parse_copybooks(lines: DataFrame) -> DataFrame:
+    """Copybook lines to the layout table (columns ``LAYOUT_COLUMNS``). Copybooks that do not fit are left out;
+    ``all_rejects`` lists them."""
+    rows = expand_occurrences(explode_entries(place_entries(gather_books(lines))))
+    moved = F.aggregate("at", F.lit(0), lambda a, p: a + p["idx"] * p["size"])
+    kind = F.when(~F.col("is_group"), "elementary").when(F.col("occurs") > 1, "group_occurrence").otherwise("group")
+    placed = (
+        rows.withColumn("kind", kind)
+        .withColumn("start_pos", F.col("first") + moved + 1)
+        .withColumn("length", F.when(F.col("kind") == "group_occurrence", F.col("storage")).otherwise(F.col("length")))
+        .withColumn("end_pos", F.col("start_pos") + F.col("length") - 1)
+        .withColumn("occ_path", F.flatten(F.transform("at", lambda p: F.array(p["line"], p["idx"]))))
+        .withColumn("occurrence", F.col("n") + 1)
+        .withColumn("base_name", F.col("field_name"))
     )
+    return _again(placed).select(*LAYOUT_COLUMNS)
 
 
 def record_lengths(layout: DataFrame) -> DataFrame:
@@ -415,18 +403,24 @@ def parsing_summary(lines: DataFrame, layout: DataFrame) -> DataFrame:
     )
 
 
-def layout_schema(layout: DataFrame, include_group_slices: bool = False) -> DataFrame:
-    """``copybook_id, ordinal, field_name, type``: the reader's columns."""
+def layout_columns(layout: DataFrame, include_group_slices: bool = False) -> DataFrame:
+    """``copybook_id, ordinal, field_name, base_name, type``: the reader's columns, with the name as written."""
     kinds = ["elementary", "group_occurrence"] if include_group_slices else ["elementary"]
     order = W.partitionBy("copybook_id").orderBy("record_no", "occ_path")
     return layout.filter(F.col("kind").isin(kinds) & (F.col("length") > 0)).select(
         "copybook_id",
         F.row_number().over(order).alias("ordinal"),
         "field_name",
+        "base_name",
         F.lit("string").alias("type"),
     )
 
 
+def layout_schema(layout: DataFrame, include_group_slices: bool = False) -> DataFrame:
+    """``copybook_id, ordinal, field_name, type``: the reader's columns."""
+    return layout_columns(layout, include_group_slices).drop("base_name")
+
+
 def layout_alignment(layout: DataFrame) -> DataFrame:
     """Gap or overlap of each elementary field with all fields before it. Needs
     ``copybook_id, record_name, field_name, start_pos, end_pos``; rows with

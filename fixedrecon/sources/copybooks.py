@@ -6,12 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def copybook_lines(texts: DataFrame, copybook_id: Column, text: Column) -> DataFrame:
+def copybook_lines(texts: DataFrame, copybook_id: Column, text: Column, tasks: int | None = None) -> DataFrame:
     """``copybook_id, line_no, raw`` from a table holding one copybook per row.
-    The line end of the last line starts no line of its own."""
-    return texts.select(
-        copybook_id.alias("copybook_id"),
-        F.posexplode(F.split(F.regexp_replace(text, r"\r?\n\z", ""), "\r?\n")).alias("pos", "raw"),
+    The line end of the last line starts no line of its own.
+
+    ``tasks`` deals the copybooks over so many tasks for all that follows. Thousands of copybooks are few bytes but
+    much parsing: left to their size, a small table stays with one task."""
+    books = texts.select(copybook_id.alias("copybook_id"), text.alias("body"))
+    books = books.repartition(tasks, "copybook_id") if tasks else books
+    return books.select(
+        "copybook_id",
+        F.posexplode(F.split(F.regexp_replace("body", r"\r?\n\z", ""), "\r?\n")).alias("pos", "raw"),
     ).select("copybook_id", (F.col("pos") + 1).alias("line_no"), "raw")
 
 

@@ -69,7 +69,7 @@ def broken_customers(spark, sf):
 
 def part_lines(spark, sf):
     texts = X.part_copybook_texts(spark, sf)
-    return copybook_lines(texts, F.col("copybook_id"), F.col("content"))
+    return copybook_lines(texts, F.col("copybook_id"), F.col("content"), tasks=spark.sparkContext.defaultParallelism)
 
 
 def part_layout(spark, sf):
@@ -406,10 +406,7 @@ def cmp_common(spark, sf):
 
 @query
 def cmp_columns(spark, sf):
-    layout = part_layout(spark, sf)
-    columns = L.layout_schema(layout).join(
-        layout.select("copybook_id", "field_name", "base_name"), ["copybook_id", "field_name"]
-    )
+    columns = L.layout_columns(part_layout(spark, sf))
     return longs(L.fields_to_compare(columns, ignore=["FILLER", "TAG_QTY"], keys=["PART_ID"]), "ordinal")
 
 

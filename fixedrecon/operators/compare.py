@@ -1,8 +1,9 @@
 """Record comparison over one full outer join.
 
 Presence on a side is kept in marker columns, so that a NULL or blank value is
-never mistaken for a missing record. The join is the only shuffle; whatever is
-computed from it (details, tags, counts) is row-wise on top.
+never mistaken for a missing record. Records are shuffled by the join alone, and keys by
+the count that spreads crowded ones; whatever is computed from the join (details, tags,
+counts) is row-wise on top.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from fixedrecon.functions.compare import (
 )
 from fixedrecon.layout import Layout
 from fixedrecon.operators.records import METADATA_COLUMNS, suffix_columns
+from fixedrecon.operators.spread import BOTH, CHUNK_COLUMNS, SPREAD_ROWS, spread_sides, without_lone_copies
 
 IN_LEGACY, IN_MODERN = "in__legacy", "in__modern"  # no field name has two underscores
 
@@ -85,37 +87,59 @@ def make_rules(
     return Rules(tuple(keys), tuple(fields), dict(tolerance or {}), decimals)
 
 
-def join_sides(legacy: DataFrame, modern: DataFrame, rules: Rules, how: str = "full_outer") -> DataFrame:
+def _presence(joined: DataFrame) -> DataFrame:
+    return joined.withColumns(
+        {
+            IN_LEGACY: F.coalesce(IN_LEGACY, F.lit(False)),
+            IN_MODERN: F.coalesce(IN_MODERN, F.lit(False)),
+        }
+    )
+
+
+def join_sides(
+    legacy: DataFrame, modern: DataFrame, rules: Rules, how: str = "full_outer", spread_rows: int | None = SPREAD_ROWS
+) -> DataFrame:
     """Full outer join on the keys; keys are merged, other fields get
-    ``_legacy`` and ``_modern``. Only keys and compared fields are shuffled."""
+    ``_legacy`` and ``_modern``. Only keys and compared fields are shuffled.
+
+    Keys with more than ``spread_rows`` records on a side are dealt over several tasks, for which rows per key are
+    counted first; the rows of the result are the same. None, for keys that are known to be few: joins as it is."""
     left = suffix_columns(legacy, rules.keys, rules.values, "legacy").withColumn(
         IN_LEGACY, F.lit(True)
     )
     right = suffix_columns(modern, rules.keys, rules.values, "modern").withColumn(
         IN_MODERN, F.lit(True)
     )
-    return left.join(right, list(rules.keys), how).withColumns(
-        {
-            IN_LEGACY: F.coalesce(IN_LEGACY, F.lit(False)),
-            IN_MODERN: F.coalesce(IN_MODERN, F.lit(False)),
-        }
-    )
+    if spread_rows is None:
+        return _presence(left.join(right, list(rules.keys), how))
+    left, right = spread_sides(left, right, rules.keys, spread_rows)
+    joined = left.join(right, [*rules.keys, *CHUNK_COLUMNS], how)
+    return _presence(without_lone_copies(joined, IN_LEGACY, IN_MODERN))
 
 
 def join_sides_by_condition(
-    legacy: DataFrame, modern: DataFrame, keys: Iterable[str], fields: Iterable[str], how: str = "full_outer"
+    legacy: DataFrame, modern: DataFrame, keys: Iterable[str], fields: Iterable[str], how: str = "full_outer",
+    spread_rows: int | None = SPREAD_ROWS,
 ) -> DataFrame:
-    """Full outer join that keeps both key sets: ``l_<field>``, ``m_<field>``."""
-    fields = list(fields)
-    left = legacy.select(*[F.col(c).alias(f"l_{c}") for c in fields], F.lit(True).alias(IN_LEGACY))
-    right = modern.select(*[F.col(c).alias(f"m_{c}") for c in fields], F.lit(True).alias(IN_MODERN))
-    condition = [F.col(f"l_{k}") == F.col(f"m_{k}") for k in keys]
-    return left.join(right, condition, how).withColumns(
-        {
-            IN_LEGACY: F.coalesce(IN_LEGACY, F.lit(False)),
-            IN_MODERN: F.coalesce(IN_MODERN, F.lit(False)),
-        }
-    )
+    """Full outer join that keeps both key sets: ``l_<field>``, ``m_<field>``. ``spread_rows`` as in ``join_sides``."""
+    fields, keys = list(fields), list(keys)
+    extra: list[str] = []
+    if spread_rows is not None:
+        sides = (side.select(*dict.fromkeys([*fields, *keys])) for side in (legacy, modern))
+        legacy, modern = spread_sides(*sides, keys, spread_rows)
+        extra = list(CHUNK_COLUMNS)
+
+    def side(records: DataFrame, letter: str, present: str, both: str) -> DataFrame:
+        more = [F.col(c).alias(f"{letter}_{c}") for c in extra] + ([F.col(both)] if extra else [])
+        return records.select(*[F.col(c).alias(f"{letter}_{c}") for c in fields], *more, F.lit(True).alias(present))
+
+    left = side(legacy, "l", IN_LEGACY, BOTH["legacy"])
+    right = side(modern, "m", IN_MODERN, BOTH["modern"])
+    condition = [F.col(f"l_{k}") == F.col(f"m_{k}") for k in [*keys, *extra]]
+    joined = left.join(right, condition, how)
+    if extra:
+        joined = without_lone_copies(joined, IN_LEGACY, IN_MODERN).drop(*[f"{a}_{c}" for a in "lm" for c in extra])
+    return _presence(joined)
 
 
 def both_present() -> Column:

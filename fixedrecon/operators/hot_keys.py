@@ -22,38 +22,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fixedrecon.functions.compare import any_of, as_number
 from fixedrecon.operators.compare import Rules, join_sides
+from fixedrecon.operators.spread import SALTS, SPREAD_ROWS, crowded, key_matches, key_profile
 
 # Column names with two underscores are internal: no field name has them.
-SALT, SALTS = "hot__salt", 4096
+SALT = "hot__salt"
 CHUNKS = ("hot__chunk_legacy", "hot__chunk_modern")
-SPREAD_ROWS = 10_000  # rows of a key in one group of a join
 BIG = "decimal(38,0)"  # pair counts outgrow a long
 
 
-def key_profile(legacy: DataFrame, modern: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Rows per key and side. Only the keys are shuffled, after counting on
-    the map side, so a hot key costs one row per map task."""
-    keys = list(keys)
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    both = legacy.select(*keys, one.alias("l"), zero.alias("m")).unionByName(
-        modern.select(*keys, zero.alias("l"), one.alias("m"))
-    )
-    return both.groupBy(*keys).agg(F.sum("l").alias("rows__legacy"), F.sum("m").alias("rows__modern"))
-
-
-def key_matches(keys: Iterable[str]) -> Column:
-    """The key occurs on both sides and can be equal to itself (no NULL)."""
-    present = (F.col("rows__legacy") > 0) & (F.col("rows__modern") > 0)
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], present)
-
-
 def pairs() -> Column:
     return F.col("rows__legacy").cast("decimal(19,0)") * F.col("rows__modern").cast("decimal(19,0)")
 
@@ -90,11 +72,6 @@ def duplicated() -> Column:
     return (F.col("rows__legacy") > 1) | (F.col("rows__modern") > 1)
 
 
-def crowded(spread_rows: int) -> Column:
-    """More records of the key on a side than one group of a join should take."""
-    return (F.col("rows__legacy") > spread_rows) | (F.col("rows__modern") > spread_rows)
-
-
 def is_marked(keys: Iterable[str], duplicate_keys: str, spread_rows: int) -> Column:
     """Keys that the plain outer join is not to take as they are."""
     matched = key_matches(keys)
@@ -158,7 +135,7 @@ def split_marked(legacy: DataFrame, modern: DataFrame, marks: DataFrame, keys: I
 def join_rest(split: Split, rules: Rules) -> DataFrame:
     """The outer join of all records except those of marked keys on both sides."""
     salted = replace(rules, keys=(*rules.keys, SALT))
-    return join_sides(split.rest_legacy, split.rest_modern, salted).drop(SALT)
+    return join_sides(split.rest_legacy, split.rest_modern, salted, spread_rows=None).drop(SALT)
 
 
 def in_chunks(split: Split, spread_rows: int) -> tuple[DataFrame, DataFrame]:
@@ -186,7 +163,7 @@ def join_pairs(split: Split, rules: Rules, spread_rows: int) -> DataFrame:
     legacy, modern = in_chunks(split, spread_rows)
     kept = [*rules.keys, *rules.values, *CHUNKS]
     chunked = replace(rules, keys=(*rules.keys, *CHUNKS))
-    return join_sides(legacy.select(*kept), modern.select(*kept), chunked, "inner").drop(*CHUNKS)
+    return join_sides(legacy.select(*kept), modern.select(*kept), chunked, "inner", spread_rows=None).drop(*CHUNKS)
 
 
 def _cell(value: Column, tolerance: float, decimals: int) -> tuple[Column, Column]:

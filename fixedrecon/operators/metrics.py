@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fixedrecon.operators.compare import IN_LEGACY, IN_MODERN, Rules, both_present, has_mismatch
+from fixedrecon.operators.spread import key_profile
 
 # The limits and texts of the verdict.
 EXCELLENT, GOOD = 95.0, 80.0
@@ -68,15 +69,15 @@ def with_rates(counts: DataFrame, rules: Rules) -> DataFrame:
 
 
 def metrics(legacy: DataFrame, modern: DataFrame, tagged: DataFrame, rules: Rules) -> DataFrame:
-    """One row of metrics: a count per side and one aggregate over the join.
-    The three one-row parts meet in a union, so there is no second join."""
-    names = ["total_legacy_records", "total_modern_records"]
+    """One row of metrics: rows per key, summed up, and one aggregate over the join. A join that spreads crowded keys
+    has counted the same rows per key, and that count is used again. The parts meet in a union, so there is no
+    second join."""
+    names = {"total_legacy_records": "rows__legacy", "total_modern_records": "rows__modern"}
     over_join = tagged.agg(*join_measures(rules))
-    parts = (
-        legacy.agg(F.count("*").alias(names[0]))
-        .unionByName(modern.agg(F.count("*").alias(names[1])), allowMissingColumns=True)
-        .unionByName(over_join, allowMissingColumns=True)
+    totals = key_profile(legacy, modern, rules.keys).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in names.items()]
     )
+    parts = totals.unionByName(over_join, allowMissingColumns=True)
     return with_rates(parts.agg(*[F.sum(c).alias(c) for c in [*names, *over_join.columns]]), rules)
 
 

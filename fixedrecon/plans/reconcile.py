@@ -238,7 +238,7 @@ def _reconcile(spark: SparkSession, spec: ReconSpec, stamp: str, paths: dict, wo
         if two_sided and not variants:
             joined = joined.unionByName(H.join_pairs(split, rules, spec.spread_rows))
     else:
-        joined = H.join_sides(legacy, modern, rules)
+        joined = H.join_sides(legacy, modern, rules, spread_rows=None)  # pass 1 found no crowded key
     counted = Observation("comparison")
     tagged = tag_mismatches(joined, rules).observe(
         counted, F.count(F.lit(1)).alias("compared"), *join_measures(rules), *field_measures(rules)

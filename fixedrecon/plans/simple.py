@@ -30,11 +30,11 @@ class SimpleSpec:
 
 
 def compare_simple(
-    legacy: DataFrame, modern: DataFrame, keys: Iterable[str], fields: Iterable[str]
+    legacy: DataFrame, modern: DataFrame, keys: Iterable[str], fields: Iterable[str], spread_rows: int | None = H.SPREAD_ROWS
 ) -> DataFrame:
     """Joined rows with ``mismatched_fields`` and ``mismatch_count``."""
     keys, fields = list(keys), list(fields)
-    return simple_result(join_sides_by_condition(legacy, modern, keys, fields), keys, fields)
+    return simple_result(join_sides_by_condition(legacy, modern, keys, fields, spread_rows=spread_rows), keys, fields)
 
 
 def write_simple(result: DataFrame, output: str) -> dict[str, str]:
@@ -81,15 +81,15 @@ def _reconcile_simple(spark: SparkSession, spec: SimpleSpec, output: str, work:
     write_results(profile.filter(marked), f"{work}/keys")
     found = seen.get
     if not found["marked_one_sided"] + found["marked_two_sided"]:
-        return write_simple(compare_simple(legacy, modern, keys, fields), output)
+        return write_simple(compare_simple(legacy, modern, keys, fields, spread_rows=None), output)
     split = H.split_marked(legacy, modern, spark.read.parquet(f"{work}/keys"), keys)
     joined = join_sides_by_condition(
-        split.rest_legacy, split.rest_modern, [*keys, H.SALT], [*fields, H.SALT]
+        split.rest_legacy, split.rest_modern, [*keys, H.SALT], [*fields, H.SALT], spread_rows=None
     )
     result = simple_result(joined, keys, fields)
     if spec.duplicate_keys == "pairs":
         chunked = [*fields, *H.CHUNKS]
-        pairs = join_sides_by_condition(*H.in_chunks(split, spec.spread_rows), [*keys, *H.CHUNKS], chunked, "inner")
+        pairs = join_sides_by_condition(*H.in_chunks(split, spec.spread_rows), [*keys, *H.CHUNKS], chunked, "inner", spread_rows=None)
         return write_simple(result.unionByName(simple_result(pairs, keys, fields)), output)
     paths = write_simple(result, output)
     if found["marked_two_sided"]:

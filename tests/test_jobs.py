@@ -227,7 +227,7 @@ def test_plans_stay_native_with_one_shuffle_per_side(spark, tmp_path):
     legacy = R.read_fixed_width(spark, write(X.order_legacy(spark, SF001), tmp_path / "l"), X.ORD)
     modern = R.read_fixed_width(spark, write(X.order_modern(spark, SF001), tmp_path / "m"), X.ORD)
     rules = C.make_rules(legacy, modern, ["ORDER_ID"], ignore=["ORDER_TIME"])
-    plan = plan_of(C.mismatch_details(C.tag_mismatches(C.join_sides(legacy, modern, rules), rules), rules))
+    plan = plan_of(C.mismatch_details(C.tag_mismatches(C.join_sides(legacy, modern, rules, spread_rows=None), rules), rules))
     assert plan.count("Exchange hashpartitioning") == 2
     assert "Python" not in plan and "BroadcastNestedLoop" not in plan and "Cartesian" not in plan
     assert "FullOuter" in plan

@@ -27,10 +27,11 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,8 +53,41 @@ def _uneven(text: str) -> bool:
     return not text.isascii() and UNEVEN_WIDE.search(text) is not None
 
 
+class PieceStore:
+    """Ids of pieces in one flat array, each piece with a number, its first place there and its length."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.first, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.used = 0
+
+    def add(self, pieces: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        """Pieces that are not in yet, with their ids one after another."""
+        at, n = len(self.number), len(pieces)
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        while at + n > len(self.first):
+            self.first, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.first, self.size))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.size[at : at + n] = size
+        self.first[at : at + n] = self.used + np.cumsum(size) - size
+        self.used += len(ids)
+        self.number.update(zip(pieces, range(at, at + n)))
+
+    def places(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of the pieces, -1 for those that are not in."""
+        return np.fromiter(map(self.number.get, pieces, repeat(-1)), np.int64, len(pieces))
+
+
+def _gathered(ids: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The ranges of ``ids`` one after another."""
+    end = np.cumsum(size)
+    return ids[np.repeat(first - end + size, size) + np.arange(end[-1] if len(end) else 0)]
+
+
 class PieceEncoder:
-    """Ids of whole texts by the tokenizers library. Cuts texts before a lone blank or line end."""
+    """Ids of whole texts by the tokenizers library. Cuts texts before a lone blank or line end, encodes each distinct
+    piece of a batch once and gathers the ids of all pieces."""
 
     _made: dict[str, PieceEncoder] = {}
 
@@ -63,8 +97,7 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.kept, self.older = PieceStore(), PieceStore()
 
     @classmethod
     def of(cls, path: str) -> PieceEncoder:
@@ -73,28 +106,39 @@ class PieceEncoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        pieces = [None if _uneven(t) else t.replace("\n", " \n").split(" ") for t in texts]
-        firsts = [t if p is None else p.pop(0) for t, p in zip(texts, pieces)]
-        used = set(chain.from_iterable(p for p in pieces if p))
-        self._hold(used)
-        get = self.kept.__getitem__
-        return [x + b"".join(map(get, p or ())) for x, p in zip(self.whole(firsts), pieces)]
-
-    def _hold(self, used: set[str]) -> None:
-        """Keep the ids of ``used``. What was not used for ``KEPT_PIECES`` other pieces goes."""
-        if len(self.kept) > KEPT_PIECES:
-            self.kept, self.older = {}, self.kept
-        missing = used - self.kept.keys()
-        again = missing & self.older.keys()
-        self.kept.update((p, self.older[p]) for p in again)
-        fresh = list(missing - again)
-        self.kept.update(zip(fresh, self.whole([p if p[:1] == "\n" else " " + p for p in fresh])))
+    def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after another, and how many each has."""
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())), size
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after another, and how many each has."""
+        cut = pa.array(["" if _uneven(t) else t for t in texts], pa.large_string())
+        pieces = pc.split_pattern(pc.replace_substring(cut, "\n", " \n"), " ")
+        start = pieces.offsets.to_numpy()[:-1]  # of each text's first piece, which stands after no blank
+        flat = pieces.flatten()
+        alone = [f or t for f, t in zip(flat.take(pa.array(start)).to_pylist(), texts)]  # a text that is not cut is one piece
+        ids, size = self.whole(alone)
+        coded = flat.dictionary_encode()
+        number = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        first, length = self.kept.first[number] + len(ids), self.kept.size[number]
+        first[start], length[start] = np.cumsum(size) - size, size
+        total = np.add.reduceat(length, start) if len(start) else length
+        return _gathered(np.concatenate((ids, self.kept.ids[: self.kept.used])), first, length), total
+
+    def _numbers(self, used: list[str]) -> np.ndarray:
+        """Numbers of the pieces in ``kept``. What was not used for ``KEPT_PIECES`` other pieces goes."""
+        if len(self.kept.number) > KEPT_PIECES:
+            self.kept, self.older = PieceStore(), self.kept
+        missing = [used[i] for i in np.flatnonzero(self.kept.places(used) < 0)]
+        place = self.older.places(missing)
+        again = place[place >= 0]
+        size = self.older.size[again]
+        self.kept.add([missing[i] for i in np.flatnonzero(place >= 0)], _gathered(self.older.ids, self.older.first[again], size), size)
+        fresh = [missing[i] for i in np.flatnonzero(place < 0)]
+        self.kept.add(fresh, *self.whole([p if p[:1] == "\n" else " " + p for p in fresh]))
+        return self.kept.places(used)
 
 
 def _place(uri: str) -> tuple[fs.FileSystem, str]:
@@ -116,11 +160,15 @@ class _Writer:
         self.writer = pa.ipc.new_file(self.out, self.schema)
         self.open, self.n, self.index = np.zeros(0, dtype=self.kind.to_pandas_dtype()), 0, []
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.index.append((doc_id, self.n, len(ids)))
-        self.n += len(ids)
+    @property
+    def documents(self) -> int:
+        return sum(batch.num_rows for batch in self.index)
 
-    def tokens(self, ids: np.ndarray) -> None:
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, size: np.ndarray) -> None:
+        """Documents with their ids one after another."""
+        first = self.n + np.cumsum(size) - size
+        self.index.append(pa.record_batch([doc_ids.cast(pa.int64()), pa.array(first), pa.array(size)], ["doc_id", "first", "n_tokens"]))
+        self.n += len(ids)
         self.open = np.concatenate((self.open, ids.astype(self.open.dtype)))
         while len(self.open) >= self.length * BATCH:
             self._write(self.open[: self.length * BATCH], self.length * BATCH)
@@ -138,8 +186,7 @@ class _Writer:
             self._write(np.pad(self.open, (0, -real % self.length)), real)
         self.writer.close()
         self.out.close()
-        ids, first, size = zip(*self.index)
-        index = pa.table({"doc_id": pa.array(ids, pa.int64()), "first": pa.array(first, pa.int64()), "n_tokens": pa.array(size, pa.int64())})
+        index = pa.Table.from_batches(self.index).combine_chunks()
         with self.place.open_output_stream(self.path + ".index") as out, pa.ipc.new_file(out, index.schema) as writer:
             writer.write_table(index, max_chunksize=1 << 16)
 
@@ -162,14 +209,11 @@ def write_token_files(
                     place.create_dir(root, recursive=True)
                     name, first = f"tokens-{uuid.uuid4().hex}.arrow", part.column(0)[0].as_py()
                     writer = _Writer(place, f"{root}/{name}", length, kind)
-                joined = []
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()])):
-                    joined += [np.frombuffer(ids, "<u4"), np.array([end_id], np.uint32)]
-                    writer.add(doc_id, np.concatenate(joined[-2:]))
-                writer.tokens(np.concatenate(joined))
+                ids, size = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+                writer.add(part.column(0), np.insert(ids, np.cumsum(size), end_id), size + 1)
         if writer is not None:
             writer.close()
-            row = [[name], [first], [len(writer.index)], [writer.n]]
+            row = [[name], [first], [writer.documents], [writer.n]]
             types = (pa.string(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types)], ["file", "first_id", "n_docs", "n_tokens"])
 

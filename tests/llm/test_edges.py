@@ -248,7 +248,7 @@ def test_piece_encoder_equals_whole_texts():
     encoder, draw = token_files.PieceEncoder(BYTES), random.Random(6)
     texts = ["".join(draw.choice("abé the.,'s 1 \n \t <|endoftext|>") for _ in range(draw.randint(0, 60))) for _ in range(800)]
     texts += ["<|endoftext|> x", " lead", "a\n\nb", "a \nb", "it's  they'll", "x\x85y z"]
-    assert encoder.encode(texts) == encoder.whole(texts)
+    assert all(np.array_equal(x, y) for x, y in zip(encoder.encode(texts), encoder.whole(texts), strict=True))
 
 
 @pytest.mark.parametrize("size,start", [(13, 7), (13, 13), (5, 2), (11, 2)])

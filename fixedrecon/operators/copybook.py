@@ -122,16 +122,41 @@ def copybook_names(lines: DataFrame) -> DataFrame:
     )
 
 
-def simple_fields(lines: DataFrame) -> DataFrame:
-    """Short form: only ``name PIC X(n)`` and ``name PIC 9(n)`` entries."""
+LARGEST = 2**31 - 1  # the last position of a record
+
+
+def _simple_entries(lines: DataFrame) -> DataFrame:
+    """Entries of the short form with ``reject_reason`` where a length, or the end of the entry, is no position, and
+    ``fits``: whether the whole copybook has no such entry."""
     text = strip_whitespace(F.col("raw"))
+    digits = F.regexp_extract(text, P.SIMPLE_FIELD, 3)
+    upto = W.partitionBy("copybook_id").orderBy("line_no").rowsBetween(W.unboundedPreceding, 0)
+    # a length of more digits than a long has counts as one that is too large
+    size = F.coalesce(digits.try_cast("long"), F.lit(LARGEST + 1))
+    end = F.sum(F.least("size", F.lit(LARGEST + 1))).over(upto)
+    reason = F.when(F.col("size") > LARGEST, "length is too large").when(F.col("end") > LARGEST, "ends beyond the last position")
     return (
         lines.filter(text.rlike(P.SIMPLE_FIELD))
+        .withColumn("statement", text)
+        .withColumn("size", size)
+        .withColumn("end", end)
+        .withColumn("reject_reason", reason)
+        .withColumn("fits", F.max("end").over(W.partitionBy("copybook_id")) <= LARGEST)
+    )
+
+
+def simple_fields(lines: DataFrame) -> DataFrame:
+    """Short form: only ``name PIC X(n)`` and ``name PIC 9(n)`` entries. A copybook whose entries do not all end at a
+    position that an integer holds is left out as a whole; ``simple_rejects`` says why."""
+    text = F.col("statement")
+    return (
+        _simple_entries(lines)
+        .filter("fits")
         .select(
             "copybook_id",
             "line_no",
             F.translate(F.regexp_extract(text, P.SIMPLE_FIELD, 1), "-", "_").alias("field_name"),
-            F.regexp_extract(text, P.SIMPLE_FIELD, 3).try_cast("int").alias("length"),
+            F.col("size").cast("int").alias("length"),
             F.when(F.upper(F.regexp_extract(text, P.SIMPLE_FIELD, 2)) == "X", "STRING")
             .otherwise("NUMERIC")
             .alias("data_type"),
@@ -139,6 +164,13 @@ def simple_fields(lines: DataFrame) -> DataFrame:
     )
 
 
+def simple_rejects(lines: DataFrame) -> DataFrame:
+    """``copybook_id, line_no, statement, reject_reason`` of the entries for which a copybook in the short form is
+    left out: those whose length is no position, or the ones from where the record ends beyond the last."""
+    found = _simple_entries(lines).filter(F.col("reject_reason").isNotNull())
+    return found.select("copybook_id", "line_no", "statement", "reject_reason")
+
+
 def simple_positions(fields: DataFrame) -> DataFrame:
     """Add 1-based inclusive ``start_pos`` and ``end_pos`` from running lengths."""
     upto = (

@@ -246,6 +246,18 @@ def test_simple_layout(spark):
     ]
 
 
+def test_short_copybook_that_does_not_fit_is_rejected(spark):
+    wide = "A PIC X(5)\nB PIC X(99999999999)\nC PIC 9(2)"
+    huge = "A PIC X(5)\nB PIC X(" + "9" * 30 + ")"
+    lines = lines_of(spark, good="A PIC X(5)\nB PIC X(2147483642)", wide=wide, huge=huge, long="A PIC X(2147483647)\nB PIC 9(1)")
+    placed = B.simple_positions(B.simple_fields(lines)).collect()
+    assert {(r.copybook_id, r.field_name, r.start_pos, r.end_pos) for r in placed} == {("good", "A", 1, 5), ("good", "B", 6, 2147483647)}
+    assert {(r.copybook_id, r.line_no, r.reject_reason) for r in B.simple_rejects(lines).collect()} == {
+        ("wide", 2, "length is too large"), ("wide", 3, "ends beyond the last position"),
+        ("huge", 2, "length is too large"), ("long", 2, "ends beyond the last position"),
+    }
+
+
 def test_tuple_layout_and_alignment(spark):
     # The positions layout.
     layout = layout_from_tuples(

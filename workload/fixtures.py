@@ -234,3 +234,53 @@ def part_copybook_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("PART"), k.cast("string")).alias("copybook_id"),
         F.array_join(F.array(*lines), "\n").alias("content"),
     )
+
+
+def supplier_copybook_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One copybook per supplier with overlays: redefinitions of redefinitions, inside a repeated group, and two
+    records. ``copybook_id, content``."""
+    k = F.col("s_suppkey")
+    lines = [
+        F.lit("       01  SUPP-REC."),
+        F.lit("           05  S-ID                PIC 9(6)."),
+        F.lit("           05  S-BODY."),
+        F.concat(F.lit("               10  S-NAME          PIC X("), (k % 5 + 3).cast("string"), F.lit(").")),
+        F.concat(F.lit("               10  S-LINES         OCCURS "), (k % 3 + 1).cast("string"), F.lit(" TIMES.")),
+        F.lit("                   15  L-CODE      PIC X(4)."),
+        F.lit("                   15  L-NUM       REDEFINES L-CODE PIC 9(4)."),
+        F.lit("                   15  L-PARTS     REDEFINES L-NUM."),
+        F.lit("                       20  L-P1    PIC X."),
+        F.lit("                       20  L-P2    PIC X(3)."),
+        F.lit("                   15  L-QTY       PIC 99."),
+        F.lit("           05  S-ALT               REDEFINES S-BODY."),
+        F.lit("               10  ALT-A           PIC X(2)."),
+        F.lit("               10  ALT-B           PIC X(3)."),
+        F.lit("               10  ALT-C           REDEFINES ALT-B."),
+        F.lit("                   15  ALT-C1      PIC X."),
+        F.lit("                   15  ALT-C2      PIC XX."),
+        F.lit("           05  S-THIRD             REDEFINES S-ALT PIC X(4)."),
+        F.lit("           05  S-END               PIC X(3)."),
+        F.lit("       01  SUPP-TRAILER."),
+        F.lit("           05  T-COUNT             PIC 9(5)."),
+        F.lit("           05  T-TEXT              REDEFINES T-COUNT PIC X(5)."),
+    ]
+    return table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("SUPP"), k.cast("string")).alias("copybook_id"),
+        F.array_join(F.array(*lines), "\n").alias("content"),
+    )
+
+
+def short_copybook_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One copybook in the short form per supplier; some have a length that no position holds, or lengths that end
+    beyond the last position. ``copybook_id, content``."""
+    k = F.col("s_suppkey")
+    lines = [
+        F.concat(F.lit("SUPP-ID PIC 9("), (k % 9 + 1).cast("string"), F.lit(")")),
+        F.when(k % 7 == 0, "SUPP-NOTE PIC X(99999999999)").otherwise("SUPP-NOTE PIC X(12)"),
+        F.when(k % 11 == 0, "SUPP-TEXT PIC X(2147483647)").otherwise("SUPP-TEXT pic x(20)"),
+        F.lit("SUPP-END PIC 9(2)"),
+    ]
+    return table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("SHORT"), k.cast("string")).alias("copybook_id"),
+        F.array_join(F.array(*lines), "\n").alias("content"),
+    )

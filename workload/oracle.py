@@ -276,6 +276,35 @@ ORACLE["cb_simple"] = f"{SIMPLE_ROWS} SELECT * FROM simple"
 ORACLE["cb_simple_positions"] = f"""{SIMPLE_ROWS}, ends AS (SELECT *, CAST(sum(length) OVER
     (PARTITION BY copybook_id ORDER BY line_no) AS BIGINT) AS end_pos FROM simple)
 SELECT *, end_pos - length + 1 AS start_pos FROM ends"""
+ORACLE["cb_overlays"] = """WITH s AS (SELECT 'SUPP' || s_suppkey AS copybook_id, s_suppkey % 5 + 3 AS a, s_suppkey % 3 + 1 AS n FROM supplier),
+i AS (SELECT *, CASE WHEN n > 1 THEN '_0' || i ELSE '' END AS x, 7 + a + 6 * (i - 1) AS p FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM s)),
+f AS (
+    SELECT copybook_id, 'SUPP_REC' AS record_name, unnest([
+        {'name': 'S_ID', 'b': 1, 'e': 6, 'r': false}, {'name': 'S_NAME', 'b': 7, 'e': 6 + a, 'r': false},
+        {'name': 'ALT_A', 'b': 7, 'e': 8, 'r': true}, {'name': 'ALT_B', 'b': 9, 'e': 11, 'r': true},
+        {'name': 'ALT_C1', 'b': 9, 'e': 9, 'r': true}, {'name': 'ALT_C2', 'b': 10, 'e': 11, 'r': true},
+        {'name': 'S_THIRD', 'b': 7, 'e': 10, 'r': true}, {'name': 'S_END', 'b': 7 + a + 6 * n, 'e': 9 + a + 6 * n, 'r': false}]) AS e, 'elementary' AS kind FROM s
+    UNION ALL SELECT copybook_id, 'SUPP_REC', unnest([
+        {'name': 'L_CODE' || x, 'b': p, 'e': p + 3, 'r': false}, {'name': 'L_NUM' || x, 'b': p, 'e': p + 3, 'r': true},
+        {'name': 'L_P1' || x, 'b': p, 'e': p, 'r': true}, {'name': 'L_P2' || x, 'b': p + 1, 'e': p + 3, 'r': true},
+        {'name': 'L_QTY' || x, 'b': p + 4, 'e': p + 5, 'r': false}]), 'elementary' FROM i
+    UNION ALL SELECT copybook_id, 'SUPP_REC', {'name': 'S_LINES' || x, 'b': p, 'e': p + 5, 'r': false}, 'group_occurrence' FROM i WHERE n > 1
+    UNION ALL SELECT copybook_id, 'SUPP_TRAILER', unnest([{'name': 'T_COUNT', 'b': 1, 'e': 5, 'r': false}, {'name': 'T_TEXT', 'b': 1, 'e': 5, 'r': true}]), 'elementary' FROM s
+)
+SELECT copybook_id, record_name, e['name'] AS field_name, kind, CAST(e['b'] AS BIGINT) AS start_pos, CAST(e['e'] AS BIGINT) AS end_pos, e['r'] AS in_redefinition FROM f"""
+SHORT = """WITH s AS (SELECT s_suppkey AS k, 'SHORT' || s_suppkey AS copybook_id FROM supplier),
+f AS (SELECT k, copybook_id, unnest([
+    {'line_no': 1, 'name': 'SUPP_ID', 'n': k % 9 + 1, 'kind': '9'},
+    {'line_no': 2, 'name': 'SUPP_NOTE', 'n': CASE WHEN k % 7 = 0 THEN 99999999999 ELSE 12 END, 'kind': 'X'},
+    {'line_no': 3, 'name': 'SUPP_TEXT', 'n': CASE WHEN k % 11 = 0 THEN 2147483647 ELSE 20 END, 'kind': 'X'},
+    {'line_no': 4, 'name': 'SUPP_END', 'n': 2, 'kind': '9'}], recursive := true) FROM s)"""
+ORACLE["cb_simple_fit"] = f"""{SHORT}, e AS (SELECT *, sum(n) OVER (PARTITION BY copybook_id ORDER BY line_no) AS upto FROM f WHERE k % 7 <> 0 AND k % 11 <> 0)
+SELECT copybook_id, CAST(line_no AS BIGINT) AS line_no, name AS field_name, n AS length, CASE kind WHEN 'X' THEN 'STRING' ELSE 'NUMERIC' END AS data_type,
+    CAST(upto - n + 1 AS BIGINT) AS start_pos, CAST(upto AS BIGINT) AS end_pos FROM e"""
+ORACLE["cb_simple_rejects"] = f"""{SHORT}
+SELECT copybook_id, CAST(line_no AS BIGINT) AS line_no, replace(name, '_', '-') || CASE WHEN line_no = 3 AND k % 11 <> 0 THEN ' pic x(' ELSE ' PIC ' || kind || '(' END || n || ')' AS statement,
+    CASE WHEN line_no = 2 THEN 'length is too large' ELSE 'ends beyond the last position' END AS reject_reason
+FROM f WHERE (k % 7 = 0 AND line_no >= 2) OR (k % 11 = 0 AND line_no >= 3)"""
 ORACLE["cb_schema"] = f"{SCHEMA} SELECT copybook_id, ordinal, field_name, 'string' AS type FROM cols"
 ORACLE["cmp_columns"] = f"""{SCHEMA} SELECT copybook_id, ordinal, field_name, field_name = 'PART_ID' AS is_key
 FROM cols WHERE base_name NOT IN ('FILLER', 'TAG_QTY')"""

@@ -229,6 +229,30 @@ def cb_simple_positions(spark, sf):
     return longs(placed, "line_no", "length", "start_pos", "end_pos")
 
 
+@query
+def cb_overlays(spark, sf):
+    """Nested redefinitions, some inside a repeated group, and two records."""
+    lines = copybook_lines(X.supplier_copybook_texts(spark, sf), F.col("copybook_id"), F.col("content"))
+    rows = L.parse_copybooks(lines).filter("kind != 'group'")
+    rows = rows.select("copybook_id", "record_name", "field_name", "kind", "start_pos", "end_pos", "in_redefinition")
+    return longs(rows, "start_pos", "end_pos")
+
+
+def short_lines(spark, sf):
+    return copybook_lines(X.short_copybook_texts(spark, sf), F.col("copybook_id"), F.col("content"))
+
+
+@query
+def cb_simple_fit(spark, sf):
+    """Positions of the short copybooks that fit."""
+    return longs(B.simple_positions(B.simple_fields(short_lines(spark, sf))), "line_no", "length", "start_pos", "end_pos")
+
+
+@query
+def cb_simple_rejects(spark, sf):
+    return longs(B.simple_rejects(short_lines(spark, sf)), "line_no")
+
+
 @query
 def cb_schema(spark, sf):
     return longs(L.layout_schema(part_layout(spark, sf)), "ordinal")

@@ -46,7 +46,7 @@ from fixedrecon.operators.metrics import (
 from fixedrecon.operators.quality import issue_list
 from fixedrecon.operators.records import read_fixed_width
 from fixedrecon.plans.report import report_table
-from fixedrecon.sinks import remove_folder, run_paths, run_stamp, write_results
+from fixedrecon.sinks import claim_stamp, remove_folder, run_paths, write_results
 from fixedrecon.sources.copybooks import scan_copybooks
 
 
@@ -201,7 +201,7 @@ def reconcile(spark: SparkSession, spec: ReconSpec) -> ReconResult:
     """Run the job and write its outputs below ``spec.output``. Intermediate tables
     stand there as well, below ``_work``, until the job has ended."""
     H.checked_choice(spec.duplicate_keys)
-    stamp = run_stamp()
+    stamp = claim_stamp(spark, spec.output)
     paths = run_paths(spec.output, stamp)
     work = paths.pop("work")
     try:

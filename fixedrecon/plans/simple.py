@@ -3,6 +3,7 @@ comparison, all joined rows and the bad ones as CSV."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -64,7 +65,7 @@ def reconcile_simple(spark: SparkSession, spec: SimpleSpec) -> dict[str, str]:
     distinct record with the number of differing pairs, all others to the two result
     sets; with ``pairs`` all pairs go there."""
     H.checked_choice(spec.duplicate_keys)
-    work = f"{spec.output.rstrip('/')}/_work"
+    work = f"{spec.output.rstrip('/')}/_work/{uuid.uuid4().hex}"  # another job may write to the same output
     try:
         return _reconcile_simple(spark, spec, spec.output.rstrip("/"), work)
     finally:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +49,19 @@ def run_stamp(now: datetime | None = None) -> str:
     return (now or datetime.now()).strftime(RUN_STAMP)
 
 
+def claim_stamp(spark: SparkSession, base: str, now: datetime | None = None) -> str:
+    """The stamp of a new run below ``base``: the present second, or the first one after it that no other run has
+    claimed by a file below ``_runs``. So two runs into one output never share a folder."""
+    moment = now or datetime.now()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while True:
+        stamp = run_stamp(moment)
+        place = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/_runs/{stamp}")
+        if place.getFileSystem(conf).createNewFile(place):
+            return stamp
+        moment += timedelta(seconds=1)
+
+
 def run_paths(base: str, stamp: str) -> dict[str, str]:
     """Output folders of one run."""
     base = base.rstrip("/")

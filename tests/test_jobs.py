@@ -2,6 +2,7 @@
 
 import os
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -212,6 +213,13 @@ def test_stream_comparison(spark, tmp_path):
     assert {r.CUST_ID for r in spark.read.parquet(str(tmp_path / "out")).collect()} == expected
 
 
+def test_runs_of_one_second_have_folders_of_their_own(spark, tmp_path):
+    now = datetime(2024, 2, 28, 23, 59, 59)
+    stamps = [sinks.claim_stamp(spark, f"{tmp_path}/", now) for _ in range(3)]
+    assert stamps == ["20240228_235959", "20240229_000000", "20240229_000001"]
+    assert sinks.claim_stamp(spark, str(tmp_path / "other"), now) == stamps[0]
+
+
 def test_csv_keeps_blank_and_missing_apart(spark, tmp_path):
     values = [("", None), ('say "x"', "a\\b"), ("a,b", "|"), ("\tA", "\x00"), (" B ", "B\x01"), ("\x00", "\x00A")]
     df = spark.createDataFrame(values, "x string, y string")

@@ -404,7 +404,7 @@ out AS (SELECT {', '.join(f'l_{f}, m_{f}' for f in ALL_CUST)},
     {tag_text(ALL_CUST)} AS mismatched_fields, CAST({tag_count(ALL_CUST)} AS BIGINT) AS mismatch_count FROM r)"""
 ORACLE["recon_result"] = f"{RECON} SELECT * FROM out"
 ORACLE["recon_bad_records"] = f"{RECON} SELECT * FROM out WHERE mismatch_count > 0"
-ORACLE["job_recon"] = ORACLE["recon_bad_records"]
+ORACLE["job_recon"] = ORACLE["job_simple_copybook"] = ORACLE["recon_bad_records"]
 ORACLE["sink_recon_csv"] = f"""{RECON} SELECT *, 'validation_results' AS output FROM out
 UNION ALL SELECT *, 'bad_records' AS output FROM out WHERE mismatch_count > 0"""
 ORACLE["cmp_composite_key"] = f"""{LINE}, t AS (SELECT coalesce(l.ORDER_ID, m.ORDER_ID) AS ORDER_ID, coalesce(l.LINE_NO, m.LINE_NO) AS LINE_NO,

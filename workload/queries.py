@@ -771,10 +771,9 @@ def job_hot_keys(spark, sf):
     return spark.read.csv(result.paths["summary"], header=True, schema="Metric string, Value double")
 
 
-@query
-def job_recon(spark, sf):
+def _simple_job(spark, sf, layout):
     spec = SimpleSpec(
-        layout=X.CUST,
+        layout=layout,
         legacy=write_lines(X.customer_legacy(spark, sf), "legacy"),
         modern=write_lines(X.customer_modern(spark, sf), "modern"),
         output=scratch.folder(spark, "recon"),
@@ -786,6 +785,20 @@ def job_recon(spark, sf):
     return longs(bad, "mismatch_count")
 
 
+@query
+def job_recon(spark, sf):
+    return _simple_job(spark, sf, X.CUST)
+
+
+@query
+def job_simple_copybook(spark, sf):
+    """The short job with its layout read from a copybook in the short form."""
+    path = scratch.folder(spark, "short")
+    rows = [(f"    {f.name.replace('_', '-')} PIC {'X' if f.data_type == 'STRING' else '9'}({f.length}).",) for f in X.CUST.fields]
+    spark.createDataFrame(rows, "value string").coalesce(1).write.text(path)
+    return _simple_job(spark, sf, path)
+
+
 # ---------------------------------------------------------------- declared checks
 
 

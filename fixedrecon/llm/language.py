@@ -11,7 +11,8 @@ nearly all of them keep (``QUANTILE``), with room of ``ROOM``, is the limit; for
 widens further.
 
 Fitting takes at most ``SAMPLE`` distinct labelled texts, an equal share of each language, chosen by a hash
-of the text; only their vectors reach the driver (``SAMPLE`` x pieces x ``DIMENSIONS`` numbers of 2 bytes at most).
+of the text. Of more than ``SAMPLE`` languages those with the most distinct texts are learned (ties: the first in the
+alphabet). Only the vectors of these texts reach the driver (``SAMPLE`` x pieces x ``DIMENSIONS`` numbers of 2 bytes at most).
 Prediction looks at every whole text, in one pass without a shuffle.
 
 Defined results: a null text and one without a letter are ``und`` with score 0 and rejected, as is every
@@ -27,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fixedrecon.llm.words import LOWER, chunks
 
@@ -101,18 +103,18 @@ def _clusters(vectors: np.ndarray, k: int) -> np.ndarray:
 def training_sample(labelled: DataFrame, sample: int, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, text): up to ``sample`` distinct texts, an equal share of each language, by a hash of the text.
     A first cut by the hash alone keeps the ranking small for a language with very many texts; copies of
-    a text count once in it and in the ranking."""
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
+    a text count once in it and in the ranking. The driver reads ``sample`` rows (language, count) at most, whatever
+    the number of languages, and they come back as a table to join."""
+    rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     draw = F.xxhash64("text", F.lit(7))
     texts = rows.select("lang", draw.alias("draw")).distinct()
-    sizes = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
+    sizes = texts.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample).collect()
     share = max(1, sample // max(1, len(sizes)))
-    near = F.lit(False)
-    for lang, n in sorted(sizes.items()):
-        bound = min(1.0, 2 * (share + 50) / n)
-        near |= (F.col("lang") == lang) & (F.pmod(draw, F.lit(1 << 30)) < int(bound * (1 << 30)) + 1)
+    bounds = [(r["lang"], int(min(1.0, 2 * (share + 50) / r["n"]) * (1 << 30)) + 1) for r in sizes]
+    bounds = labelled.sparkSession.createDataFrame(bounds, "lang string, bound long")
+    near = rows.withColumn("draw", draw).join(F.broadcast(bounds), "lang").where(F.pmod("draw", F.lit(1 << 30)) < F.col("bound"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
-    return rows.withColumn("draw", draw).where(near).distinct().withColumn("rank", rank).where(F.col("rank") <= share).select("lang", "text")
+    return near.select("lang", "text", "draw").distinct().withColumn("rank", rank).where(F.col("rank") <= share).select("lang", "text")
 
 
 def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,9 +179,11 @@ def identify(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id
 
 
 def with_language(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score and rejected; existing columns of these names are replaced."""
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
-    rows = docs.select(*kept, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("rejected"))
+    """``docs`` with lang_pred, score and rejected; existing columns of these names, in any case, are replaced."""
+    fields = [f for f in docs.schema.fields if f.name.lower() not in ("lang_pred", "score", "rejected")]
+    kept, text = [f.name for f in fields], f"c{docs.columns.index(text_col)}"
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    rows = numbered.select(*[f"c{docs.columns.index(c)}" for c in kept], F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("rejected"))
     at, sent = kept.index(text_col), docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,5 +203,5 @@ def with_language(docs: DataFrame, model: LanguageModel | None, text_col: str =
             more = [pa.array(names[best].tolist(), pa.string()), pa.array(score, pa.float64()), pa.array(far)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *more], names=[*kept, "lang_pred", "score", "rejected"])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in kept]
-    return rows.mapInArrow(run, ", ".join([*fields, "lang_pred string, score double, rejected boolean"]))
+    more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
+    return rows.mapInArrow(run, T.StructType([*fields, *more]))

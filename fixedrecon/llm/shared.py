@@ -29,15 +29,17 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 @contextmanager
 def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
     """Within, a query's shuffle files go when it has ended and its result is written."""
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    before, changed = spark.conf.get(SHUFFLE_CLEANUP, None), True
     try:
         spark.conf.set(SHUFFLE_CLEANUP, "true")
     except PySparkException:  # a version without the setting keeps the files a while
-        before = None
+        changed = False
     try:
         yield
     finally:
-        if before is not None:
+        if changed and before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        elif changed:
             spark.conf.set(SHUFFLE_CLEANUP, before)
 
 

@@ -16,7 +16,8 @@ beyond the distance. A node whose members are all in the searching fingerprint's
 dropped as well: only components are wanted, and dense groups so take linear time.
 
 Defined results: a null, empty or wordless text has fingerprint zero and links like any other;
-equal texts share a fingerprint and hence a component; a row with a null id is no document."""
+equal texts share a fingerprint and hence a component; a row with a null id keeps its row and fingerprint, but links
+to nothing and has a null component."""
 
 from __future__ import annotations
 
@@ -26,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fixedrecon.llm.components import components
@@ -64,7 +65,7 @@ def chunk_fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int = SHI
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): one row for each row of ``docs`` with an id; ``fp`` holds the 64 bits as a long."""
+    """(doc_id, fp): one row for each row of ``docs``; ``fp`` holds the 64 bits as a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,7 +74,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.where("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, fp long")
 
 
 def gray_rank(values: np.ndarray) -> np.ndarray:
@@ -215,24 +216,15 @@ def near_duplicates(
     docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(doc_id, fp, component_id): each document's fingerprint and the smallest id that can be
-    reached from it over links. One row for each row with an id, also for repeated ids."""
+    reached from it over links. One row for each row of ``docs``, also for repeated and null ids."""
     prints = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
+    distinct = stored(prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
     stars = components(near_links(distinct, distance).distinct())
     classes = distinct.join(stars, distinct.rep == stars.a, "left").select(
         "fp", F.coalesce("b", "rep").alias("component_id")
     )
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
-
-
-def keep_representatives(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each near-duplicate component of ``docs``, the one of smallest id, with all columns. Of rows
-    with that id the one with the first text stays; rows with a null id are left out."""
-    found = near_duplicates(docs, distance, shingle, id_col, text_col)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    joined = docs.join(kept, F.col(id_col) == F.col("_kept_id")).drop("_kept_id")
-    first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
-    return joined.withColumn("_place", first).where("_place = 1").select(*docs.columns)
+    component = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+    return prints.join(classes, "fp", "left").select("doc_id", "fp", component)
 
 
 def keep_rows(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,6 +232,8 @@ def keep_rows(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE,
     a number of their own, so repeated ids join nothing and rows with a null id are documents too. The row of smallest
     id stays (null last), of equal ids that of the smallest hash of the text, then of the whole row."""
     row = "_row_number"
+    while row in {c.lower() for c in docs.columns}:
+        row += "_"
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     found = near_duplicates(rows, distance, shingle, row, text_col).select(F.col("doc_id").alias(row), "component_id")
     place = F.struct(

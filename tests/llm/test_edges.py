@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fixedrecon.llm import (
@@ -117,11 +118,10 @@ def test_random_string_within_a_path():
 def test_simhash(edges, empty):
     rows = [(i, t) for i, t in TEXTS]
     found = pairs(simhash.near_duplicates(edges), "component_id")
-    assert found == sorted(((i, plain.near_classes(rows)[i]) for i, _ in rows), key=repr)
-    kept = simhash.keep_representatives(edges)
-    assert kept.columns == edges.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(plain.near_classes(rows).values()))
+    assert found == sorted([*((i, plain.near_classes(rows)[i]) for i, _ in rows), (None, None)], key=repr)
     assert simhash.near_duplicates(empty).count() == 0
+    kept = simhash.keep_rows(edges.withColumn("_Row_Number", F.lit(7)))
+    assert kept.columns == [*edges.columns, "_Row_Number"] and {r["_Row_Number"] for r in kept.collect()} == {7}
 
 
 def test_near_dedup_stage_keeps_one_row_of_each_group(spark):
@@ -174,6 +174,33 @@ def test_language(spark, edges, empty):
     assert language.identify(empty, model).count() == 0
 
 
+def test_language_replaces_columns_of_clashing_names_in_any_case(spark):
+    rows = spark.createDataFrame([(1, "abc", 0.5, "x", True)], "doc_id long, text string, Score double, `a.b` string, REJECTED boolean")
+    found = language.with_language(rows, None)
+    assert found.columns == ["doc_id", "text", "a.b", "lang_pred", "score", "rejected"]
+    assert [tuple(r) for r in found.collect()] == [(1, "abc", "x", "und", 0.0, True)]
+
+
+def test_training_sample_of_thousands_of_labels(spark):
+    rows = [(f"text {i} of {i % 5000}", f"l{i % 5000:04}") for i in range(10_000)] + [(f"more {i}", "many") for i in range(400)]
+    found = language.training_sample(spark.createDataFrame(rows, "text string, lang string"), 200).collect()
+    assert sorted(r["lang"] for r in found) == sorted([f"l{i:04}" for i in range(199)] + ["many"])  # 199 ties: first names
+    assert len(language.training_sample(spark.createDataFrame(rows, "text string, lang string"), 10_002).collect()) == 10_000 // 2 * 2 + 2
+
+
+def test_stored_leaves_the_session_as_it_was(spark):
+    from fixedrecon.llm.shared import SHUFFLE_CLEANUP, stored
+
+    try:
+        for before in (None, "false", "true"):
+            spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+            expected = spark.conf.get(SHUFFLE_CLEANUP, None)
+            stored(spark.range(3), "session")
+            assert spark.conf.get(SHUFFLE_CLEANUP, None) == expected
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP)
+
+
 def test_training_sample_counts_texts_and_not_rows(spark):
     rows = [(f"text {i}", "xx") for i in range(5)] + [("copied", "xx")] * 20_000 + [(f"copied {i % 3}", "yy") for i in range(9_000)]
     found = language.training_sample(spark.createDataFrame(rows, "text string, lang string"), 20).collect()

@@ -210,25 +210,25 @@ def test_training_sample_counts_texts_and_not_rows(spark):
 def test_decontamination(spark, edges, empty):
     items = [(1, PASSAGE), (2, None), (3, "..."), (None, "é ü"), (4, "alpha0"), (5, PASSAGE), (4, "seven EIGHT nine")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    for part_bytes in (1 << 20, 200):
-        found = {r["doc_id"]: r for r in decontaminate.find_passages(edges.where("doc_id <> 8"), benchmark, part_bytes=part_bytes).collect()}
+    for table_bytes in (1 << 20, 0):
+        found = {r["doc_id"]: r for r in decontaminate.find_passages(edges.where("doc_id <> 8"), benchmark, table_bytes=table_bytes).collect()}
         for i, t in TEXTS:
             if i != 8:
                 hit, listed = plain.contaminated(t, items)
                 assert {k for s in found[i]["spans"] for k in range(s["s"], s["e"])} == hit, i
                 assert found[i]["items"] == sorted(str(x) for x in listed if x is not None), i
-        kept = decontaminate.drop_contaminated(edges, benchmark, part_bytes=part_bytes)
+        kept = decontaminate.drop_contaminated(edges, benchmark, table_bytes=table_bytes)
         assert kept.columns == edges.columns
         assert {r["doc_id"] for r in kept.collect()} == {i for i, t in TEXTS if not plain.contaminated(t, items)[0]} - {8}
     assert decontaminate.find_passages(edges, benchmark.limit(0)).where("size(spans) > 0").count() == 0
     assert decontaminate.find_passages(empty, benchmark).count() == 0
 
 
-@pytest.mark.parametrize("part_bytes", [1 << 20, 100])
-def test_decontamination_keeps_rows_of_equal_and_null_ids(spark, part_bytes):
+@pytest.mark.parametrize("table_bytes", [1 << 20, 0])
+def test_decontamination_keeps_rows_of_equal_and_null_ids(spark, table_bytes):
     items = [(1, PASSAGE), (None, "é ü"), (4, "alpha0"), (4, "seven EIGHT nine"), (5, "six seven eight")]
     rows = [(8, PASSAGE + " other"), (8, "x " + PASSAGE), (8, "none"), (8, "none"), (None, PASSAGE), (None, "five six seven eight nine"), (None, None)]
-    found = decontaminate.find_passages(frame(spark, rows, False), spark.createDataFrame(items, "item_id long, text string"), part_bytes=part_bytes)
+    found = decontaminate.find_passages(frame(spark, rows, False), spark.createDataFrame(items, "item_id long, text string"), table_bytes=table_bytes)
     got = [(r["doc_id"], r["n_words"], {k for s in r["spans"] for k in range(s["s"], s["e"])}, len(r["spans"]), r["items"]) for r in found.collect()]
     expected = []
     for i, t in rows:
@@ -237,7 +237,26 @@ def test_decontamination_keeps_rows_of_equal_and_null_ids(spark, part_bytes):
     assert sorted(got, key=repr) == sorted(expected, key=repr)
 
 
-def test_patterns_of_a_chunk_against_plain():
+def test_decontamination_of_random_texts_by_table_and_by_join(spark):
+    draw = random.Random(5)
+    rows = [(i, " ".join(draw.choice("abcde") for _ in range(draw.randint(0, 80)))) for i in range(120)]
+    items = [(i // 2, " ".join(draw.choice("abcde") for _ in range(draw.randint(0, 14)))) for i in range(40)]
+    items += [(100 + i, rows[i % 3][1]) for i in range(9)]  # whole documents, and equal items
+    docs, benchmark = frame(spark, rows, False), spark.createDataFrame(items, "item_id long, text string")
+    by_table, by_join = (decontaminate.find_passages(docs, benchmark, table_bytes=n) for n in (1 << 20, 0))
+    assert sorted(by_table.collect()) == sorted(by_join.collect())
+    assert {r["doc_id"]: r["items"] for r in by_join.collect()} == {i: sorted({str(x) for x in plain.contaminated(t, items)[1]}) for i, t in rows}
+    clash = docs.withColumn("digest__hit", F.lit(1)).withColumn("digest", F.lit(2))
+    kept = decontaminate.drop_contaminated(clash, benchmark, table_bytes=0)
+    assert kept.columns == clash.columns
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, t in rows if not plain.contaminated(t, items)[0]}
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_patterns_of_a_chunk_against_plain(collide, monkeypatch):
+    if collide:  # equal hashes of different words: the words decide
+        hashes = decontaminate.word_hashes
+        monkeypatch.setattr(decontaminate, "word_hashes", lambda words: hashes(words) & np.uint64(1))
     draw = random.Random(4)
     texts = [" ".join(draw.choice("abcd") for _ in range(draw.randint(0, 60))) for _ in range(300)]
     items = [(i, " ".join(draw.choice("abcd") for _ in range(draw.randint(0, 16)))) for i in range(12)]

@@ -6,7 +6,9 @@ shingles. Two texts link when their fingerprints differ in at most ``distance``
 Partitioning. 64 bits are cut into ``distance + 2`` blocks. Two fingerprints within the distance
 agree on at least two whole blocks, so each pair meets in the group of some two blocks and of
 their bits, and pairs in no common group need no look. Only *distinct* fingerprints are dealt
-out, so thousands of copies weigh as much as one text.
+out, so thousands of copies weigh as much as one text. A group of more than ``GROUP`` fingerprints is cut
+into chunks by their hash, and every two chunks are searched as a group of their own, so a task holds at most
+about two chunks of a group, however frequent its bits are, and no pair is left out.
 
 Index. In a group the fingerprints are sorted by Gray rank, which puts those of few differing bits
 side by side. Runs of them form leaves, runs of leaves form nodes. A node holds the bits on which
@@ -27,7 +29,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fixedrecon.llm.components import components
@@ -36,6 +38,7 @@ from fixedrecon.llm.words import chunks, single_spaced, split_words
 
 DISTANCE, SHINGLE, SEED = 4, 4, 42
 LEAF, FAN, STEP = 16, 8, 512
+GROUP, SALTS = 20_000, 64  # fingerprints searched as one group; parts in which a key is counted
 
 
 def chunk_fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
@@ -181,9 +184,30 @@ def block_masks(distance: int) -> list[int]:
     return [int(np.array([x | y], dtype=np.uint64).view(np.int64)[0]) for x, y in combinations(blocks, 2)]
 
 
-def near_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(a, b), a > b: links that connect the ``rep`` of distinct (fp, rep) with near fingerprints."""
+def in_groups(distinct: DataFrame, distance: int = DISTANCE, group: int = GROUP) -> DataFrame:
+    """(key, fp, rep): every distinct fingerprint once for each two blocks, with the key of its group. In a group of more
+    than ``group`` rows each has a chunk and a copy for every other chunk; the two chunks make the key.
+
+    Rows of a key are counted in parts, so that a frequent key is met by many tasks; only keys above the bound
+    are joined back. Their table has no broadcast hint: its measured size decides."""
     masks = block_masks(distance)
+    tables = F.array(*[F.struct(F.lit(i).cast("long").alias("t"), F.lit(m).alias("mask")) for i, m in enumerate(masks)])
+    dealt = (
+        distinct.select("fp", "rep", F.explode(tables).alias("x"))
+        .select(F.xxhash64("x.t", F.col("fp").bitwiseAND(F.col("x.mask"))).alias("key"), "fp", "rep")
+        .withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)))
+    )
+    parts = dealt.groupBy("key", "salt").agg(F.count("*").alias("n"))
+    crowded = parts.withColumn("n", F.sum("n").over(Window.partitionBy("key"))).where(F.col("n") > group)
+    chunks = F.ceil(F.col("n") / F.lit(float(group))).cast("long")
+    known = dealt.join(crowded, ["key", "salt"], "left").withColumn("chunk", F.pmod(F.xxhash64("fp", F.lit(1)), chunks))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), chunks - 1), lambda c: c != F.col("chunk"))
+    pairs = F.transform(others, lambda c: F.xxhash64("key", F.least(c, "chunk"), F.greatest(c, "chunk")))
+    return known.select(F.explode(F.coalesce(pairs, F.array("key"))).alias("key"), "fp", "rep")
+
+
+def near_links(distinct: DataFrame, distance: int = DISTANCE, group: int = GROUP) -> DataFrame:
+    """(a, b), a > b: links that connect the ``rep`` of distinct (fp, rep) with near fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -204,10 +228,7 @@ def near_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
         if held:
             yield links(np.concatenate(held, axis=1))
 
-    tables = F.array(*[F.struct(F.lit(i).cast("long").alias("t"), F.lit(m).alias("mask")) for i, m in enumerate(masks)])
-    dealt = distinct.select("fp", "rep", F.explode(tables).alias("x")).select(
-        F.xxhash64("x.t", F.col("fp").bitwiseAND(F.col("x.mask"))).alias("key"), "fp", "rep"
-    )
+    dealt = in_groups(distinct, distance, group)
     parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dealt.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 

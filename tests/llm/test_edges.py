@@ -160,6 +160,33 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_ids_with_many_links(spark):
+    draw = random.Random(5)
+    links = {(max(a, b), min(a, b)) for a, b in [(1000 + i, 3) for i in range(900)] + [(5000, i) for i in range(10, 700)] if a != b}
+    links |= {(8000 + draw.randint(1, 99), 8000) for _ in range(300)} | {(5000, 3), (8000, 3)}
+    found = {r["a"]: r["b"] for r in components(spark.createDataFrame(sorted(links), "a long, b long")).collect()}
+    ids = {x for link in links for x in link}
+    expected = plain.components(sorted(ids), sorted(links))
+    assert found == {i: expected[i] for i in ids if expected[i] != i}
+
+
+@pytest.mark.parametrize("group", [2, 4, simhash.GROUP])
+def test_crowded_groups_lose_no_link(spark, group):
+    draw = np.random.default_rng(group)
+    flips = [np.bitwise_or.reduce(np.uint64(1) << draw.integers(0, 64, 5).astype(np.uint64)) for _ in range(300)]
+    values = np.unique(draw.choice(draw.integers(0, 2**63, 6, dtype=np.uint64), 300) ^ np.array(flips, dtype=np.uint64))
+    rows = [(int(v), i) for i, v in enumerate(values.view(np.int64))]
+    distinct = spark.createDataFrame(rows, "fp long, rep long")
+    near = np.argwhere(np.bitwise_count(values[:, None] ^ values[None, :]) <= 4)
+    expected = plain.components(range(len(rows)), near[near[:, 0] > near[:, 1]].tolist())
+    links = [(r["a"], r["b"]) for r in simhash.near_links(distinct, 4, group).collect()]
+    found = plain.components(range(len(rows)), links)
+    assert [found[i] for i in range(len(rows))] == [expected[i] for i in range(len(rows))] and len(set(found.values())) > 6
+    if group < simhash.GROUP:
+        most = [simhash.in_groups(distinct, 4, g).groupBy("key").count().agg({"count": "max"}).first()[0] for g in (group, simhash.GROUP)]
+        assert most[0] < most[1]
+
+
 def test_language(spark, edges, empty):
     assert language.fit(edges) is None
     assert all(r["lang_pred"] == "und" and r["rejected"] for r in language.identify(edges, None).collect())

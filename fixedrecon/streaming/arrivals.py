@@ -17,8 +17,8 @@ from fixedrecon.functions.text import is_blank
 from fixedrecon.layout import Layout
 from fixedrecon.operators.compare import Rules, join_sides, mismatch_details, tag_mismatches
 from fixedrecon.operators.records import parse_records
-
-
+from fixedrecon.operators.spread import SPREAD_ROWS
+from fixedrecon.streaming.prepared import PreparedLegacy
 
 
 def file_structure(records: DataFrame, keys: Iterable[str]) -> DataFrame:
@@ -64,18 +64,23 @@ def check_arrivals(
 
 
 def compare_arrivals(
-    spark: SparkSession, folder: str, layout: Layout, legacy: DataFrame, rules: Rules,
+    spark: SparkSession, folder: str, layout: Layout, legacy: DataFrame | PreparedLegacy, rules: Rules,
     checkpoint: str, output: str, max_files: int | None = None,
 ) -> StreamingQuery:
     """Compare every new record with a static legacy side; records without a
     legacy partner are included, legacy records not yet delivered are not.
 
-    Each batch reads the legacy side once: without ``max_files`` all files that have
-    arrived form one batch. A legacy table bucketed by the keys is not shuffled. The adaptive planner splits a
-    key that is frequent in the batch, as it can on that side of this join; rows per key are not counted for each batch."""
+    With a ``PreparedLegacy`` a batch reads the folders that its keys fall into, and crowded keys among them are spread
+    over tasks. With a DataFrame each batch reads the whole legacy side: without ``max_files`` all files that
+    have arrived form one batch, a table bucketed by the keys is not shuffled, and the adaptive planner splits a
+    key that is frequent in the batch; rows per key are not counted for each batch."""
+    prepared = isinstance(legacy, PreparedLegacy)
+    if prepared and legacy.keys != rules.keys:
+        raise ValueError(f"the legacy side was prepared for the keys {', '.join(legacy.keys)}")
 
     def process(records: DataFrame) -> DataFrame:
-        joined = join_sides(legacy, records, rules, "right_outer", spread_rows=None)
+        known = legacy.met_by(records) if prepared else legacy
+        joined = join_sides(known, records, rules, "right_outer", spread_rows=SPREAD_ROWS if prepared else None)
         return mismatch_details(tag_mismatches(joined, rules), rules)
 
     return _run(spark, folder, layout, checkpoint, output, process, max_files)

@@ -13,7 +13,8 @@ from fixedrecon.operators import compare as C
 from fixedrecon.operators import quality as Q
 from fixedrecon.operators import records as R
 from fixedrecon.plans.reconcile import profile_sides
-from fixedrecon.streaming import check_arrivals, compare_arrivals
+from fixedrecon.streaming import check_arrivals, compare_arrivals, prepare_legacy, prepared_legacy
+from fixedrecon.streaming.prepared import part_of
 from tests.session import session
 from workload import fixtures as X
 from workload import queries as W
@@ -213,6 +214,46 @@ def test_stream_comparison(spark, tmp_path):
     assert {r.CUST_ID for r in spark.read.parquet(str(tmp_path / "out")).collect()} == expected
 
 
+def test_prepared_legacy_reads_the_folders_of_a_batch(spark, tmp_path):
+    legacy, modern = W.customers(spark, SF001)
+    rules = W.customer_rules(legacy, modern)
+    prepare_legacy(legacy, rules.keys, str(tmp_path / "legacy"), parts=50)
+    prepared = prepared_legacy(spark, str(tmp_path / "legacy"))
+    assert prepared.met_by(modern).count() == legacy.count()
+    keys = [r[0] for r in legacy.select("CUST_ID").orderBy("CUST_ID").limit(2).collect()]
+    lines = X.customer_modern(spark, SF001).filter(F.substring("value", 1, 10).isin(keys))
+    folder = write(lines, tmp_path / "in")
+    hit = {r[0] for r in legacy.filter(F.col("CUST_ID").isin(keys)).select(part_of(rules.keys, 50)).collect()}
+    others = [f for f in (tmp_path / "legacy" / "records").glob("legacy__part=*/*.parquet") if int(f.parent.name.split("=")[1]) not in hit]
+    assert len(others) > 40
+    for f in others:  # whatever reads them fails
+        f.write_bytes(b"no table")
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+    compare_arrivals(spark, folder, X.CUST, prepared, rules, str(tmp_path / "progress"), str(tmp_path / "out")).awaitTermination()
+    part = modern.filter(F.col("CUST_ID").isin(keys))
+    tagged = C.tag_mismatches(C.join_sides(legacy, part, rules).filter(C.IN_MODERN), rules)
+    expected = C.mismatch_details(tagged, rules).drop("validation_timestamp")
+    found = spark.read.parquet(str(tmp_path / "out")).select(*expected.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())) != []
+
+
+def test_prepared_legacy_with_crowded_null_and_no_keys(spark, tmp_path):
+    rows = [("k", str(i)) for i in range(300)] + [(None, "n"), ("z", "1")]
+    legacy = spark.createDataFrame(rows, "K string, V string")
+    prepared = prepare_legacy(legacy, ["K"], str(tmp_path / "a"), parts=8)
+    batch = spark.createDataFrame([("k", "7"), (None, "n"), ("y", "0")], "K string, V string")
+    rules = C.Rules(("K",), ("K", "V"))
+    for spread in (None, 10):
+        joined = C.join_sides(prepared.met_by(batch), batch, rules, "right_outer", spread_rows=spread)
+        assert joined.count() == 302 and joined.filter(~F.col(C.IN_LEGACY)).count() == 2
+    empty = prepare_legacy(legacy.limit(0), ["K"], str(tmp_path / "b"), parts=8)
+    assert empty.met_by(batch).columns == ["K", "V"] and empty.met_by(batch).count() == 0
+    with pytest.raises(ValueError, match="prepared for the keys"):
+        compare_arrivals(spark, str(tmp_path), X.CUST, empty, C.Rules(("V",), ("K", "V")), "p", "o")
+    with pytest.raises(ValueError, match="no prepared legacy"):
+        prepared_legacy(spark, str(tmp_path / "none"))
+
+
 def test_runs_of_one_second_have_folders_of_their_own(spark, tmp_path):
     now = datetime(2024, 2, 28, 23, 59, 59)
     stamps = [sinks.claim_stamp(spark, f"{tmp_path}/", now) for _ in range(3)]

@@ -557,3 +557,4 @@ SELECT 'profile' AS stage, CAST(total_legacy_records + total_modern_records AS B
 UNION ALL SELECT 'compare', CAST(legacy_only_records + modern_only_records + common_records AS BIGINT), CAST(mismatched_records AS BIGINT), true FROM m
 UNION ALL SELECT 'duplicate keys', CAST(0 AS BIGINT), CAST(0 AS BIGINT), true FROM m"""
 ORACLE["stream_compare"] = f"""SELECT * FROM ({ORACLE["cmp_details"]}) WHERE record_status <> 'legacy_only'"""
+ORACLE["stream_compare_prepared"] = ORACLE["stream_compare"]

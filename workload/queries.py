@@ -23,7 +23,7 @@ from fixedrecon.plans import ReconSpec, SimpleSpec, reconcile, reconcile_simple
 from fixedrecon.plans.report import report_table
 from fixedrecon.plans.simple import compare_simple, write_simple
 from fixedrecon.sources import copybook_lines, scan_copybooks, scan_lines, scan_tuple_layout
-from fixedrecon.streaming import check_arrivals, compare_arrivals
+from fixedrecon.streaming import check_arrivals, compare_arrivals, prepare_legacy
 from workload import fixtures as X
 from workload import scratch
 
@@ -922,3 +922,15 @@ def stream_compare(spark, sf):
         part.repartition(2).write.mode("append").text(folder)
         compare_arrivals(spark, folder, X.CUST, legacy, rules, progress, out).awaitTermination()
     return _flat_details(spark.read.parquet(out).drop("batch"))
+
+
+@query
+def stream_compare_prepared(spark, sf):
+    """The same comparison with a legacy side laid out once: each batch reads the folders of its keys."""
+    legacy, modern = customers(spark, sf)
+    rules = customer_rules(legacy, modern)
+    folder, progress, out, laid = (scratch.folder(spark, p) for p in ("arrivals", "progress", "compared", "legacy"))
+    prepared = prepare_legacy(legacy, rules.keys, laid, parts=64)
+    X.customer_modern(spark, sf).repartition(4).write.text(folder)
+    compare_arrivals(spark, folder, X.CUST, prepared, rules, progress, out, max_files=2).awaitTermination()
+    return _flat_details(spark.read.parquet(out).drop("batch"))

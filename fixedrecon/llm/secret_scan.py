@@ -2,13 +2,13 @@
 
 Patterns find assignments to names of secrets, access keys and hexadecimal runs. Besides, every
 run of 20 or more characters of the usual encodings is a candidate. Its encoding is inferred
-(hexadecimal of one case, base32, base64 with either pair of signs) and three tests ask whether
-its characters may be uniform over that alphabet: chi-squared over the alphabet's parts,
-Wald-Wolfowitz runs about its middle, and serial correlation of neighbours. What any of them rejects
-is no random string: its p-value is 1. The others must also be *surprising as ordinary text*: a model of
-names, words and paths gives the probability of the string (changes between cases, digits and signs; pairs of
-letters), and its ratio to that of uniform characters of the encoding bounds a p-value that
-falls with the length, for strings of one case as well. Parts between signs are candidates of their own. Of a
+(hexadecimal of one case, base32, base36 of one case, base62, base64 with either pair of signs) and three tests ask whether
+its characters may be uniform over that alphabet: chi-squared over the whole alphabet and over its parts,
+Wald-Wolfowitz runs about its middle, and serial correlation of neighbours. Their joint p-value is one factor of the
+controlled one: what it rejects at ``BATTERY_LEVEL`` is no random string, and what it half believes needs more evidence. The
+other factor grows with the length: the probability of the string as *ordinary text* (changes between cases, digits
+and signs; pairs of letters, see ``letter_model.py``) against that of uniform characters of the encoding, a ratio that
+bounds a p-value. Parts between signs are candidates of their own. Of a
 text's candidates those are taken that Benjamini and Hochberg's procedure accepts at ``FALSE_DISCOVERY``; of
 nested ones the longest, unless what a part leaves out of it is ordinary.
 
@@ -33,24 +33,30 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of 24 and more are the long ones among all runs
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
-BATTERY_LEVEL, FALSE_DISCOVERY = 0.001, 1e-4
+BATTERY_LEVEL, FALSE_DISCOVERY = 0.001, 1e-3
 PARTS = tuple(re.compile(rf"[^={signs}]{{20,}}={{0,2}}") for signs in ("/", "_-", "/_-"))
 
-#: Ordinary strings: how often a lower-case letter, an upper-case letter, a digit and a sign are followed by
-#: each of these; the last row is for the first character.
-FOLLOWS = ((0.86, 0.05, 0.02, 0.07), (0.28, 0.62, 0.03, 0.07), (0.08, 0.04, 0.80, 0.08), (0.45, 0.10, 0.05, 0.40), (0.6, 0.2, 0.1, 0.1))
-#: Quarter bits (base 36) of each letter after each letter, a to z, either case: counted in texts of four
-#: languages and in source code, with 15% of uniform letters for other languages and names.
+#: Ordinary strings, fixed values that ``letter_model.py`` counts in the interpreter's standard library: how often a
+#: lower-case letter, an upper-case letter, a digit and a sign are followed by each of these; the last row is for the
+#: first character.
+FOLLOWS = (
+    (0.88, 0.026, 0.019, 0.075),
+    (0.175, 0.711, 0.02, 0.095),
+    (0.11, 0.027, 0.766, 0.097),
+    (0.641, 0.2, 0.053, 0.106),
+    (0.543, 0.243, 0.058, 0.157),
+)
+#: Quarter bits (base 36) of each letter after each letter, a to z, either case, and of first letters: from the same count.
 LETTER_PAIRS = """
-    qljjopnrjtregbqltdfbjprqou froq9srtiit8ssestmlqftttft ftpsdttaetjgrsarulpdmtturu dorj6ksodttnsoessnijltqsru
-    gqjgklpqkttfmconqadgpppjpr eqqqhhsrauthsqaptcmjfttuqt fpqs7slggusjmjjoseejjrqtts anrt6tskgusnslfrtmkgqsouts
-    mohlgimsrtsji8dosnfetotqum 6tnmatsuotqsrsepupcsiksutu lrlp4oqsgttkqmpntpgnmliusu esrk9estdttfssgptshkgstufu
-    bksr7sttgutnjiedtslrksttru foiddoenjtrnrlensofbmoqrqt onmhrhptmtqij8ojtakjepmtut arrpbmtnlutgtsejtekggstugu
-    nttptstusuldrpsstppq2tsuuu dpnm8rloftkomhertihgmqqunt lshq9prfftpoqqjhoqg9ksrtpu froscrt8butqqqfotfkljsqtjp
-    jmmnbnqrkutgfcnisdhdsstiut 7srt6sstcuutnsjtusrruttrtu dtrqfst6ausrsmfsthlsttotuu eqdqbltsfuullrldpmp9tntqpt
-    lppmgqjnjutklki7tlcessitsr fonr5tqrjsqoptlorqon9ruusp flhhfjnmfrqjkhgjpifdnnmsss
+    ukggurjvkvodgfwjwcfbmkrpov colqestsejvbprflvihodvvvhs duopdrtekvfhqs9ruindktvwrv fqpi7nstbtuhsqfrwkinfsstov
+    hrgfnlotrvtikdrlpbcesnoiov funmgert8wwgssbtvflkhvtwow krqr6tlhewwinglqwfemjsuvus 7usr9tvtewspoqbtwiohmvuvrv
+    llgjkmjwuvsgi8ekvkfevmwnwl dwpr8swskwhuuwcjwufs9wswrw irmn5lmrcwuirlnpsmepoujusv eqqj8qtubwtftscowtkikruwju
+    aktq8uvufwsmkqcdwtkokvvwqw etgdekctivnosngpusfblnuvsv nmheunnvpvnigakhwbiihnkqvu atppbrtohwteusehuclglstwjw
+    qstssvwtwwwiukwqqimr2vuwww dtml8qkvewookmdqwjfgmosvkw kuisarqievnmrsihtqf9hssvlv esmo9qufbwtnorgnveijktrvjt
+    lilofmowjwvcgbogwdfdsvwswv assv4rsvdwquqsnswrttuvsvvv atooesuiawvmngeqwdgqttoqwv krdodkuofwvmispcwqm8rstkhu
+    onlnjntrkwviien8ulcbrqmuoq euqt4svocwwnlthpwsqtrwtvqs
 """.split()
-FIRST_LETTERS = "flhhfjnmfrqjkhgjpifdnnmsss"
+FIRST_LETTERS = "hjehhhkjhtoihjkgshdhlnlots"
 
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Alphabets in the order of inference, each in parts for the chi-squared test.
@@ -58,6 +64,9 @@ ENCODINGS = {
     "hex": (DIGITS, "abcdef"),
     "hex_upper": (DIGITS, "ABCDEF"),
     "base32": (UPPER[:13], UPPER[13:], "234567"),
+    "base36": (DIGITS, LOWER[:13], LOWER[13:]),
+    "base36_upper": (DIGITS, UPPER[:13], UPPER[13:]),
+    "base62": (DIGITS, UPPER[:13], UPPER[13:], LOWER[:13], LOWER[13:]),
     "base64": (UPPER[:13], UPPER[13:], LOWER[:13], LOWER[13:], DIGITS + "+/"),
     "base64url": (UPPER[:13], UPPER[13:], LOWER[:13], LOWER[13:], DIGITS + "-_"),
 }
@@ -80,12 +89,21 @@ def _two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
 
+def _uneven(token: str, parts: tuple[str, ...]) -> float:
+    """Chi-squared tail of the counts of ``parts``. Mean and variance are those of the multinomial, so that
+    few expected counts do not matter as much."""
+    counts, n, total = Counter(token), len(token), sum(map(len, parts))
+    x = sum((sum(counts[c] for c in p) - n * len(p) / total) ** 2 * total / (n * len(p)) for p in parts)
+    inverse = sum(total / len(p) for p in parts)
+    mean, k = len(parts) - 1, len(parts)
+    variance = 2 * mean + (inverse - k * k - 2 * k + 2) / n
+    return chi_squared_tail(2 * mean * x / variance, 2 * mean * mean / variance) if variance > 0 else 1.0
+
+
 def uniformity(token: str, encoding: str) -> float:
-    parts, counts = ENCODINGS[encoding], Counter(token)
-    total = len(ORDER[encoding])
-    expected = [len(token) * len(p) / total for p in parts]
-    seen = [sum(counts[c] for c in p) for p in parts]
-    return chi_squared_tail(sum((s - e) ** 2 / e for s, e in zip(seen, expected)), len(parts) - 1)
+    """Over all characters of the alphabet, and over its parts (digits against letters)."""
+    parts = ENCODINGS[encoding]
+    return min(1.0, 2 * min(_uneven(token, tuple("".join(parts))), _uneven(token, parts)))
 
 
 def runs(token: str, encoding: str) -> float:
@@ -110,12 +128,17 @@ def serial_correlation(token: str, encoding: str) -> float:
     return _two_sided((r + 1 / n) * math.sqrt(n))
 
 
-def looks_random(token: str) -> bool:
-    """Whether no test of the battery rejects uniform characters, at ``BATTERY_LEVEL`` in all."""
+def battery(token: str) -> float:
+    """p-value of the three tests together for uniform characters of the inferred encoding; 0 without an encoding."""
     encoding, token = encoding_of(token), token.rstrip("=")
     if encoding is None:
-        return False
-    return min(t(token, encoding) for t in (uniformity, runs, serial_correlation)) > BATTERY_LEVEL / 3
+        return 0.0
+    return min(1.0, 3 * min(t(token, encoding) for t in (uniformity, runs, serial_correlation)))
+
+
+def looks_random(token: str) -> bool:
+    """Whether no test of the battery rejects uniform characters, at ``BATTERY_LEVEL`` in all."""
+    return battery(token) > BATTERY_LEVEL
 
 
 def _class(c: str) -> int:
@@ -140,12 +163,14 @@ def ordinary_bits(token: str) -> float:
 
 def surprise(token: str) -> float:
     """Minus the binary logarithm of the p-value against an ordinary string; 0 where the battery rejects.
-    An ordinary string is 2**b times likelier as uniform characters with a probability of at most 2**-b, for each encoding."""
-    if not looks_random(token):
+    An ordinary string is 2**b times likelier as uniform characters with a probability of at most 2**-b, for each
+    encoding. The battery's p-value counts against the string: as it is at most 1, the bound stays one."""
+    fits = battery(token)
+    if fits <= BATTERY_LEVEL:
         return 0.0
     encoding, token = encoding_of(token), token.rstrip("=")
     uniform = len(token) * math.log2(len(ORDER[encoding]))
-    return max(0.0, ordinary_bits(token) - uniform - math.log2(len(ENCODINGS)))
+    return max(0.0, ordinary_bits(token) - uniform + math.log2(fits) - math.log2(len(ENCODINGS)))
 
 
 def candidates(text: str) -> list[tuple[int, int]]:

@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import random
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -12,6 +13,7 @@ import corpus_pipeline
 from fixedrecon.llm import (
     decontaminate,
     language,
+    letter_model,
     license_scan,
     quality_model,
     quality_rules,
@@ -96,17 +98,33 @@ def test_random_strings():
 
 @pytest.mark.parametrize("encoding", list(secret_scan.ENCODINGS))
 @pytest.mark.parametrize("length", [24, 32, 64])
-def test_random_strings_of_each_encoding_among_ordinary_ones(encoding, length):
+def test_random_strings_of_each_encoding_among_ordinary_ones(encoding, length, monkeypatch):
+    monkeypatch.setattr(secret_scan, "surprise", lru_cache(None)(secret_scan.surprise))
     draw, found = random.Random(length), 0
     words = ["configuration", "Manager", "update", "handler", "Request", "parse", "source", "Element", "buffer", "index", "2024", "value"]
-    for _ in range(40):
-        ordinary = [draw.choice(["", "_", "/", "-"]).join(draw.choice(words) for _ in range(6)) for _ in range(49)]
+    ordinary = [draw.choice(["", "_", "/", "-"]).join(draw.choice(words) for _ in range(6)) for _ in range(499)]
+    for _ in range(200):
         key = "".join(draw.choice(list(secret_scan.ORDER[encoding])) for _ in range(length))
         text = " ".join([*ordinary, key])
         spans = secret_scan.random_strings(text)
         assert all(e > len(text) - length for _, e in spans)
         found += (len(text) - length, len(text)) in spans
-    assert found >= 36
+    assert found >= 180
+
+
+def test_battery_counts_against_a_string():
+    key = "7gq2mzkx5tavrw3nc6jyhupebd4lfsoi"
+    assert secret_scan.encoding_of(key) == "base36" and secret_scan.battery(key) > 0.01
+    for even in ("0123456789abcdefghijklmnopqrstuvwxyz", "z0" * 16, "q7q7q7q7q7q7q7q7zkzkzkzkzkzkzkzk", "a" * 32):
+        assert secret_scan.battery(even) < secret_scan.BATTERY_LEVEL and secret_scan.surprise(even) == 0
+    assert secret_scan.battery("no.such*alphabet here") == 0
+
+
+def test_letter_tables_are_shares_of_distinct_words():
+    follows, pairs, first = letter_model.tables(["abab", "abab", "Zq9", "a_b"])
+    assert all(abs(sum(row) - 1) < 0.01 for row in follows) and len(follows) == 5 and len(pairs) == 26
+    assert pairs[0][1] == min(pairs[0]) and first[0] < first[1] and set(map(len, [*pairs, first])) == {26}
+    assert [len(x) for x in secret_scan.LETTER_PAIRS] == [26] * 26 and len(secret_scan.FIRST_LETTERS) == 26
 
 
 def test_random_string_within_a_path():

@@ -15,7 +15,7 @@ from fixedrecon.operators.layout import (
     parse_copybooks,
     parsing_summary,
 )
-from fixedrecon.sources import copybook_lines, scan_copybooks
+from fixedrecon.sources import copybook_lines, scan_copybooks, write_copybook_libraries
 
 # The customer master record as (level, name, clauses).
 CUSTOMER = [
@@ -322,3 +322,17 @@ def test_type_errors_have_one_rule(spark):
     schema = "I string, D string, W string"
     assert {r.invalid_values for r in Q.type_errors(spark.createDataFrame(good, schema), layout).collect()} == {0}
     assert {r.invalid_values for r in Q.type_errors(spark.createDataFrame(bad, schema), layout).collect()} == {5}
+
+
+def test_libraries_hold_many_copybooks(spark, tmp_path):
+    bodies = ["       01  A.\n           05  B PIC X.", "", "x\n", "x\n\n", "./ ADD NAME=Z\n.\n./ ENDUP\n..\n./ ENDUP", "a\r\nb\r.c\u2028.d", ".", "é\n"] * 40
+    books = spark.createDataFrame([(f"M{i}", b) for i, b in enumerate(bodies)], "id string, body string").repartition(3)
+    write_copybook_libraries(books, F.col("id"), F.col("body"), str(tmp_path / "lib"))
+    assert len(list((tmp_path / "lib").glob("*.txt"))) <= 3
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")  # splits fall inside members
+    try:
+        scanned = scan_copybooks(spark, str(tmp_path / "lib"), r"\.txt\((.*)\)$", libraries=True)
+        found = sorted(map(tuple, scanned.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == sorted(map(tuple, copybook_lines(books, F.col("id"), F.concat("body", F.lit("\n"))).collect()))

@@ -24,6 +24,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fixedrecon.functions.compare import any_of, as_number
@@ -300,42 +301,105 @@ def hot_details(counted: DataFrame) -> DataFrame:
     )
 
 
+STEPS, EXACT = 1024, 2.0**42  # multiples of 1/STEPS below EXACT are added and subtracted without rounding
+
+
+def _is_step(number: float) -> bool:
+    return 0 < number < EXACT and number * STEPS == int(number * STEPS)
+
+
+def _place(value: Column, decimals: int) -> Column:
+    """The number of steps of a value that is a multiple of 1/STEPS, else NULL."""
+    steps = as_number(value, decimals) * F.lit(float(STEPS))
+    return F.when((F.abs(steps) < F.lit(EXACT * STEPS)) & (steps == F.floor(steps)), steps.cast("long"))
+
+
+def _pairs_within(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """``field_name, equal_pairs`` of numbers at most ``cmp__reach`` apart, by one sort instead of pairs. Both sides:
+    keys, ``cmp__field, cmp__place, cmp__reach, hot__copies``, places in whole steps.
+
+    What is within reach of a number ends in two cells twice the reach wide that lie side by side: in the lower one
+    everything from its lower end on counts, in the upper one everything up to its upper end."""
+    place, reach, group = F.col("cmp__place"), F.col("cmp__reach"), [*keys, "cmp__field"]
+
+    def by_place(side):
+        present = [F.col(k).isNotNull() for k in keys]
+        side = side.filter(~any_of([~c for c in [*present, place.isNotNull()]]))
+        return side.groupBy(*group, "cmp__place", "cmp__reach").agg(F.sum("hot__copies").alias("hot__copies"))
+
+    def mark(at, order, held, weight):
+        cell = ((at - F.pmod(at, 2 * reach)) / (2 * reach)).cast("long")
+        return F.struct(
+            cell.alias("cmp__cell"), at.alias("cmp__at"), F.lit(order).alias("cmp__order"),
+            held.cast("long").alias("cmp__held"), weight.cast("long").alias("cmp__weight"),
+        )
+
+    zero, copies = F.lit(0), F.col("hot__copies")
+    ends = by_place(left).select(*group, F.inline(F.array(mark(place - reach, 0, zero, copies), mark(place + reach, 2, zero, copies))))
+    held = by_place(right).select(*group, F.inline(F.array(mark(place, 1, copies, zero))))
+    cell = W.partitionBy(*group, "cmp__cell")
+    upto = cell.orderBy("cmp__at", "cmp__order").rowsBetween(W.unboundedPreceding, 0)
+    counted = (
+        ends.unionByName(held)
+        .withColumn("cmp__upto", F.sum("cmp__held").over(upto))
+        .withColumn("cmp__all", F.sum("cmp__held").over(cell))
+        .withColumn("cmp__found", F.when(F.col("cmp__order") == 0, F.col("cmp__all") - F.col("cmp__upto")).otherwise(F.col("cmp__upto")))
+    )
+    return counted.groupBy(F.col("cmp__field").alias("field_name")).agg(F.sum(_times("cmp__weight", "cmp__found")).alias("equal_pairs"))
+
+
 def hot_field_equals(legacy: DataFrame, modern: DataFrame, rules: Rules) -> DataFrame:
     """Pairs of variants that agree, per field: ``field_name, equal_pairs``.
-    Each field is counted by value before the sides meet."""
+    Each field is counted by value before the sides meet.
 
-    def by_value(side, around):
+    With a tolerance, numbers that are exact in steps (whole numbers above all) are counted against each other by
+    running sums, as cells hold the more values the denser these lie. Only other values, or a tolerance that is not
+    exact, meet in cells pair by pair."""
+    limits = {f: t for f, t in rules.tolerance.items() if f in rules.values and t > 0}
+    exact = [f for f, t in limits.items() if _is_step(t)]
+
+    def by_value(side):
         entries = [
             F.struct(F.lit(f).alias("cmp__field"), F.col(f).alias("cmp__value")) for f in rules.values
         ]
-        cells = F.array(F.concat(F.lit("t"), F.col("cmp__value")))
-        for f, limit in rules.tolerance.items():
-            if f in rules.values and limit > 0:
-                own, near = _cell(F.col("cmp__value"), limit, rules.decimals.get(f, 0))
-                cells = F.when(
-                    F.col("cmp__field") == f, near if around else F.array(own)
-                ).otherwise(cells)
+        place = F.lit(None).cast("long")
+        for f in exact:
+            place = F.when(F.col("cmp__field") == f, _place(F.col("cmp__value"), rules.decimals.get(f, 0))).otherwise(place)
         return (
             side.select(*rules.keys, "hot__copies", F.inline(F.array(*entries)))
             .groupBy(*rules.keys, "cmp__field", "cmp__value")
             .agg(F.sum("hot__copies").alias("hot__copies"))
-            .withColumn("cmp__cell", F.explode(cells))
+            .withColumn("cmp__place", place)
         )
 
-    left = by_value(legacy, True)
-    right = by_value(modern, False).select(
-        *rules.keys, "cmp__field", "cmp__cell",
+    def in_cells(counted, around):
+        cells = F.array(F.concat(F.lit("t"), F.col("cmp__value")))
+        for f, limit in limits.items():
+            own, near = _cell(F.col("cmp__value"), limit, rules.decimals.get(f, 0))
+            cells = F.when(F.col("cmp__field") == f, near if around else F.array(own)).otherwise(cells)
+        return counted.withColumn("cmp__cell", F.explode(cells))
+
+    values = by_value(legacy), by_value(modern)
+    # exact numbers meet the other kind only: their pairs are not even candidates here
+    is_exact = F.col("cmp__place").isNotNull()
+    kinds = F.when(is_exact, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    left = in_cells(values[0], True).withColumn("cmp__exact", F.explode(kinds))
+    right = in_cells(values[1], False).select(
+        *rules.keys, "cmp__field", "cmp__cell", is_exact.alias("cmp__exact"),
         F.col("cmp__value").alias("cmp__other"), F.col("hot__copies").alias("cmp__other_copies"),
     )
     # without a tolerance, equal cells are equal values
     differs = F.lit(False)
-    for f in rules.values:
-        if rules.tolerance.get(f, 0) > 0:
-            beyond = rules.mismatch(f, F.col("cmp__value"), F.col("cmp__other"), F.lit(True))
-            differs = F.when(F.col("cmp__field") == f, beyond).otherwise(differs)
-    return (
-        left.join(right, [*rules.keys, "cmp__field", "cmp__cell"])
+    for f in limits:
+        beyond = rules.mismatch(f, F.col("cmp__value"), F.col("cmp__other"), F.lit(True))
+        differs = F.when(F.col("cmp__field") == f, beyond).otherwise(differs)
+    found = (
+        left.join(right, [*rules.keys, "cmp__field", "cmp__cell", "cmp__exact"])
         .filter(~differs)
         .groupBy(F.col("cmp__field").alias("field_name"))
         .agg(F.sum(_times("hot__copies", "cmp__other_copies")).alias("equal_pairs"))
     )
+    if exact:
+        reach = F.create_map(*[F.lit(x) for f in exact for x in (f, int(limits[f] * STEPS))])[F.col("cmp__field")].cast("long")
+        found = found.unionByName(_pairs_within(*[v.filter(is_exact).withColumn("cmp__reach", reach) for v in values], rules.keys))
+    return found.groupBy("field_name").agg(F.sum("equal_pairs").cast(BIG).alias("equal_pairs")).filter("equal_pairs > 0")

@@ -202,6 +202,45 @@ def test_hot_keys_equal_all_pairs(spark, limit):
     assert {r.hot__side: int(r.n) for r in listed} == dict.fromkeys(("legacy", "modern"), len(pairs) - equal)
 
 
+@pytest.mark.parametrize("limit", [3, 0.5, 0.1])
+def test_dense_numbers_are_counted_without_pairs(spark, limit):
+    """Exact numbers, inexact ones, text and NaN of one key; the exact ones never meet in a join."""
+    rng = random.Random(5)
+    values = ["", "x", "NaN", "-0.0", "0.1", "0.30000000000000004", "1e20", "99999999999999", "9007199254740993", "1e-3", "Infinity"]
+    values += [str(n) for n in range(-30, 30)] + [str(n / 8) for n in range(-9, 9)] + [str(n / 10) for n in range(-9, 9)]
+    sides = [[("k", "p", rng.choice(values)) for _ in range(400)] for _ in range(2)]
+    left, right, rules = frames(spark, *sides, {"N": limit})
+    variants = [H.variants(s.withColumns({"rows__legacy": F.lit(400), "rows__modern": F.lit(400)}), rules) for s in (left, right)]
+    found = {r.field_name: int(r.equal_pairs) for r in H.hot_field_equals(*variants, rules).collect()}
+
+    def equal(x, y):
+        try:
+            return abs(float(x) - float(y)) <= limit
+        except ValueError:
+            return x == y
+
+    assert found == {"T": 160_000, "N": sum(equal(a[2], b[2]) for a, b in product(*sides))}
+    if limit == 3:
+        dense = [[("k", "p", str(n % 2000)) for n in range(2000)]] * 2
+        left, right, rules = frames(spark, *dense, {"N": 5000})
+        variants = [H.variants(s.withColumns({"rows__legacy": F.lit(2000), "rows__modern": F.lit(2000)}), rules) for s in (left, right)]
+        largest = []
+
+        def rows_out(node):
+            if node.getClass().getSimpleName().endswith("Join") or "JoinExec" in node.getClass().getSimpleName():
+                largest.append(node.metrics().apply("numOutputRows").value())
+            for i in range(node.children().size()):
+                rows_out(node.children().apply(i))
+            if node.getClass().getSimpleName().endswith("QueryStageExec"):
+                rows_out(node.plan())
+
+        result = H.hot_field_equals(*variants, rules)
+        assert {r.field_name: int(r.equal_pairs) for r in result.collect()} == {"T": 4_000_000, "N": 4_000_000}
+        plan = result._jdf.queryExecution().executedPlan()
+        rows_out(plan.executedPlan() if hasattr(plan, "executedPlan") else plan)
+        assert all(n < 10_000 for n in largest)
+
+
 def test_null_keys_never_match(spark):
     left, right, rules = frames(spark, [(None, "x", "1")] * 30, [(None, "x", "1")] * 30)
     profile = H.key_profile(left, right, KEYS)

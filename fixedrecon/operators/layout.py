@@ -287,9 +287,12 @@ def explode_entries(books: DataFrame) -> DataFrame:
             _rivals(i).alias("same"),
         )
 
+    # a plain explode, or a filter before it, is planned with a test that makes all rows of the copybook once more
+    rows = F.when(F.col("fits") & (F.size("entries") > 0), F.transform("placed", row))
     return (
-        add_family_keys(books.where(F.col("fits") & (F.size("entries") > 0)))
-        .select("copybook_id", "copybook_name", F.explode(F.transform("placed", row)).alias("e"))
+        add_family_keys(books)
+        .select("copybook_id", "copybook_name", F.explode_outer(rows).alias("e"))
+        .where(F.col("e").isNotNull())
         .select("copybook_id", "copybook_name", "e.*")
         .select("*", "entry.*")
         .drop("entry")

@@ -336,3 +336,11 @@ def test_libraries_hold_many_copybooks(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert found == sorted(map(tuple, copybook_lines(books, F.col("id"), F.concat("body", F.lit("\n"))).collect()))
+
+
+def test_entries_are_placed_once(spark):
+    """A test for copybooks that fit must not repeat the pass over the entries."""
+    books = spark.createDataFrame([("c", "       01  A.\n           05  B PIC X.")], "id string, body string")
+    table = parse_copybooks(copybook_lines(books, F.col("id"), F.col("body"), tasks=2))
+    assert table._jdf.queryExecution().optimizedPlan().toString().count("aggregate(entries#") == 1
+    assert table.count() == 2

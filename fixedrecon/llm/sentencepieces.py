@@ -30,13 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fixedrecon.llm.shared import held
 from fixedrecon.llm.words import chunks
 
 BLANK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0  # below the lowest score, as in the library
-KEPT_PARTS, PART_BYTES = 400_000, 4 << 20
+KEPT_BYTES, PART_BYTES = 64 << 20, 4 << 20
+KEPT_ENTRY = 160  # bytes of a kept part beside its characters and ids
 
 
 def _class(characters: set[str]) -> str:
@@ -46,8 +48,6 @@ def _class(characters: set[str]) -> str:
 class PieceModel:
     """Pieces and settings of a model file. Models without a normaliser only."""
 
-    _made: dict[str, PieceModel] = {}
-
     def __init__(self, serialized: bytes) -> None:
         from sentencepiece import sentencepiece_model_pb2 as pb
 
@@ -72,7 +72,7 @@ class PieceModel:
             ends.setdefault(p[-2:], set()).add(len(p))
         #: Lengths of the longer pieces by their last two characters, longest first: it wins a tie.
         self.ends = {c: sorted(n - {1}, reverse=True) for c, n in ends.items() if len(c) == 2}
-        self.admissible = lru_cache(1 << 18)(self._admissible)
+        self.admissible = lru_cache(1 << 17)(self._admissible)
         self.merges = lru_cache(1 << 16)(self._merges)
         long = [p for p in self.ids if len(p) > 1]
         joined = {c for p in long for c in p}
@@ -85,10 +85,12 @@ class PieceModel:
     @classmethod
     def of(cls, path: str) -> PieceModel:
         """One model for a worker process."""
-        if path not in cls._made:
+
+        def make() -> PieceModel:
             with open(path, "rb") as file:
-                cls._made[path] = cls(file.read())
-        return cls._made[path]
+                return cls(file.read())
+
+        return held(f"model {path}", make)
 
     @staticmethod
     def _tails(inner: set[str], pairs: set[str]) -> set[str]:
@@ -228,24 +230,27 @@ class StreamingEncoder:
 
 
 class PartEncoder:
-    """Encodes and decodes whole texts; keeps the ids of parts."""
+    """Encodes and decodes whole texts; keeps the ids of parts in two generations of some ``KEPT_BYTES``, as a worker
+    holds them beside the work of other stages."""
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.kept_bytes = 0
 
     def _stream(self, part: str) -> bytes:
         encoder = StreamingEncoder(self.model)
         return np.array(encoder.feed(part) + encoder.finish(), dtype="<i4").tobytes()
 
     def _of(self, part: str) -> bytes:
-        if len(self.kept) > KEPT_PARTS:
-            self.kept, self.older = {}, self.kept
-        found = self.older.get(part)
+        if self.kept_bytes > KEPT_BYTES:
+            self.kept, self.older, self.kept_bytes = {}, self.kept, 0
+        found = self.kept.get(part)
         if found is None:
-            found = self._stream(part)
-        self.kept[part] = found
+            found = self.older.get(part) or self._stream(part)
+            self.kept[part] = found
+            self.kept_bytes += KEPT_ENTRY + 2 * len(part) + len(found)
         return found
 
     def encode(self, text: str) -> np.ndarray:
@@ -303,11 +308,6 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, text string")
 
 
-_encoders: dict[str, PartEncoder] = {}
-
-
 def _worker_encoder(path: str) -> PartEncoder:
     """One encoder, with the parts it keeps, for a worker process."""
-    if path not in _encoders:
-        _encoders[path] = PartEncoder(PieceModel.of(path))
-    return _encoders[path]
+    return held(f"encoder {path}", lambda: PartEncoder(PieceModel.of(path)))

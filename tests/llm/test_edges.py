@@ -458,3 +458,23 @@ def test_pipeline_stages_on_edges(spark, edges, empty):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, edges, "/root/testdata/sf0.001").count()
         assert stage(spark, empty, "/root/testdata/sf0.001").count() == 0
+
+
+def test_kept_parts_are_bounded_by_bytes(monkeypatch):
+    encoder = sentencepieces.PartEncoder(sentencepieces.PieceModel.of(PIECES))
+    made = []
+    monkeypatch.setattr(encoder, "_stream", lambda part: made.append(part) or part[:8].encode() * 250)
+    parts = [f"{i:08d}" + "x" * 2000 for i in range(60_000)]
+    for part in parts:
+        assert encoder._of(part) == part[:8].encode() * 250
+    assert encoder._of(parts[-1]) and encoder._of(parts[0]) and len(made) == len(parts) + 1  # the last is kept, the first is made again
+    held = sum(len(k) + len(v) for kept in (encoder.kept, encoder.older) for k, v in kept.items())
+    assert held < 150_000_000
+
+
+def test_language_tasks_drop_what_the_encoder_keeps():
+    encoder = sentencepieces._worker_encoder(PIECES)
+    assert sentencepieces._worker_encoder(PIECES) is encoder
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array(["some text"])], ["lang", "text"])
+    assert len(list(language._piece_rows(iter([batch])))) == 1
+    assert sentencepieces._worker_encoder(PIECES) is not encoder

@@ -43,8 +43,8 @@ NO_REGION = -1
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+    """``use`` of a value that is computed once. As the start of an empty fold: a transform would copy what ``use`` returns."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda held, _: held, use)
 
 
 def gather_books(lines: DataFrame) -> DataFrame:

@@ -10,10 +10,12 @@ from fixedrecon.operators import quality as Q
 from fixedrecon.operators.layout import (
     all_rejects,
     fields_to_compare,
+    gather_books,
     layout_alignment,
     layout_schema,
     parse_copybooks,
     parsing_summary,
+    place_entries,
 )
 from fixedrecon.sources import copybook_lines, scan_copybooks, write_copybook_libraries
 
@@ -344,3 +346,12 @@ def test_entries_are_placed_once(spark):
     table = parse_copybooks(copybook_lines(books, F.col("id"), F.col("body"), tasks=2))
     assert table._jdf.queryExecution().optimizedPlan().toString().count("aggregate(entries#") == 1
     assert table.count() == 2
+
+
+def test_placing_copies_no_state(spark):
+    lines = spark.createDataFrame([("A", i, "01  REC." if i == 1 else f"    05  F-{i} PIC X(3).") for i in range(1, 400)], "copybook_id string, line_no int, raw string")
+    placed = place_entries(gather_books(lines))
+    # a transform copies what its function returns: the entries placed so far, for every entry
+    assert "element_at(transform(array(" not in placed._jdf.queryExecution().optimizedPlan().toString()
+    last = placed.selectExpr("size(placed) AS n", "element_at(placed, -1).first AS first").first()
+    assert (last["n"], last["first"]) == (399, 3.0 * 397)

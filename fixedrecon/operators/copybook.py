@@ -71,12 +71,14 @@ def statements(lines: DataFrame) -> DataFrame:
 def describe_entries(kept: DataFrame) -> DataFrame:
     """All attributes of each statement, with ``reject_reason`` where it is
     no usable entry. Row-wise only: no shuffle."""
+    statement, written = F.col("statement"), F.col("written")
     clauses, picture = F.col("clauses"), F.col("pic_clause")
     return (
-        kept.withColumn("is_field", P.is_field_line(F.col("statement")))
-        .withColumn("level", P.entry_level(F.col("statement")))
-        .withColumn("field_name", P.entry_name(F.col("statement")))
-        .withColumn("clauses", P.entry_clauses(F.col("statement")))
+        kept.withColumn("written", P.written_name(statement))
+        .withColumn("is_field", (written != "") | P.is_field_line(statement))
+        .withColumn("level", P.level_before(statement, written))
+        .withColumn("field_name", P.cobol_name(written))
+        .withColumn("clauses", P.clauses_after(statement, written))
         .withColumn("pic_clause", P.picture_clause(clauses))
         .withColumn("bad_repeat", P.has_bad_repeat(picture))
         .withColumn("data_type", P.picture_type(picture))
@@ -90,7 +92,7 @@ def describe_entries(kept: DataFrame) -> DataFrame:
             .when(F.col("bad_repeat"), "repeat count is not a number")
             .when(P.has_bad_occurs(clauses), "OCCURS count is too large"),
         )
-        .drop("is_field", "bad_repeat", "clauses")
+        .drop("written", "is_field", "bad_repeat", "clauses")
     )
 
 

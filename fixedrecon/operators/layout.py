@@ -54,8 +54,13 @@ def gather_books(lines: DataFrame) -> DataFrame:
         describe_entries(statements(lines))
         .withColumn("depth", F.when(F.col("level") == 77, 1).otherwise(F.col("level")))
         .withColumn("is_group", F.col("pic_clause") == "")
-        .withColumn("stem", F.regexp_replace("field_name", NUMBERED, ""))
-        .withColumn("numbers", F.regexp_extract_all(F.regexp_extract("field_name", NUMBERED, 1), F.lit(r"_(\d+)"), F.lit(1)))
+        .withColumn("numbered", F.when(F.substring("field_name", -1, 1).between("0", "9"), F.regexp_extract("field_name", NUMBERED, 1)).otherwise(""))
+        .withColumn("stem", F.left("field_name", F.length("field_name") - F.length("numbered")))
+        .withColumn(
+            "numbers",
+            F.when(F.col("numbered") != "", F.regexp_extract_all("numbered", F.lit(r"_(\d+)"), F.lit(1))).otherwise(F.array().cast("array<string>")),
+        )
+        .drop("numbered")
     )
     entry = F.struct(
         "line_no", "level", "depth", "is_group", "field_name", "stem", "numbers", "pic_clause", "data_type",
@@ -104,8 +109,7 @@ def _step(state: Column, entry: Column) -> Column:
         F.when(starts, entry["field_name"]).otherwise(state["record_name"]).alias("record_name"),
     )
 
-    def enclosed(now: Column) -> Column:
-        groups = F.filter(now["open"], lambda o: o["is_group"])
+    def enclosed(now: Column, groups: Column) -> Column:
         names = F.transform(F.slice("entries", now["since"] + 1, i - now["since"]), lambda e: e["field_name"])
         named = F.when(entry["redefines"].isNotNull(), F.array_position(names, entry["redefines"]).cast("int"))
         return F.struct(
@@ -117,22 +121,19 @@ def _step(state: Column, entry: Column) -> Column:
     def placed(now: Column, around: Column) -> Column:
         parent, target = around["parent"], around["target"]
         region = F.when(target.isNotNull(), i).otherwise(F.coalesce(parent["region"], F.lit(NO_REGION)))
-        own = F.array(i)
+        above = F.coalesce(parent["repeats"], F.array().cast("array<int>"))
         shared = F.filter(target["movers"], lambda m: F.exists(around["groups"], lambda g: g["i"] == m))
         return F.struct(
             region.alias("region"),
             (F.coalesce(parent["times"], F.lit(1.0)) * entry["occurs"]).alias("times"),
-            F.concat(
-                F.coalesce(parent["repeats"], F.array().cast("array<int>")),
-                F.when(entry["occurs"] > 1, F.array(entry["occurs"])).otherwise(F.array().cast("array<int>")),
-            ).alias("repeats"),
+            F.when(entry["occurs"] > 1, F.array_append(above, entry["occurs"])).otherwise(above).alias("repeats"),
             F.when(target.isNotNull(), F.lit(0.0))
             .when(region == NO_REGION, now["total"])
             .otherwise(F.get(F.filter(now["open"], lambda o: o["i"] == region), F.lit(0))["total"])
             .alias("before"),
-            F.when(target.isNotNull(), F.concat(shared, own))
-            .otherwise(F.concat(F.coalesce(parent["movers"], F.array().cast("array<int>")), own))
-            .alias("movers"),
+            F.array_append(
+                F.when(target.isNotNull(), shared).otherwise(F.coalesce(parent["movers"], F.array().cast("array<int>"))), i
+            ).alias("movers"),
         )
 
     def finished(now: Column, around: Column, at: Column) -> Column:
@@ -152,22 +153,29 @@ def _step(state: Column, entry: Column) -> Column:
         ).cast(_OPEN)
         row = F.struct(
             now["record_no"], now["record_name"], parent["name"],
-            F.concat(F.transform(around["groups"], lambda g: g["i"]), F.array(i)),
+            F.array_append(F.transform(around["groups"], lambda g: g["i"]), i),
             at["repeats"], at["region"], first, at["movers"], at["times"],
         ).cast(_PLACED)
         return F.struct(
-            F.concat(grown, F.array(new)).alias("open"),
+            F.array_append(grown, new).alias("open"),
             now["since"].alias("since"),
             (now["total"] + F.when(at["region"] == NO_REGION, width).otherwise(0.0)).alias("total"),
             now["record_no"].alias("record_no"),
             now["record_name"].alias("record_name"),
-            F.concat(state["placed"], F.array(row)).alias("placed"),
-            F.concat(state["sizes"], F.transform(now["closed"], _size)).alias("sizes"),
+            F.array_append(state["placed"], row).alias("placed"),
+            F.when(F.size(now["closed"]) > 0, F.concat(state["sizes"], F.transform(now["closed"], _size)))
+            .otherwise(state["sizes"])
+            .alias("sizes"),
         )
 
     return _let(
         opened,
-        lambda now: _let(enclosed(now), lambda around: _let(placed(now, around), lambda at: finished(now, around, at))),
+        lambda now: _let(
+            F.filter(now["open"], lambda o: o["is_group"]),
+            lambda groups: _let(
+                enclosed(now, groups), lambda around: _let(placed(now, around), lambda at: finished(now, around, at))
+            ),
+        ),
     )
 
 
@@ -215,14 +223,21 @@ def all_rejects(lines: DataFrame) -> DataFrame:
 
 def add_family_keys(books: DataFrame) -> DataFrame:
     """``families``: for each entry a hash of what entries share that may take the same name: the record, the name
-    but for numbers at its end, and how many numbers it ends with after expansion."""
+    but for numbers at its end, and how many numbers it ends with after expansion. ``shared_families``: the hashes
+    that several entries have."""
     key = F.transform(
         F.arrays_zip("entries", "placed"),
         lambda z: F.xxhash64(
             z["placed"]["record_no"], z["entries"]["stem"], F.size(z["entries"]["numbers"]) + F.size(z["placed"]["repeats"])
         ),
     )
-    return books.withColumn("families", key)
+    shared = F.filter("ordered", lambda f, j: (j > 0) & (F.get("ordered", j - 1) == f))
+    return (
+        books.withColumn("families", key)
+        .withColumn("ordered", F.sort_array("families"))
+        .withColumn("shared_families", F.array_distinct(shared))
+        .drop("ordered")
+    )
 
 
 def _rivals(i: Column) -> Column:
@@ -253,8 +268,12 @@ def _rivals(i: Column) -> Column:
             ).alias("rivals"),
         )
 
-    mine = F.filter(F.transform("families", lambda f, j: F.when(f == F.get("families", i), j)), lambda j: j.isNotNull())
-    return _let(mine, compared)
+    def found(family):
+        members = F.filter(F.transform("families", lambda f, j: F.when(f == family, j)), lambda j: j.isNotNull())
+        alone = F.array().cast("array<int>")
+        return _let(F.when(F.array_contains("shared_families", family), members).otherwise(alone), compared)
+
+    return _let(F.get("families", i), found)
 
 
 def explode_entries(books: DataFrame) -> DataFrame:

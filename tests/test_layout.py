@@ -1,5 +1,7 @@
 """Copybooks to layouts: widths, positions, repetitions, redefinitions."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -355,3 +357,54 @@ def test_placing_copies_no_state(spark):
     assert "element_at(transform(array(" not in placed._jdf.queryExecution().optimizedPlan().toString()
     last = placed.selectExpr("size(placed) AS n", "element_at(placed, -1).first AS first").first()
     assert (last["n"], last["first"]) == (399, 3.0 * 397)
+
+
+def test_patterns_run_once_a_statement_and_names_are_compared_in_shared_families_only(spark):
+    lines = spark.createDataFrame([("A", 1, "01  REC."), ("A", 2, "    05  F PIC X(3).")], "copybook_id string, line_no int, raw string")
+    described = B.describe_entries(B.statements(lines))._jdf.queryExecution().optimizedPlan().toString()
+    assert described.count(P.ENTRY) == 1
+    parsed = parse_copybooks(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert "shared_families" in parsed
+
+
+def test_pre_tests_change_no_result(spark):
+    """Every attribute against the patterns alone, on texts of all kinds."""
+    draw = random.Random(5)
+    parts = ["X(3)", "9(2)", "s9(4)", "V99", "v9(2)", "A", "x", "(12)", "X(ABC)", "X(0123456789)", "9((2))", ")", "(", "S", "V", ".", "-", "P(3)", "X()", "OCCURS", "B"]
+    pictures = ["", *("".join(draw.choices(parts, k=draw.randint(1, 4))) for _ in range(600))]
+    heads = ["05  A-B", " 01\tX", "5 SHORT", "05 05", "77 77-77", "  05 a_02_13 ", "05", "05  N\u00e9E", "05 A\u00a0B", "05 A\nB", "05 A\r", "\x0b05\x0cF"]
+    tails = ["", ".", " PIC X(3).", " pic is 9(2)V9.", " PICTURE S9(4).", "\tOCCURS 3 TIMES", " occurs 99999999999", " REDEFINES B-C.", " redefines  x OCCURS 2 PIC XX..", " PICX(3)", " XPIC 9", " PIC X.Y."]
+    texts = [h + t for h in heads for t in tails]
+
+    statement, clauses = F.col("t"), F.regexp_extract("t", P.ENTRY, 3)
+    level, found = F.regexp_extract("t", P.ENTRY, 1), F.regexp_extract(clauses, P.OCCURS, 1)
+    named = F.upper(F.translate(F.regexp_extract("t", P.ENTRY, 2), "-", "_"))
+    target = F.regexp_extract(clauses, P.REDEFINES, 1)
+    rows = B.describe_entries(
+        spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "line_no int, statement string").withColumn("t", F.col("statement"))
+    ).select(
+        "t", "level", "field_name", "pic_clause", "occurs", "redefines", F.coalesce(F.col("reject_reason") == "no level number and name", F.lit(False)).alias("no"),
+        F.when(level != "", level.cast("int")).alias("level_"), named.alias("field_name_"),
+        F.regexp_replace(F.regexp_extract(clauses, P.PICTURE, 1), r"\.$", "").alias("pic_clause_"),
+        F.greatest(F.coalesce(found.try_cast("int"), F.lit(1)), F.lit(1)).alias("occurs_"),
+        F.when(target != "", F.upper(F.translate(target, "-", "_"))).alias("redefines_"), (~statement.rlike(P.FIELD_LINE)).alias("no_"),
+    )
+    for r in rows.collect():
+        names = ("level", "field_name", "pic_clause", "occurs", "redefines", "no")
+        assert [r[c] for c in names] == [r[c + "_"] for c in names], r.t
+
+    def width(part):
+        repeats = F.regexp_extract_all(part, F.lit(P.REPEAT), F.lit(1))
+        singles = F.length(F.translate(F.regexp_replace(part, P.REPEAT, ""), "()", ""))
+        return F.aggregate(repeats, F.lit(0), lambda a, n: a + n.cast("int")) + singles
+
+    picture, symbols = F.col("p"), F.regexp_replace("p", r"\(\d+\)", "")
+    fraction = F.regexp_extract("p", "(?i)^[^V]*V(.*)$", 1)
+    for r in spark.createDataFrame([(p,) for p in [*pictures, None]], "p string").select(
+        "p",
+        F.array(P.picture_length(picture), P.picture_decimals(picture)).alias("n"),
+        F.array(width(F.regexp_replace("p", "(?i)^S?([^V]*)V?", "$1")), F.when(fraction != "", width(fraction)).otherwise(0)).alias("n_"),
+        F.struct(P.picture_type(picture), P.has_bad_repeat(picture)).alias("k"),
+        F.struct(F.when(symbols.rlike("(?i)V"), "DECIMAL").when(symbols.contains("9"), "INTEGER").otherwise("STRING"), picture.rlike(P.BAD_REPEAT)).alias("k_"),
+    ).collect():
+        assert (r.n, tuple(r.k)) == (r.n_, tuple(r.k_)), r.p

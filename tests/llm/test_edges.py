@@ -1,6 +1,8 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import random
+import re
+import textwrap
 from functools import lru_cache
 
 import numpy as np
@@ -393,6 +395,57 @@ def test_license_scan(spark, edges, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+def _plain_notices(text, templates, least=0.8):
+    """All windows of the words against all templates."""
+    words = re.findall("[a-z0-9]+", (text or "").lower())
+    grams, found = [f"{a} {b}" for a, b in zip(words, words[1:])], []
+    for place, (name, body) in enumerate(templates):
+        known = set(license_scan.template_bigrams(body))
+        low, high = license_scan.size_bounds(len(known), least)
+        for s in (i for i, g in enumerate(grams) if g in known):
+            tried = []
+            for e in range(s + low - 1, min(s + high, len(grams))):
+                window = set(grams[s : e + 1])
+                if grams[e] in known:
+                    tried.append((2 * len(window & known) / (len(window) + len(known)), len(window & known), e))
+            if tried and max(tried)[0] >= least:
+                dice, common, e = max(tried)
+                found.append((common, dice, -s, -place, e, name))
+    kept = []
+    for _, dice, s, _, e, name in sorted(found, reverse=True):
+        if all(last < 1 - s or first > e + 2 for _, _, first, last in kept):
+            kept.append((name, dice, 1 - s, e + 2))
+    return sorted(kept, key=lambda k: k[2])
+
+
+def test_license_notices_anywhere_in_the_text(spark, empty):
+    body = dict(reversed(license_scan.TEMPLATES))
+    mit, apache, bsd = license_scan.TEMPLATES[16][1], license_scan.TEMPLATES[1][1], license_scan.TEMPLATES[4][1]
+
+    def wrapped(text, mark, width=50):
+        return "\n".join(f"{mark}{line}" for line in textwrap.wrap(text, width))
+
+    texts = [
+        "Copyright (c) 2024 Jane Doe. Released under the MIT License.",
+        "/*\n" + wrapped(mit, " * ") + "\n *\n * THE SOFTWARE IS PROVIDED AS IS\n */\nint x;",
+        "Copyright 2020\n" + wrapped(bsd, "# ") + "\n1. Redistributions of source code must retain the above\n2. more",
+        "#\n" + wrapped(apache, "# ") + "\n#\nimport os " + body["GPL-2.0"] + " and " + body["GPL-3.0"],
+        " ".join(mit.split()[: len(mit.split()) * 3 // 4]) + " and then something else of the kind",
+        "of the " * 300, "licensed", "", None, "no license at all in this text",
+    ]
+    draw = random.Random(3)
+    for _ in range(12):
+        parts = [t.split() for _, t in draw.choices(license_scan.TEMPLATES, k=3)]
+        texts.append(" ".join(w for p in parts for w in [*(x for x in p if draw.random() > 0.06), *draw.choices(["of", "the", "copy", "License"], k=3)]))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [tuple(n) for n in r["notices"]] for r in license_scan.scan(rows).collect()}
+    assert got == {i: _plain_notices(t, license_scan.TEMPLATES) for i, t in enumerate(texts)}
+    assert got[0] == [("MIT", 1.0, 6, 10)] and [n[0] for n in got[1]] == ["MIT"] and [n[0] for n in got[2]] == ["BSD-3-Clause"]
+    assert [n[0] for n in got[3]] == ["Apache-2.0", "GPL-2.0", "GPL-3.0"] and [n[0] for n in got[4]] == ["MIT"]
+    assert got[5] == got[7] == got[8] == got[9] == []
+    assert "notices" in license_scan.scan(empty, templates=()).columns
+
+
 def test_size_bounds_prune_only_what_cannot_match():
     for size in range(1, 80):
         low, high = license_scan.size_bounds(size, 0.8)

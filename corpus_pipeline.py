@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from fixedrecon.llm import decontaminate, language, secret_scan, sentencepieces, simhash
 from fixedrecon.llm.shared import stored
 
+#: Bytes of a generation of parts that a worker of the last stage keeps: its executor has the heap of all stages beside it.
+KEPT_BYTES = 24 << 20
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: SQL cannot express the stages; tests/llm holds the pipeline against a plain version.
 ORACLE_SQL = None
@@ -44,7 +46,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_tokens, ids_crc32, round_trip) of every document that is left."""
-    return sentencepieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return sentencepieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), kept_bytes=KEPT_BYTES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

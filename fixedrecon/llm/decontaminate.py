@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fixedrecon.llm.arrays import BitSet, bit_set, strings
-from fixedrecon.llm.shared import stored
+from fixedrecon.llm.shared import lean, stored
 from fixedrecon.llm.words import ALPHANUMERIC, STEP, Words, chunks, mixed, single_spaced, split_words, word_hashes
 
 WINDOW, TABLE_BYTES, LANE, ROWS = 10, 4 << 20, 256, 1 << 16
@@ -200,7 +200,7 @@ def _search_table(rows: DataFrame, texts: pa.ChunkedArray, names: list[str | Non
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "spans", "items"])
 
-    return rows.mapInArrow(run, FOUND)
+    return rows.mapInArrow(lean(run), FOUND)
 
 
 def _items(benchmark: DataFrame, table_bytes: int) -> tuple[DataFrame, pa.Table | None]:
@@ -286,7 +286,7 @@ def _candidate_rows(rows: DataFrame, patterns: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "n_words", "windows"])
 
     schema = "doc_id long, digest binary, n_words long, windows array<struct<first:long,length:long,window:string>>"
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,7 +348,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
                 hit[row + np.unique(words.text[covered])] = True
             yield batch.filter(pa.array(~hit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def find_passages(

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fixedrecon.llm.shared import release_held
+from fixedrecon.llm.shared import lean
 from fixedrecon.llm.words import LOWER, chunks
 
 UND = "und"
@@ -118,9 +118,9 @@ def training_sample(labelled: DataFrame, sample: int, lang_col: str = "lang", te
     return near.select("lang", "text", "draw").distinct().withColumn("rank", rank).where(F.col("rank") <= share).select("lang", "text")
 
 
+@lean
 def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, n_bytes, whole, logs of the counts) of each text and of its pieces."""
-    release_held()
     for batch in batches:
         for row, _, data, offsets in chunks(batch.column(1)):
             for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
@@ -189,7 +189,6 @@ def with_language(docs: DataFrame, model: LanguageModel | None, text_col: str =
     at, sent = kept.index(text_col), docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_held()
         model = sent.value
         names = np.array([*(model.languages if model else []), UND])
         for batch in batches:
@@ -207,4 +206,4 @@ def with_language(docs: DataFrame, model: LanguageModel | None, text_col: str =
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *more], names=[*kept, "lang_pred", "score", "rejected"])
 
     more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
-    return rows.mapInArrow(run, T.StructType([*fields, *more]))
+    return rows.mapInArrow(lean(run), T.StructType([*fields, *more]))

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fixedrecon.llm.shared import lean
+
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(
     r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -223,7 +225,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, SPAN)], ["doc_id", "spans"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, spans array<struct<kind:string,s:long,e:long>>")
+    return rows.mapInArrow(lean(run), "doc_id long, spans array<struct<kind:string,s:long,e:long>>")
 
 
 def masked_text(text: str | None, mask: str) -> str | None:
@@ -250,7 +252,7 @@ def mask_secrets(docs: DataFrame, mask: str = "<secret>", text_col: str = "text"
             columns[at] = texts
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def joined(spans: Column) -> Column:

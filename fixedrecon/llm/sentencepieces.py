@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fixedrecon.llm.shared import held
+from fixedrecon.llm.shared import held, return_memory
 from fixedrecon.llm.words import chunks
 
 BLANK = "▁"
@@ -230,11 +230,11 @@ class StreamingEncoder:
 
 
 class PartEncoder:
-    """Encodes and decodes whole texts; keeps the ids of parts in two generations of some ``KEPT_BYTES``, as a worker
+    """Encodes and decodes whole texts; keeps the ids of parts in two generations of some ``kept_bytes``, as a worker
     holds them beside the work of other stages."""
 
-    def __init__(self, model: PieceModel) -> None:
-        self.model = model
+    def __init__(self, model: PieceModel, kept_bytes: int | None = None) -> None:
+        self.model, self.limit = model, KEPT_BYTES if kept_bytes is None else kept_bytes
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.kept_bytes = 0
@@ -244,7 +244,7 @@ class PartEncoder:
         return np.array(encoder.feed(part) + encoder.finish(), dtype="<i4").tobytes()
 
     def _of(self, part: str) -> bytes:
-        if self.kept_bytes > KEPT_BYTES:
+        if self.kept_bytes > self.limit:
             self.kept, self.older, self.kept_bytes = {}, self.kept, 0
         found = self.kept.get(part)
         if found is None:
@@ -269,12 +269,16 @@ class PartEncoder:
         return text[1:] if self.model.prefix and text[:1] == " " else text
 
 
-def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", kept_bytes: int | None = None
+) -> DataFrame:
     """(doc_id, ids, n_tokens, ids_crc32, round_trip) for each row: the ids, their number, the crc32 of
-    the ids as little-endian 32-bit integers, and whether they decode to the text."""
+    the ids as little-endian 32-bit integers, and whether they decode to the text. ``kept_bytes`` bounds each of the two
+    generations of parts that a worker keeps (``KEPT_BYTES``): fewer take less memory and more time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _worker_encoder(model_path)
+        return_memory()
+        encoder = _worker_encoder(model_path, kept_bytes)
         for batch in batches:
             for row, end, _, _ in chunks(batch.column(1), PART_BYTES):
                 texts = [t or "" for t in batch.column(1).slice(row, end - row).to_pylist()]
@@ -291,6 +295,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                     ],
                     ["doc_id", "ids", "n_tokens", "ids_crc32", "round_trip"],
                 )
+        return_memory()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, ids_crc32 long, round_trip boolean")
@@ -308,6 +313,6 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def _worker_encoder(path: str) -> PartEncoder:
+def _worker_encoder(path: str, kept_bytes: int | None = None) -> PartEncoder:
     """One encoder, with the parts it keeps, for a worker process."""
-    return held(f"encoder {path}", lambda: PartEncoder(PieceModel.of(path)))
+    return held(f"encoder {path} {kept_bytes}", lambda: PartEncoder(PieceModel.of(path), kept_bytes))

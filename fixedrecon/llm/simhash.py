@@ -33,12 +33,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fixedrecon.llm.components import components
-from fixedrecon.llm.shared import stored
+from fixedrecon.llm.shared import lean, stored
 from fixedrecon.llm.words import chunks, single_spaced, split_words
 
 DISTANCE, SHINGLE, SEED = 4, 4, 42
 LEAF, FAN, STEP = 16, 8, 512
 GROUP, SALTS = 20_000, 64  # fingerprints searched as one group; parts in which a key is counted
+CHUNK = 1 << 19  # bytes of texts at a time: a shingle takes some 150 bytes beside them
 
 
 def chunk_fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
@@ -72,12 +73,12 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [chunk_fingerprints(d, o, shingle) for _, _, d, o in chunks(batch.column(1))]
+            parts = [chunk_fingerprints(d, o, shingle) for _, _, d, o in chunks(batch.column(1), CHUNK)]
             found = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(lean(run), "doc_id long, fp long")
 
 
 def gray_rank(values: np.ndarray) -> np.ndarray:
@@ -230,7 +231,7 @@ def near_links(distinct: DataFrame, distance: int = DISTANCE, group: int = GROUP
 
     dealt = in_groups(distinct, distance, group)
     parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+    return dealt.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lean(run), "a long, b long")
 
 
 def near_duplicates(

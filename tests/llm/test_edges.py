@@ -2,8 +2,11 @@
 
 import random
 import re
+import subprocess
+import sys
 import textwrap
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -531,3 +534,39 @@ def test_language_tasks_drop_what_the_encoder_keeps():
     batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array(["some text"])], ["lang", "text"])
     assert len(list(language._piece_rows(iter([batch])))) == 1
     assert sentencepieces._worker_encoder(PIECES) is not encoder
+
+
+RETURNED = """
+import re
+from fixedrecon.llm import shared
+
+def private_mb():
+    found = re.findall(r"Private_Dirty:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())
+    return sum(map(int, found)) / 1024
+
+def task(batches):
+    yield shared.held("parts", lambda: [])
+
+before = private_mb()
+shared.held("parts", lambda: [bytes([i % 256]) * 2000 for i in range(50_000)])
+later = [bytes(600 + i) for i in range(100)]  # above what is held, so that the C library keeps what is below
+assert private_mb() - before > 80
+shared.release_held()
+assert private_mb() - before < 30, private_mb() - before
+shared.held("parts", lambda: [1])
+assert list(shared.lean(task)(iter(()))) == [[]]
+"""
+
+
+def test_tasks_return_memory_to_the_system():
+    subprocess.run([sys.executable, "-c", RETURNED], cwd=Path(__file__).parents[2], check=True, timeout=100)
+
+
+def test_smaller_bound_of_kept_parts_gives_the_same(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 7} and more {i}" if i % 5 else None) for i in range(60)], "doc_id long, text string")
+    few, many = (sentencepieces.encode(docs, PIECES, kept_bytes=n).orderBy("doc_id").collect() for n in (500, None))
+    assert few == many
+    encoder = sentencepieces.PartEncoder(sentencepieces.PieceModel.of(PIECES), 500)
+    for i in range(60):
+        encoder.encode(f"word{i}")
+    assert len(encoder.kept) + len(encoder.older) < 12
